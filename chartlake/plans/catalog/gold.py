@@ -87,9 +87,9 @@ query(
         f""", {artists_cte(KEY)}, base AS (
   SELECT {KEY}, {STREAMS} AS total_streams, count(DISTINCT uri) AS active_songs, {HITS} AS hit_songs,
     count(DISTINCT standardized_label) AS active_labels FROM silver GROUP BY ALL),
-top_artist AS (SELECT {KEY}, artist_names AS top_artist FROM silver GROUP BY ALL
+top_artist AS (SELECT {KEY}, artist_names AS top_artist FROM silver GROUP BY {KEY}, artist_names
   QUALIFY row_number() OVER (PARTITION BY {KEY} ORDER BY sum(streams) DESC, artist_names) = 1),
-top_label AS (SELECT {KEY}, standardized_label AS top_label FROM silver GROUP BY ALL
+top_label AS (SELECT {KEY}, standardized_label AS top_label FROM silver GROUP BY {KEY}, standardized_label
   QUALIFY row_number() OVER (PARTITION BY {KEY} ORDER BY sum(streams) DESC, standardized_label) = 1)
 SELECT year, month, {LABEL_MONTH} AS year_month, country_name, total_streams,
   {pct('total_streams', 'sum(total_streams) OVER (PARTITION BY year, month)')} AS market_share,
