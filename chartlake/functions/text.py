@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 QUESTION_WORD = "[a-z0-9']+"
 INDEX_WORD = "[\\p{L}\\p{N}]+"
+NAME_WORD = "[\\p{L}\\p{N}']+"
 
 
 def words(text: Column, pattern: str = QUESTION_WORD) -> Column:
@@ -16,9 +17,9 @@ def words(text: Column, pattern: str = QUESTION_WORD) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(pattern), F.lit(0))
 
 
-def ngrams(tokens: Column, sizes: Iterable[int]) -> Column:
-    """Distinct blank-joined runs of the given sizes."""
-    return F.array_distinct(F.flatten(F.array(*(runs(tokens, n) for n in sizes))))
+def ngrams(tokens: Column, sizes: Column) -> Column:
+    """Distinct blank-joined runs of each size in the given array."""
+    return F.array_distinct(F.flatten(F.transform(sizes, lambda n: runs(tokens, n))))
 
 
 def runs(tokens: Column, n: Column | int) -> Column:

@@ -1 +1,100 @@
-"""Placeholder."""
+"""Dashboard metrics and templated questions."""
+
+from chartlake.operators import metrics as M
+from chartlake.plans import gold as G
+from chartlake.plans.catalog.base import IS_HIT, STREAMS, over_silver, pct, query, r2, silver
+from chartlake.plans.catalog.gold import ARTISTS_RANKED, COUNTRY_PERFORMANCE, KEY, NAMED_CTE
+
+COUNTRY = "Country 5"
+
+
+def over(name: str, sql: str, build, table=G.country_performance, cte: str = COUNTRY_PERFORMANCE) -> None:
+    """Register a query over one monthly table."""
+    query(name, over_silver(f"{cte} {sql}"))(lambda spark, sf: build(table(silver(spark, sf))))
+
+
+over(
+    "filter_options",
+    """SELECT DISTINCT 'year' AS kind, CAST(year AS VARCHAR) AS value FROM country_performance
+       UNION ALL SELECT DISTINCT 'country', country_name FROM country_performance""",
+    M.filter_options,
+)
+PERIOD = f"""SELECT year, month, CAST(sum(total_streams) AS BIGINT) AS total_streams, CAST(sum(active_artists) AS BIGINT) AS active_artists,
+  CAST(sum(active_songs) AS BIGINT) AS active_songs, CAST(sum(hit_songs) AS BIGINT) AS hit_songs,
+  count(DISTINCT country_name) AS countries_covered,
+  CAST(sum(hit_songs) AS DOUBLE) / nullif(sum(active_songs), 0) * 100 AS catalog_hit_rate FROM country_performance"""
+over("period_aggregate", f"{PERIOD} GROUP BY year, month", M.period_aggregate)
+over("period_aggregate_country", f"{PERIOD} WHERE country_name = '{COUNTRY}' GROUP BY year, month",
+     lambda df: M.period_aggregate(df, COUNTRY))
+
+
+def cards_sql(where: str, covered: str) -> str:
+    change = "(n.{m} - b.{m}) / CAST(nullif(b.{m}, 0) AS DOUBLE) * 100"
+    text = "coalesce(printf('%+.1f%%', {c}), '—')"
+    arrow = "CASE WHEN {c} < 0 THEN 'down' ELSE 'up' END"
+    s, a = (change.format(m=m) for m in ("total_streams", "active_artists"))
+    return f""", p AS ({PERIOD} {where} GROUP BY year, month ORDER BY year DESC, month DESC LIMIT 2),
+  n AS (SELECT * FROM p ORDER BY year DESC, month DESC LIMIT 1), b AS (SELECT * FROM p ORDER BY year, month LIMIT 1)
+  SELECT 'total-streams' AS id, printf('Total Streams (%04d-%02d)', n.year, n.month) AS label,
+    printf('%.2fB', n.total_streams / CAST(1e9 AS DOUBLE)) AS value, {text.format(c=s)} AS delta, {arrow.format(c=s)} AS trend FROM n, b
+  UNION ALL SELECT 'active-artists', 'Active Artists', format('{{:,}}', n.active_artists), {text.format(c=a)}, {arrow.format(c=a)} FROM n, b
+  UNION ALL SELECT 'countries-covered', 'Countries Covered', {covered}, '—', 'up' FROM n
+  UNION ALL SELECT 'catalog-hit-rate', 'Catalog Hit Rate', printf('%.1f%%', n.catalog_hit_rate), '—', 'up' FROM n"""
+
+
+over("kpi_cards", cards_sql("", "CAST(n.countries_covered AS VARCHAR)"), M.kpi_cards)
+over("kpi_cards_scoped", cards_sql(f"WHERE country_name = '{COUNTRY}' AND year = 1999", "'1'"),
+     lambda df: M.kpi_cards(df, 1999, COUNTRY))
+PERIOD_KEY = "printf('%04d-%02d', year, month) AS period"
+over("series_streams",
+     f"SELECT {PERIOD_KEY}, CAST(sum(total_streams) AS BIGINT) AS total_streams FROM country_performance GROUP BY year, month",
+     M.series_streams)
+over("series_hit_rate",
+     f"SELECT {PERIOD_KEY}, {pct('sum(hit_songs)', 'sum(active_songs)', 1)} AS hit_rate FROM country_performance GROUP BY year, month",
+     M.series_hit_rate)
+over(
+    "top_countries_year",
+    """SELECT year, country_name, CAST(sum(total_streams) AS BIGINT) AS total_streams FROM country_performance
+       WHERE year = (SELECT max(year) FROM country_performance) GROUP BY ALL ORDER BY total_streams DESC, country_name LIMIT 8""",
+    M.top_countries_year,
+)
+over(
+    "top_artists",
+    f"""SELECT artist_name, CAST(sum(total_streams) AS BIGINT) AS total_streams FROM artist_performance
+        WHERE year = 1998 AND country_name = '{COUNTRY}' GROUP BY ALL ORDER BY total_streams DESC, artist_name LIMIT 8""",
+    lambda df: M.top_artists(df, 1998, COUNTRY),
+    G.artist_performance_ranked, ARTISTS_RANKED,
+)
+over("ask_count_distinct", "SELECT count(DISTINCT artist_uri) AS value FROM artist_performance",
+     lambda df: M.ask_count_distinct(df, "artist_uri"), G.artist_performance_ranked, ARTISTS_RANKED)
+KPI_SONG = f""", kpi_song AS (SELECT {KEY}, uri, standardized_label, {STREAMS} AS total_streams,
+  max(CASE WHEN {IS_HIT} THEN 1 ELSE 0 END) AS is_hit FROM silver GROUP BY ALL)"""
+over("ask_count_hits", "SELECT count(DISTINCT uri) AS value FROM kpi_song WHERE is_hit = 1 AND year = 1997",
+     lambda df: M.ask_count_hits(df, 1997), G.kpi_song, KPI_SONG)
+over("ask_sum",
+     "SELECT CAST(coalesce(sum(total_streams), 0) AS BIGINT) AS value FROM country_performance "
+     "WHERE year = 1996 AND country_name IN ('Country 1', 'Country 2')",
+     lambda df: M.ask_sum(df, "country_name", ["Country 1", "Country 2"], 1996))
+over(
+    "ask_superlative",
+    """SELECT artist_uri, artist_name, CAST(sum(total_streams) AS BIGINT) AS total_streams FROM artist_performance
+       GROUP BY ALL ORDER BY total_streams DESC, artist_uri, artist_name LIMIT 5""",
+    lambda df: M.ask_superlative(df, "artist_uri", "artist_name"), G.artist_performance_ranked, ARTISTS_RANKED,
+)
+over(
+    "ask_superlative_lowest",
+    """SELECT country_name, CAST(sum(total_streams) AS BIGINT) AS total_streams FROM country_performance
+       GROUP BY ALL ORDER BY total_streams, country_name LIMIT 5""",
+    lambda df: M.ask_superlative(df, "country_name", ascending=True),
+)
+TREND = """, y AS (SELECT {key} AS k, year, CAST(sum(total_streams) AS BIGINT) AS total FROM {table} {where} GROUP BY ALL)
+  SELECT a.k AS {key}, a.total AS target_total, coalesce(b.total, 0) AS previous_total, a.total - coalesce(b.total, 0) AS growth
+  FROM y a LEFT JOIN y b ON a.k = b.k AND b.year = {previous} WHERE a.year = {target} ORDER BY growth DESC, a.k LIMIT {k}"""
+over("ask_trend", TREND.format(key="uri", table="kpi_song", where="", target=1999, previous=1998, k=5),
+     lambda df: M.ask_trend(df, "uri", [1999]), G.kpi_song, KPI_SONG)
+over(
+    "ask_trend_named",
+    TREND.format(key="country_name", table="country_performance", where="WHERE country_name IN ('Country 1', 'Country 9')",
+                 target=2000, previous=1996, k=2),
+    lambda df: M.ask_trend(df, "country_name", [1996, 2000], entities=["Country 1", "Country 9"]),
+)

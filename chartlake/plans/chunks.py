@@ -65,7 +65,8 @@ def _num(col: str, digits: int = 0) -> Column:
 
 
 def _fixed(col: str) -> Column:
-    return F.coalesce(F.format_string("%.2f", F.col(col)), F.lit("nan"))
+    """Two digits; a missing mean reads nan. Rounded first, so that a tie does not depend on the formatter."""
+    return F.when(F.col(col).isNotNull(), F.format_string("%.2f", F.round(col, 2))).otherwise("nan")
 
 
 def country_text() -> Column:
