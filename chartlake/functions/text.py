@@ -17,17 +17,19 @@ def words(text: Column, pattern: str = QUESTION_WORD) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(pattern), F.lit(0))
 
 
-def ngrams(tokens: Column, sizes: Column) -> Column:
-    """Distinct blank-joined runs of each size in the given array."""
-    return F.array_distinct(F.flatten(F.transform(sizes, lambda n: runs(tokens, n))))
-
-
-def runs(tokens: Column, n: Column | int) -> Column:
-    """Every run of n neighbouring words, blank-joined, in order."""
-    n = F.lit(n) if isinstance(n, int) else n
-    starts = F.when(F.size(tokens) >= n, F.sequence(F.lit(1), F.size(tokens) - n + 1))
-    grams = F.transform(starts, lambda i: F.array_join(F.slice(tokens, i, n), " "))
-    return F.coalesce(grams, F.array().cast("array<string>"))
+def runs(tokens: str, n: str) -> Column:
+    """Every run of n neighbouring words, blank-joined, in order.
+
+    Takes the names of columns that already hold the word array and the size: an expression would be worked
+    out again for every word. Words are fetched by position, since a slice copies the array.
+    """
+    words_at = lambda i: F.transform(
+        F.sequence(i, i + F.col(n) - 1), lambda j: F.get(F.col(tokens), j)
+    )
+    starts = F.when(F.size(tokens) >= F.col(n), F.sequence(F.lit(0), F.size(tokens) - F.col(n)))
+    return F.coalesce(
+        F.transform(starts, lambda i: F.array_join(words_at(i), " ")), F.array().cast("array<string>")
+    )
 
 
 def stem(word: Column) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chartlake import constants as K
-from chartlake.functions.text import NAME_WORD, contains_any, ngrams, words
+from chartlake.functions.text import NAME_WORD, QUESTION_WORD, contains_any, runs, words
 from chartlake.functions.vectors import indel_similarity
 
 
@@ -33,10 +33,19 @@ def phrase_sizes(dictionary: DataFrame) -> DataFrame:
     return dictionary.agg(F.sort_array(F.collect_set(F.size(F.split("phrase", " ")))).alias("_sizes"))
 
 
+def _runs(texts: DataFrame, ids: Sequence[str], text: str, sizes: Column, pattern: str) -> DataFrame:
+    """Distinct word runs of each text, one row per run, for each size in the array."""
+    return (
+        texts.withColumn("_tokens", words(F.col(text), pattern))
+        .select(*ids, "_tokens", F.explode(sizes).alias("_n"))
+        .select(*ids, F.explode(F.array_distinct(runs("_tokens", "_n"))).alias("gram"))
+    )
+
+
 def text_ngrams(texts: DataFrame, text: str, sizes: Sequence[int] = (1, 2, 3)) -> DataFrame:
     """Every distinct 1- to 3-word run of each text, one row per run."""
-    grams = ngrams(words(F.col(text)), F.array(*map(F.lit, sizes)))
-    return texts.select(*(c for c in texts.columns if c != text), F.explode(grams).alias("gram"))
+    ids = [c for c in texts.columns if c != text]
+    return _runs(texts, ids, text, F.array(*map(F.lit, sizes)), QUESTION_WORD)
 
 
 def detect_entities(texts: DataFrame, ids: Sequence[str], text: str, dictionary: DataFrame) -> DataFrame:
@@ -47,11 +56,9 @@ def detect_entities(texts: DataFrame, ids: Sequence[str], text: str, dictionary:
     """
     # One row with one array: as many entries as there are distinct name lengths.
     sizes = F.broadcast(phrase_sizes(dictionary).withColumn("_one", F.lit(1)))
-    grams = (
-        texts.withColumn("_one", F.lit(1)).join(sizes, "_one")
-        .select(*ids, F.explode(ngrams(words(F.col(text), NAME_WORD), F.col("_sizes"))).alias("phrase"))
-    )
-    found = grams.join(dictionary, "phrase").select(*ids, "entity", "key").distinct()
+    sized = texts.withColumn("_one", F.lit(1)).join(sizes, "_one")
+    grams = _runs(sized, ids, text, F.col("_sizes"), NAME_WORD)
+    found = grams.withColumnRenamed("gram", "phrase").join(dictionary, "phrase").select(*ids, "entity", "key").distinct()
     return found.withColumn("entity_length", F.length("entity"))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Kind -> text; {name} and {year} are filled in for every country and year of the chart.
+# Kind -> text; {name}, {typo} (the name without its y) and {year} are filled in for every country and year.
 COUNTRY_TEMPLATES = {
     "lookup": "How did {name} perform in {year}?",
     "sum": "How many total streams does {name} have in {year}?",
@@ -17,7 +17,7 @@ COUNTRY_TEMPLATES = {
     "count": "number of tracks in {name}",
     "thanks": "Thanks {name}!",
     "open": "Tell me about streaming in {name} in {year}",
-    "misspelt": "How is Cuontry{name} doing",
+    "misspelt": "How is {typo} doing",
     "off_topic": "What is the weather like in {year}?",
 }
 ARTIST_TEMPLATES = {
@@ -27,9 +27,11 @@ ARTIST_TEMPLATES = {
 
 
 def _filled(template: str) -> Column:
-    return F.replace(
-        F.replace(F.lit(template), F.lit("{name}"), F.col("name")), F.lit("{year}"), F.col("year").cast("string")
-    )
+    out = F.lit(template)
+    typo = F.replace(F.col("name"), F.lit("y"), F.lit(""))
+    for mark, value in (("{name}", F.col("name")), ("{typo}", typo), ("{year}", F.col("year").cast("string"))):
+        out = F.replace(out, F.lit(mark), value)
+    return out
 
 
 def _ask(pairs: DataFrame, templates: dict[str, str]) -> DataFrame:
