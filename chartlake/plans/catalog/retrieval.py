@@ -1 +1,389 @@
-"""Placeholder."""
+"""Chunks, nearest neighbours, keyword search and the retrieval jobs.
+
+The chunk table is written once per job and read by every step of it, as a served chunk table would be.
+"""
+
+from pyspark.sql import functions as F
+
+from chartlake import constants as K
+from chartlake import fixtures
+from chartlake.functions.vectors import embed, hashed_counts
+from chartlake.operators import entities as E
+from chartlake.operators import retrieval as R
+from chartlake.plans import chunks as C
+from chartlake.plans import gold as G
+from chartlake.plans.catalog import text as TX
+from chartlake.plans.catalog.base import IS_HIT, STREAMS, over_silver, query, r2, silver
+from chartlake.plans.catalog.gold import ARTISTS_RANKED, CATALOG, COUNTRY_PERFORMANCE, KEY
+from chartlake.plans.catalog.relational import COUNTRY_YEAR
+from chartlake.session import work_dir
+
+VECTOR = ("vec_id",)
+
+# --- chunks -------------------------------------------------------------------------------
+
+
+def chunks(spark, sf):
+    s = silver(spark, sf)
+    return C.render_chunks(
+        G.country_performance(s), G.label_performance_enhanced(s), G.kpi_song(s), G.track_catalog(s),
+        G.artist_performance_ranked(s),
+    )
+
+
+def commas(x: str) -> str:
+    return f"format('{{:,}}', CAST({x} AS BIGINT))"
+
+
+def two(x: str) -> str:
+    return f"coalesce(printf('%.2f', {r2(x)}), 'nan')"
+
+
+CHUNKS_CTE = f"""{COUNTRY_PERFORMANCE}{COUNTRY_YEAR}{ARTISTS_RANKED}{CATALOG},
+kpi AS (SELECT {KEY}, uri, standardized_label, {STREAMS} AS total_streams, max(CASE WHEN {IS_HIT} THEN 1 ELSE 0 END) AS is_hit FROM silver GROUP BY ALL),
+labels_month AS (SELECT {KEY}, standardized_label, {STREAMS} AS total_streams, count(DISTINCT uri) AS active_songs,
+  count(DISTINCT artist_names) AS active_artists FROM silver GROUP BY ALL),
+label_year AS (SELECT standardized_label, year, sum(total_streams) AS s, max(active_songs) AS n, max(active_artists) AS a FROM labels_month GROUP BY ALL),
+song_year AS (SELECT uri, year, min(standardized_label) AS l, sum(total_streams) AS s, max(is_hit) AS h FROM kpi GROUP BY ALL),
+artist_year AS (SELECT artist_uri, year, min(artist_name) AS name, sum(total_streams) AS s, sum(track_count) AS t, sum(hit_track_count) AS h,
+  min(best_rank) AS r FROM artist_performance GROUP BY ALL),
+chunks AS (
+  SELECT 'country_performance' AS source_table, country_name || '|' || year AS source_key,
+    'In ' || country_name || ' during ' || year || ', Spotify recorded ' || {commas('total_streams')} || ' total streams, with up to '
+    || active_songs || ' active song(s) (up to ' || hit_songs || ' of them hits) and an average chart strength of ' || {two('avg_chart_strength')}
+    || '. Up to ' || coalesce(active_artists, 0) || ' active artists were represented that year, with average growth of '
+    || {two('growth_percentage')} || '%. Most recent top song was ' || coalesce(top_song_name, 'None') || ', top artist was '
+    || coalesce(top_artist_name, 'None') || '.' AS chunk_text FROM country_year
+  UNION ALL SELECT 'label_performance_enhanced', standardized_label || '|' || year, 'Label ' || standardized_label || ' in ' || year || ' had '
+    || {commas('s')} || ' total streams across up to ' || n || ' active song(s) from up to ' || a || ' artist(s).' FROM label_year
+  UNION ALL SELECT 'kpi_song', uri || '|' || year, 'Track "' || coalesce(track_name, uri) || '"'
+    || CASE WHEN l <> '' THEN ' on label ' || l ELSE '' END || ' had ' || {commas('s')} || ' total streams in ' || year || ' and '
+    || CASE WHEN h = 1 THEN 'was a hit' ELSE 'was not a hit' END || ' that year.' FROM song_year LEFT JOIN track_catalog USING (uri)
+  UNION ALL SELECT 'artist_performance', artist_uri || '|' || year, 'In ' || year || ', artist ' || name || ' (' || artist_uri || ') had '
+    || {commas('s')} || ' total streams across up to ' || t || ' charting track appearance(s), including ' || h
+    || ' hit track appearance(s), reaching a best chart rank of ' || r || ' that year.' FROM artist_year)"""
+query("render_chunks", over_silver(f"{CHUNKS_CTE} SELECT * FROM chunks"))(chunks)
+
+
+def chunk_table(spark, sf):
+    """Chunks with their vectors, written and read back."""
+    path = work_dir(spark, "gold_chunks")
+    chunks(spark, sf).withColumn("embedding", embed(F.col("chunk_text"))).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def question_table(spark, sf):
+    path = work_dir(spark, "questions")
+    TX.questions(spark, sf).withColumnRenamed("question_id", "query_id").withColumn(
+        "embedding", embed(F.col("text"))
+    ).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+@query(
+    "embed_text",
+    """WITH w AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[a-z0-9'']+')) AS word FROM documents),
+    s AS (SELECT doc_id, CAST(CAST('0x' || substr(md5(word), 1, 7) AS BIGINT) % 64 AS INT) AS position, count(*) AS n FROM w GROUP BY ALL)
+    SELECT doc_id, position, round(n / sqrt(sum(n * n) OVER (PARTITION BY doc_id)), 4) AS weight FROM s""",
+)
+def embed_text(spark, sf):
+    vectors = fixtures.table(spark, sf, "documents").select("doc_id", embed(F.col("text"), hashed_counts(64)).alias("v"))
+    return vectors.select("doc_id", F.posexplode("v").alias("position", "w")).filter("w > 0").select(
+        "doc_id", "position", F.round(F.col("w").cast("double"), 4).alias("weight")
+    )
+
+
+# --- nearest neighbours over the vector table ---------------------------------------------
+#
+# The queries are the mean vectors of the labels: every row of the table takes part on both sides.
+
+CENTRES_CTE = """dims AS (SELECT label, i, avg(CAST(embedding[i] AS DOUBLE)) AS x FROM embeddings, range(1, 65) t(i) GROUP BY ALL),
+centres AS (SELECT label, list(x ORDER BY i) AS q FROM dims GROUP BY label)"""
+
+
+def vectors(spark, sf):
+    return fixtures.table(spark, sf, "embeddings").select(
+        "vec_id", "embedding", F.col("label").cast("string").alias("source_label")
+    )
+
+
+def centres(spark, sf):
+    each = fixtures.table(spark, sf, "embeddings").select("label", F.posexplode("embedding").alias("i", "x"))
+    means = each.groupBy("label", "i").agg(F.avg(F.col("x").cast("double")).alias("x"))
+    ordered = F.sort_array(F.collect_list(F.struct("i", "x")))
+    return means.groupBy("label").agg(F.transform(ordered, lambda s: s["x"]).alias("embedding")).select(
+        F.col("label").cast("string").alias("query_id"), "embedding"
+    )
+
+
+def rounded(df):
+    return df.withColumn("distance", F.round("distance", 5))
+
+
+NEAR_SQL = """, d AS (SELECT CAST(label AS VARCHAR) AS query_id, vec_id, list_distance(CAST(embedding AS DOUBLE[]), q) AS distance
+  FROM (SELECT vec_id, embedding, label AS own FROM embeddings) e, centres {where})
+  SELECT query_id, vec_id, round(distance, 5) AS distance, CAST(row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) - 1 AS INT) AS rank
+  FROM d QUALIFY rank < 20"""
+query("knn_exact", f"WITH {CENTRES_CTE}{NEAR_SQL.format(where='')}")(
+    lambda spark, sf: rounded(R.knn_exact(vectors(spark, sf), centres(spark, sf), R.candidate_budget(), VECTOR))
+)
+query("knn_exact_scoped", f"WITH {CENTRES_CTE}{NEAR_SQL.format(where='WHERE own = label')}")(
+    lambda spark, sf: rounded(
+        R.knn_exact(
+            vectors(spark, sf).withColumn("scope", F.col("source_label")),
+            centres(spark, sf).withColumn("scope", F.col("query_id")), R.candidate_budget(), VECTOR,
+        )
+    )
+)
+query(
+    "knn_exact_self",
+    """WITH d AS (SELECT a.vec_id AS query_id, b.vec_id, list_distance(CAST(b.embedding AS DOUBLE[]), CAST(a.embedding AS DOUBLE[])) AS distance
+    FROM embeddings a, embeddings b) SELECT query_id, vec_id, round(distance, 5) AS distance,
+    CAST(row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) - 1 AS INT) AS rank FROM d QUALIFY rank < 5""",
+)(
+    lambda spark, sf: rounded(
+        R.knn_exact(
+            vectors(spark, sf), vectors(spark, sf).select(F.col("vec_id").alias("query_id"), "embedding"), 5, VECTOR,
+            query_bytes=0, query_block=128, corpus_block=256,
+        )
+    )
+)
+
+
+def _lists(spark, sf):
+    """About the square root of the row count."""
+    rows = vectors(spark, sf)
+    return R.cluster_lists(rows, max(2, round(rows.count() ** 0.5)))
+
+
+@query("knn_ivf")
+def knn_ivf(spark, sf):
+    indexed, middle = _lists(spark, sf)
+    return rounded(R.knn_ivf(indexed, middle, centres(spark, sf), K.TOP_K, max(1, len(middle) // 4), VECTOR))
+
+
+@query("knn_recall_sweep")
+def knn_recall_sweep(spark, sf):
+    indexed, middle = _lists(spark, sf)
+    sweep = sorted({1, max(1, len(middle) // 4), len(middle)})
+    return R.knn_recall_sweep(indexed, middle, centres(spark, sf), K.TOP_K, sweep, VECTOR)
+
+
+@query(
+    "top1_distance",
+    f"""WITH {CENTRES_CTE}, d AS (SELECT CAST(label AS VARCHAR) AS query_id, vec_id, list_distance(CAST(embedding AS DOUBLE[]), q) AS distance
+    FROM (SELECT vec_id, embedding FROM embeddings) e, centres)
+    SELECT query_id, vec_id, round(distance, 5) AS distance FROM d QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) = 1""",
+)
+def top1_distance(spark, sf):
+    corpus, asked = vectors(spark, sf), centres(spark, sf)
+    return rounded(R.top1_distance(R.knn_exact(corpus, asked, 1, VECTOR), asked, corpus, VECTOR))
+
+
+# --- keyword search -----------------------------------------------------------------------
+
+STOPS = "[" + ", ".join(f"'{w}'" for w in K.STOP_WORDS) + "]"
+TOKEN = r"[\p{L}\p{N}]+"
+
+
+def stem_sql(w: str) -> str:
+    return (
+        f"CASE WHEN regexp_matches({w}, '[^ea]ies$') THEN regexp_replace({w}, 'ies$', 'y') "
+        f"WHEN regexp_matches({w}, '[^aeo]es$') THEN regexp_replace({w}, 'es$', 'e') "
+        f"WHEN regexp_matches({w}, '[^us]s$') THEN regexp_replace({w}, 's$', '') ELSE {w} END"
+    )
+
+
+def terms_sql(x: str) -> str:
+    return (
+        f"list_transform(list_filter(regexp_extract_all(lower({x}), '{TOKEN}'), lambda w: NOT list_contains({STOPS}, w)), "
+        f"lambda w: {stem_sql('w')})"
+    )
+
+
+def phrase_sql(x: str) -> str:
+    return f"' ' || array_to_string(list_transform(regexp_extract_all(lower({x}), '{TOKEN}'), lambda w: {stem_sql('w')}), ' ') || ' '"
+
+
+def bm25_sql(keys: str, docs: str, asked: str, k: int, where: str = "") -> str:
+    """docs: keys, terms, body; asked: query_id, terms."""
+    return f"""docs AS ({docs}), asked AS ({asked}),
+  q AS (SELECT query_id, unnest(list_distinct(terms)) AS term, len(list_distinct(terms)) AS size FROM asked),
+  tf AS (SELECT {keys}, term, count(*) AS tf FROM (SELECT {keys}, unnest(terms) AS term FROM docs) GROUP BY ALL),
+  df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+  stats AS (SELECT count(*) AS n, avg(len(terms)) AS mean FROM docs),
+  hit AS (SELECT query_id, {keys}, count(*) AS matched, any_value(size) AS size,
+    sum(ln(1 + (n - df + CAST(0.5 AS DOUBLE)) / (df + CAST(0.5 AS DOUBLE))) * tf * CAST(2.2 AS DOUBLE)
+      / (tf + CAST(1.2 AS DOUBLE) * (CAST(0.25 AS DOUBLE) + CAST(0.75 AS DOUBLE) * len(terms) / mean))) AS score
+    FROM q JOIN tf USING (term) JOIN df USING (term) JOIN docs USING ({keys}), stats GROUP BY ALL),
+  full_hit AS (SELECT query_id, {keys}, round(score, 6) AS score FROM hit JOIN docs USING ({keys}) JOIN asked USING (query_id)
+    WHERE matched = size {where})
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, {keys}) - 1 AS INT) AS rank FROM full_hit QUALIFY rank < {k}"""
+
+
+# Each country and year is asked for as a phrase with an exclusion.
+ASKED = "name || ' ' || year || ' growth -label \"total streams\" -\"no such phrase\"'"
+
+
+@query(
+    "keyword_search",
+    over_silver(
+        f"""{CHUNKS_CTE}, country_years AS (SELECT DISTINCT country_name AS name, year FROM silver), """
+        + bm25_sql(
+            "source_table, source_key",
+            f"SELECT source_table, source_key, {terms_sql('chunk_text')} AS terms, {phrase_sql('chunk_text')} AS body FROM chunks",
+            f"SELECT name || '|' || year AS query_id, {terms_sql(chr(39).join(['name || ', ' ', ' || year || ', ' growth total streams', '']))} AS terms FROM country_years",
+            15,
+            "AND NOT list_contains(docs.terms, 'label') AND contains(body, ' total stream ')",
+        )
+    ),
+)
+def keyword_search(spark, sf):
+    corpus = chunks(spark, sf)
+    asked = silver(spark, sf).select("country_name", "year").distinct().select(
+        F.concat_ws("|", "country_name", F.col("year").cast("string")).alias("query_id"),
+        F.concat(
+            "country_name", F.lit(" "), F.col("year").cast("string"),
+            F.lit(' growth -label "total streams" -"no such phrase"'),
+        ).alias("text"),
+    )
+    return R.keyword_search(corpus, asked, 15)
+
+
+query(
+    "keyword_search_documents",
+    "WITH "
+    + bm25_sql(
+        "doc_id",
+        f"SELECT doc_id, {terms_sql('text')} AS terms FROM documents",
+        f"SELECT CAST(item_id AS VARCHAR) AS query_id, {terms_sql('text')} AS terms FROM benchmark",
+        15,
+    ),
+)(
+    lambda spark, sf: R.keyword_search(
+        fixtures.table(spark, sf, "documents"),
+        fixtures.table(spark, sf, "benchmark").select(F.col("item_id").cast("string").alias("query_id"), "text"),
+        15, text="text", keys=["doc_id"],
+    )
+)
+
+# --- fusion and reranking -----------------------------------------------------------------
+
+
+@query(
+    "rrf_merge",
+    over_silver(
+        f""", t AS (SELECT country_name AS query_id, uri, sum(streams) AS s, min(rank) AS r FROM silver GROUP BY ALL),
+        a AS (SELECT query_id, uri, row_number() OVER (PARTITION BY query_id ORDER BY s DESC, uri) - 1 AS ra FROM t QUALIFY ra < 20),
+        b AS (SELECT query_id, uri, row_number() OVER (PARTITION BY query_id ORDER BY r, uri) - 1 AS rb FROM t QUALIFY rb < 20)
+        SELECT query_id, uri, round(coalesce(1 / CAST(60 + ra AS DOUBLE), 0) + coalesce(1 / CAST(60 + rb AS DOUBLE), 0), 9) AS rrf_score
+        FROM a FULL JOIN b USING (query_id, uri)"""
+    ),
+)
+def rrf_merge(spark, sf):
+    totals = silver(spark, sf).groupBy(F.col("country_name").alias("query_id"), "uri").agg(
+        F.sum("streams").alias("s"), F.min("rank").alias("r")
+    )
+    from chartlake.operators.windows import top_k_per_group
+
+    best = [
+        top_k_per_group(totals, ["query_id"], order, 20, "rank").withColumn("rank", F.col("rank") - 1)
+        for order in ([F.desc("s"), "uri"], ["r", "uri"])
+    ]
+    return R.rrf_merge(*best, ["uri"]).withColumn("rrf_score", F.round("rrf_score", 9))
+
+
+QUESTION_TERMS = r"list_distinct(regexp_extract_all(lower(q.text), '[a-z0-9'']+'))"
+
+
+@query(
+    "rerank_pairs",
+    over_silver(
+        f"""{CHUNKS_CTE}, country_years AS (SELECT DISTINCT country_name AS name, year FROM silver),
+        q AS (SELECT 'lookup|' || name || '|' || year AS query_id, name, 'How did ' || name || ' perform in ' || year || '?' AS text FROM country_years),
+        p AS (SELECT query_id, source_table, source_key, len(list_intersect({QUESTION_TERMS},
+          list_distinct(regexp_extract_all(lower(chunk_text), '[a-z0-9'']+')))) / CAST(len({QUESTION_TERMS}) AS DOUBLE) AS score
+          FROM q JOIN chunks ON source_table = 'country_performance' AND starts_with(source_key, name || '|'))
+        SELECT query_id, source_table, source_key, round(score, 9) AS score,
+          CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, source_key) - 1 AS INT) AS rank FROM p QUALIFY rank < 5"""
+    ),
+)
+def rerank_pairs(spark, sf):
+    corpus = chunks(spark, sf)
+    asked = TX.questions(spark, sf).filter("question_id like 'lookup|%'").withColumnRenamed("question_id", "query_id")
+    name = F.split("query_id", "\\|")[1]
+    own = corpus.filter("source_table = 'country_performance'").select(
+        "source_table", "source_key", F.split("source_key", "\\|")[0].alias("name")
+    )
+    pairs = asked.select("query_id", name.alias("name")).join(own, "name").drop("name")
+    return R.rerank_pairs(pairs, asked, corpus).withColumn("score", F.round("score", 9))
+
+
+@query("hybrid_search")
+def hybrid_search(spark, sf):
+    corpus, asked = chunk_table(spark, sf), question_table(spark, sf)
+    routed = E.route_table(
+        asked.select("query_id", "text"), ["query_id"], "text", TX.country_names(spark, sf), TX.artist_names(spark, sf), fuzzy=False
+    )
+    scoped = asked.join(routed.select("query_id", F.col("source_table").alias("scope")), "query_id")
+    return R.hybrid_search(corpus.withColumn("scope", F.col("source_table")), scoped)
+
+
+def _mentions(spark, sf, asked):
+    ids = ["query_id"]
+    countries = E.detect_entities(asked, ids, "text", TX.country_names(spark, sf))
+    singers = E.detect_entities(asked, ids, "text", TX.artist_names(spark, sf))
+    return countries.select("query_id", F.lit("country_performance").alias("source_table"), "key").unionByName(
+        singers.select("query_id", F.lit("artist_performance").alias("source_table"), "key")
+    )
+
+
+VECTORS_SQL = """{name} AS (SELECT {ids}, list(coalesce(n, 0) / norm ORDER BY i) AS v FROM (
+  SELECT {ids}, i, n, sqrt(sum(coalesce(n * n, 0)) OVER (PARTITION BY {ids})) AS norm FROM (
+    SELECT {ids}, i FROM {source}, range(384) r(i)) LEFT JOIN (
+    SELECT {ids}, CAST('0x' || substr(md5(w), 1, 7) AS BIGINT) % 384 AS i, count(*) AS n
+    FROM (SELECT {ids}, unnest(regexp_extract_all(lower({text}), '[a-z0-9'']+')) AS w FROM {source}) GROUP BY ALL) USING ({ids}, i))
+  GROUP BY {ids})"""
+
+
+@query(
+    "retrieve_per_entity",
+    over_silver(
+        f"""{TX.QUESTIONS_CTE}{CHUNKS_CTE.replace(ARTISTS_RANKED, '')},
+        {VECTORS_SQL.format(name='qv', ids='question_id', source='questions', text='text')},
+        scoped_chunks AS (SELECT * FROM chunks WHERE source_table IN ('country_performance', 'artist_performance')),
+        {VECTORS_SQL.format(name='cv', ids='source_table, source_key', source='scoped_chunks', text='chunk_text')},
+        near AS (SELECT question_id AS query_id, key AS entity_key, source_table, source_key, list_distance(qv.v, cv.v) AS distance
+          FROM mentions JOIN qv USING (question_id) JOIN cv ON source_table = kind || '_performance' AND starts_with(source_key, key || '|'))
+        SELECT query_id, entity_key, source_table, source_key, round(distance, 5) AS distance,
+          CAST(row_number() OVER (PARTITION BY query_id, source_table, entity_key ORDER BY round(distance, 5), source_key) - 1 AS INT) AS rank
+        FROM near QUALIFY rank < 5"""
+    ),
+)
+def retrieve_per_entity(spark, sf):
+    corpus, asked = chunk_table(spark, sf), question_table(spark, sf)
+    return rounded(R.retrieve_per_entity(corpus, asked, _mentions(spark, sf, asked)))
+
+
+def _run(spark, sf, corpus, asked, ranked):
+    routed = E.route_table(
+        asked.select("query_id", "text"), ["query_id"], "text", TX.country_names(spark, sf), TX.artist_names(spark, sf)
+    )
+    return routed, R.top1_distance(ranked, asked, corpus)
+
+
+@query("confidence_gate")
+def confidence_gate(spark, sf):
+    corpus, asked = chunk_table(spark, sf), question_table(spark, sf)
+    return R.confidence_gate(*_run(spark, sf, corpus, asked, R.knn_exact(corpus, asked, 1)))
+
+
+@query("retrieval_eval")
+def retrieval_eval(spark, sf):
+    """Vector search alone against hybrid search over the same questions."""
+    corpus, asked = chunk_table(spark, sf), question_table(spark, sf)
+    runs = []
+    for ranked in (R.knn_exact(corpus, asked, K.TOP_K), R.hybrid_search(corpus, asked)):
+        routed, top1 = _run(spark, sf, corpus, asked, ranked)
+        runs.append(R.retrieval_eval(routed, ranked, top1))
+    return R.compare_runs(*runs)
