@@ -18,14 +18,12 @@ def keep_first(df: DataFrame, key: Sequence[str], order: Sequence[Column | str])
     return df.withColumn("_rn", F.row_number().over(window)).filter("_rn = 1").drop("_rn")
 
 
-def total_order(df: DataFrame, first: Sequence[Column], key: Sequence[str] = ()) -> list[Column]:
-    """The given order, then every remaining column ascending, so that no tie is left open."""
-    return [*first, *(F.col(c).asc_nulls_first() for c in df.columns if c not in key)]
-
-
-def dedupe_business_key(df: DataFrame, key: Sequence[str] = ("date", "country", "uri")) -> DataFrame:
-    """One row per business key: the most streams, then the smallest other values."""
-    return keep_first(df, key, total_order(df, [F.col("streams").desc_nulls_last()], key))
+def dedupe_business_key(
+    df: DataFrame, key: Sequence[str] = ("date", "country", "uri"), largest: str = "streams"
+) -> DataFrame:
+    """One row per business key: the largest measure, then the smallest other values, so no tie is left open."""
+    rest = [F.col(c).asc_nulls_first() for c in df.columns if c not in (*key, largest)]
+    return keep_first(df, key, [F.col(largest).desc_nulls_last(), *rest])
 
 
 def dedupe_full_row(df: DataFrame) -> DataFrame:

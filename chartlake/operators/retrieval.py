@@ -22,6 +22,7 @@ QUERY_BLOCK = 4_096
 CORPUS_BLOCK = 65_536
 
 CHUNK = ("source_table", "source_key")
+DIGITS = 6  # distances are compared at this many digits, so that rounding noise cannot reorder equal ones
 
 
 def candidate_budget(k: int = K.TOP_K) -> int:
@@ -58,7 +59,7 @@ def _nearest(queries: pd.DataFrame, q: np.ndarray, keys: pd.DataFrame, c: np.nda
             rows, cols = np.nonzero(d <= np.partition(d, k - 1, axis=1)[:, k - 1 : k] + slack)
         else:
             rows, cols = (a.ravel() for a in np.indices(d.shape))
-        exact = np.sqrt(((c[cols] - q[part][rows]) ** 2).sum(axis=1))
+        exact = np.round(np.sqrt(((c[cols] - q[part][rows]) ** 2).sum(axis=1)), DIGITS)
         out = keys.iloc[cols].reset_index(drop=True)
         out.insert(0, "query_id", queries["query_id"].to_numpy()[part][rows])
         out["distance"] = exact
@@ -249,7 +250,7 @@ def top1_distance(ranked: DataFrame, queries: DataFrame, corpus: DataFrame, keys
     return (
         best.join(corpus.select(*keys, F.col("embedding").alias("_c")), list(keys))
         .join(queries.select("query_id", F.col("embedding").alias("_q")), "query_id")
-        .select("query_id", *keys, l2_distance(F.col("_q"), F.col("_c")).alias("distance"))
+        .select("query_id", *keys, F.round(l2_distance(F.col("_q"), F.col("_c")), DIGITS).alias("distance"))
     )
 
 
@@ -449,7 +450,7 @@ def retrieval_eval(
     tops = F.sort_array(F.collect_list(F.struct("rank", F.concat_ws(":", *keys).alias("key"))))
     listed = ranked.groupBy("query_id").agg(F.array_join(F.transform(tops, lambda t: t["key"]), ", ").alias("top_chunks"))
     gated = confidence_gate(routed, top1)
-    return gated.join(listed, "query_id", "left").withColumn("top1_distance", F.round("top1_distance", 5))
+    return gated.join(listed, "query_id", "left")
 
 
 def compare_runs(before: DataFrame, after: DataFrame, columns: Sequence[str] = ("source_table", "top_chunks", "outcome")) -> DataFrame:

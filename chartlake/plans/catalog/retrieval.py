@@ -1,8 +1,11 @@
 """Chunks, nearest neighbours, keyword search and the retrieval jobs.
 
-The chunk table is written once per job and read by every step of it, as a served chunk table would be.
+A retrieval job writes the monthly tables and the chunk table once and reads them in all its steps.
 """
 
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chartlake import constants as K
@@ -65,19 +68,32 @@ chunks AS (
 query("render_chunks", over_silver(f"{CHUNKS_CTE} SELECT * FROM chunks"))(chunks)
 
 
-def chunk_table(spark, sf):
-    """Chunks with their vectors, written and read back."""
-    path = work_dir(spark, "gold_chunks")
-    chunks(spark, sf).withColumn("embedding", embed(F.col("chunk_text"))).write.parquet(path)
-    return spark.read.parquet(path)
+@dataclass
+class Served:
+    """What a retrieval job reads: chunks and questions, with or without vectors, and the name lists."""
+
+    chunks: DataFrame
+    questions: DataFrame
+    countries: DataFrame
+    artists: DataFrame
+
+
+TABLES = ("country_performance", "label_performance_enhanced", "kpi_song", "track_catalog", "artist_performance_ranked")
 
 
-def question_table(spark, sf):
-    path = work_dir(spark, "questions")
-    TX.questions(spark, sf).withColumnRenamed("question_id", "query_id").withColumn(
-        "embedding", embed(F.col("text"))
-    ).write.parquet(path)
-    return spark.read.parquet(path)
+def served(spark, sf, vectors=True):
+    out = work_dir(spark, "served")
+    paths = G.run_gold(spark, silver(spark, sf), out, TABLES)
+    tables = {name: spark.read.parquet(paths[name]) for name in TABLES}
+    countries, singers = tables["country_performance"], tables["artist_performance_ranked"]
+    texts = {
+        "chunks": (C.render_chunks(*(tables[t] for t in TABLES)), "chunk_text"),
+        "questions": (TX.questions_of(countries, singers).withColumnRenamed("question_id", "query_id"), "text"),
+    }
+    for name, (df, text) in texts.items():
+        (df.withColumn("embedding", embed(F.col(text))) if vectors else df).write.parquet(f"{out}/{name}")
+    read = {name: spark.read.parquet(f"{out}/{name}") for name in texts}
+    return Served(read["chunks"], read["questions"], TX.country_names(countries), TX.artist_names(singers))
 
 
 @query(
@@ -116,36 +132,28 @@ def centres(spark, sf):
     )
 
 
-def rounded(df):
-    return df.withColumn("distance", F.round("distance", 5))
-
-
-NEAR_SQL = """, d AS (SELECT CAST(label AS VARCHAR) AS query_id, vec_id, list_distance(CAST(embedding AS DOUBLE[]), q) AS distance
+NEAR_SQL = """, d AS (SELECT CAST(label AS VARCHAR) AS query_id, vec_id, round(list_distance(CAST(embedding AS DOUBLE[]), q), 6) AS distance
   FROM (SELECT vec_id, embedding, label AS own FROM embeddings) e, centres {where})
-  SELECT query_id, vec_id, round(distance, 5) AS distance, CAST(row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) - 1 AS INT) AS rank
+  SELECT query_id, vec_id, distance, CAST(row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) - 1 AS INT) AS rank
   FROM d QUALIFY rank < 20"""
 query("knn_exact", f"WITH {CENTRES_CTE}{NEAR_SQL.format(where='')}")(
-    lambda spark, sf: rounded(R.knn_exact(vectors(spark, sf), centres(spark, sf), R.candidate_budget(), VECTOR))
+    lambda spark, sf: R.knn_exact(vectors(spark, sf), centres(spark, sf), R.candidate_budget(), VECTOR)
 )
 query("knn_exact_scoped", f"WITH {CENTRES_CTE}{NEAR_SQL.format(where='WHERE own = label')}")(
-    lambda spark, sf: rounded(
-        R.knn_exact(
-            vectors(spark, sf).withColumn("scope", F.col("source_label")),
-            centres(spark, sf).withColumn("scope", F.col("query_id")), R.candidate_budget(), VECTOR,
-        )
+    lambda spark, sf: R.knn_exact(
+        vectors(spark, sf).withColumn("scope", F.col("source_label")),
+        centres(spark, sf).withColumn("scope", F.col("query_id")), R.candidate_budget(), VECTOR,
     )
 )
 query(
     "knn_exact_self",
-    """WITH d AS (SELECT a.vec_id AS query_id, b.vec_id, list_distance(CAST(b.embedding AS DOUBLE[]), CAST(a.embedding AS DOUBLE[])) AS distance
-    FROM embeddings a, embeddings b) SELECT query_id, vec_id, round(distance, 5) AS distance,
+    """WITH d AS (SELECT a.vec_id AS query_id, b.vec_id, round(list_distance(CAST(b.embedding AS DOUBLE[]), CAST(a.embedding AS DOUBLE[])), 6) AS distance
+    FROM embeddings a, embeddings b) SELECT query_id, vec_id, distance,
     CAST(row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) - 1 AS INT) AS rank FROM d QUALIFY rank < 5""",
 )(
-    lambda spark, sf: rounded(
-        R.knn_exact(
-            vectors(spark, sf), vectors(spark, sf).select(F.col("vec_id").alias("query_id"), "embedding"), 5, VECTOR,
-            query_bytes=0, query_block=128, corpus_block=256,
-        )
+    lambda spark, sf: R.knn_exact(
+        vectors(spark, sf), vectors(spark, sf).select(F.col("vec_id").alias("query_id"), "embedding"), 5, VECTOR,
+        query_bytes=0, query_block=128, corpus_block=256,
     )
 )
 
@@ -159,7 +167,7 @@ def _lists(spark, sf):
 @query("knn_ivf")
 def knn_ivf(spark, sf):
     indexed, middle = _lists(spark, sf)
-    return rounded(R.knn_ivf(indexed, middle, centres(spark, sf), K.TOP_K, max(1, len(middle) // 4), VECTOR))
+    return R.knn_ivf(indexed, middle, centres(spark, sf), K.TOP_K, max(1, len(middle) // 4), VECTOR)
 
 
 @query("knn_recall_sweep")
@@ -171,13 +179,13 @@ def knn_recall_sweep(spark, sf):
 
 @query(
     "top1_distance",
-    f"""WITH {CENTRES_CTE}, d AS (SELECT CAST(label AS VARCHAR) AS query_id, vec_id, list_distance(CAST(embedding AS DOUBLE[]), q) AS distance
+    f"""WITH {CENTRES_CTE}, d AS (SELECT CAST(label AS VARCHAR) AS query_id, vec_id, round(list_distance(CAST(embedding AS DOUBLE[]), q), 6) AS distance
     FROM (SELECT vec_id, embedding FROM embeddings) e, centres)
-    SELECT query_id, vec_id, round(distance, 5) AS distance FROM d QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) = 1""",
+    SELECT query_id, vec_id, distance FROM d QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) = 1""",
 )
 def top1_distance(spark, sf):
     corpus, asked = vectors(spark, sf), centres(spark, sf)
-    return rounded(R.top1_distance(R.knn_exact(corpus, asked, 1, VECTOR), asked, corpus, VECTOR))
+    return R.top1_distance(R.knn_exact(corpus, asked, 1, VECTOR), asked, corpus, VECTOR)
 
 
 # --- keyword search -----------------------------------------------------------------------
@@ -221,8 +229,6 @@ def bm25_sql(keys: str, docs: str, asked: str, k: int, where: str = "") -> str:
   SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, {keys}) - 1 AS INT) AS rank FROM full_hit QUALIFY rank < {k}"""
 
 
-# Each country and year is asked for as a phrase with an exclusion.
-ASKED = "name || ' ' || year || ' growth -label \"total streams\" -\"no such phrase\"'"
 
 
 @query(
@@ -239,15 +245,13 @@ ASKED = "name || ' ' || year || ' growth -label \"total streams\" -\"no such phr
     ),
 )
 def keyword_search(spark, sf):
-    corpus = chunks(spark, sf)
-    asked = silver(spark, sf).select("country_name", "year").distinct().select(
-        F.concat_ws("|", "country_name", F.col("year").cast("string")).alias("query_id"),
-        F.concat(
-            "country_name", F.lit(" "), F.col("year").cast("string"),
-            F.lit(' growth -label "total streams" -"no such phrase"'),
-        ).alias("text"),
+    tables = served(spark, sf, vectors=False)
+    pairs = tables.questions.filter("query_id like 'lookup|%'").select(F.split("query_id", "\\|").alias("p"))
+    asked = pairs.select(F.col("p")[1].alias("country_name"), F.col("p")[2].alias("year")).select(
+        F.concat_ws("|", "country_name", "year").alias("query_id"),
+        F.concat("country_name", F.lit(" "), "year", F.lit(' growth -label "total streams" -"no such phrase"')).alias("text"),
     )
-    return R.keyword_search(corpus, asked, 15)
+    return R.keyword_search(tables.chunks, asked, 15)
 
 
 query(
@@ -309,8 +313,8 @@ QUESTION_TERMS = r"list_distinct(regexp_extract_all(lower(q.text), '[a-z0-9'']+'
     ),
 )
 def rerank_pairs(spark, sf):
-    corpus = chunks(spark, sf)
-    asked = TX.questions(spark, sf).filter("question_id like 'lookup|%'").withColumnRenamed("question_id", "query_id")
+    tables = served(spark, sf, vectors=False)
+    corpus, asked = tables.chunks, tables.questions.filter("query_id like 'lookup|%'")
     name = F.split("query_id", "\\|")[1]
     own = corpus.filter("source_table = 'country_performance'").select(
         "source_table", "source_key", F.split("source_key", "\\|")[0].alias("name")
@@ -321,24 +325,21 @@ def rerank_pairs(spark, sf):
 
 @query("hybrid_search")
 def hybrid_search(spark, sf):
-    corpus, asked = chunk_table(spark, sf), question_table(spark, sf)
-    routed = E.route_table(
-        asked.select("query_id", "text"), ["query_id"], "text", TX.country_names(spark, sf), TX.artist_names(spark, sf), fuzzy=False
-    )
-    scoped = asked.join(routed.select("query_id", F.col("source_table").alias("scope")), "query_id")
-    return R.hybrid_search(corpus.withColumn("scope", F.col("source_table")), scoped)
+    t = served(spark, sf)
+    routed = E.route_table(t.questions.select("query_id", "text"), ["query_id"], "text", t.countries, t.artists, fuzzy=False)
+    scoped = t.questions.join(routed.select("query_id", F.col("source_table").alias("scope")), "query_id")
+    return R.hybrid_search(t.chunks.withColumn("scope", F.col("source_table")), scoped)
 
 
-def _mentions(spark, sf, asked):
-    ids = ["query_id"]
-    countries = E.detect_entities(asked, ids, "text", TX.country_names(spark, sf))
-    singers = E.detect_entities(asked, ids, "text", TX.artist_names(spark, sf))
-    return countries.select("query_id", F.lit("country_performance").alias("source_table"), "key").unionByName(
-        singers.select("query_id", F.lit("artist_performance").alias("source_table"), "key")
-    )
+def _mentions(t):
+    found = [
+        E.detect_entities(t.questions, ["query_id"], "text", names).select("query_id", F.lit(table).alias("source_table"), "key")
+        for table, names in (("country_performance", t.countries), ("artist_performance", t.artists))
+    ]
+    return found[0].unionByName(found[1])
 
 
-VECTORS_SQL = """{name} AS (SELECT {ids}, list(coalesce(n, 0) / norm ORDER BY i) AS v FROM (
+VECTORS_SQL = """{name} AS (SELECT {ids}, list(CAST(coalesce(n, 0) / norm AS FLOAT) ORDER BY i) AS v FROM (
   SELECT {ids}, i, n, sqrt(sum(coalesce(n * n, 0)) OVER (PARTITION BY {ids})) AS norm FROM (
     SELECT {ids}, i FROM {source}, range(384) r(i)) LEFT JOIN (
     SELECT {ids}, CAST('0x' || substr(md5(w), 1, 7) AS BIGINT) % 384 AS i, count(*) AS n
@@ -353,37 +354,34 @@ VECTORS_SQL = """{name} AS (SELECT {ids}, list(coalesce(n, 0) / norm ORDER BY i)
         {VECTORS_SQL.format(name='qv', ids='question_id', source='questions', text='text')},
         scoped_chunks AS (SELECT * FROM chunks WHERE source_table IN ('country_performance', 'artist_performance')),
         {VECTORS_SQL.format(name='cv', ids='source_table, source_key', source='scoped_chunks', text='chunk_text')},
-        near AS (SELECT question_id AS query_id, key AS entity_key, source_table, source_key, list_distance(qv.v, cv.v) AS distance
-          FROM mentions JOIN qv USING (question_id) JOIN cv ON source_table = kind || '_performance' AND starts_with(source_key, key || '|'))
-        SELECT query_id, entity_key, source_table, source_key, round(distance, 5) AS distance,
-          CAST(row_number() OVER (PARTITION BY query_id, source_table, entity_key ORDER BY round(distance, 5), source_key) - 1 AS INT) AS rank
+        near AS (SELECT question_id AS query_id, key AS entity_key, source_table, source_key, round(list_distance(CAST(qv.v AS DOUBLE[]), CAST(cv.v AS DOUBLE[])), 6) AS distance
+          FROM (SELECT DISTINCT question_id, key, kind FROM mentions) JOIN qv USING (question_id) JOIN cv ON source_table = kind || '_performance' AND starts_with(source_key, key || '|'))
+        SELECT query_id, entity_key, source_table, source_key, distance,
+          CAST(row_number() OVER (PARTITION BY query_id, source_table, entity_key ORDER BY distance, source_key) - 1 AS INT) AS rank
         FROM near QUALIFY rank < 5"""
     ),
 )
 def retrieve_per_entity(spark, sf):
-    corpus, asked = chunk_table(spark, sf), question_table(spark, sf)
-    return rounded(R.retrieve_per_entity(corpus, asked, _mentions(spark, sf, asked)))
+    t = served(spark, sf)
+    return R.retrieve_per_entity(t.chunks, t.questions, _mentions(t))
 
 
-def _run(spark, sf, corpus, asked, ranked):
-    routed = E.route_table(
-        asked.select("query_id", "text"), ["query_id"], "text", TX.country_names(spark, sf), TX.artist_names(spark, sf)
-    )
-    return routed, R.top1_distance(ranked, asked, corpus)
+def _routed(t):
+    return E.route_table(t.questions.select("query_id", "text"), ["query_id"], "text", t.countries, t.artists)
 
 
 @query("confidence_gate")
 def confidence_gate(spark, sf):
-    corpus, asked = chunk_table(spark, sf), question_table(spark, sf)
-    return R.confidence_gate(*_run(spark, sf, corpus, asked, R.knn_exact(corpus, asked, 1)))
+    t = served(spark, sf)
+    return R.confidence_gate(_routed(t), R.top1_distance(R.knn_exact(t.chunks, t.questions, 1), t.questions, t.chunks))
 
 
 @query("retrieval_eval")
 def retrieval_eval(spark, sf):
     """Vector search alone against hybrid search over the same questions."""
-    corpus, asked = chunk_table(spark, sf), question_table(spark, sf)
-    runs = []
-    for ranked in (R.knn_exact(corpus, asked, K.TOP_K), R.hybrid_search(corpus, asked)):
-        routed, top1 = _run(spark, sf, corpus, asked, ranked)
-        runs.append(R.retrieval_eval(routed, ranked, top1))
+    t = served(spark, sf)
+    runs = [
+        R.retrieval_eval(_routed(t), ranked, R.top1_distance(ranked, t.questions, t.chunks))
+        for ranked in (R.knn_exact(t.chunks, t.questions, K.TOP_K), R.hybrid_search(t.chunks, t.questions))
+    ]
     return R.compare_runs(*runs)

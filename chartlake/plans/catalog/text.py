@@ -44,21 +44,26 @@ def artists(spark, sf):
     return G.artist_performance_ranked(silver(spark, sf))
 
 
-def questions(spark, sf):
-    return Qs.country_questions(silver(spark, sf)).unionByName(Qs.artist_questions(artists(spark, sf)))
+def artist_names(artist_performance):
+    """Each artist name of five letters or more, with the uri that has the most streams under it."""
+    best = distinct_on_best(artist_performance, "artist_name", "artist_uri", "total_streams", K.MIN_ENTITY_LENGTH)
+    return E.name_dictionary(best, "artist_name", "artist_uri")
 
 
-def artist_names(spark, sf):
-    best = distinct_on_best(artists(spark, sf), "artist_name", "artist_uri", "total_streams", K.MIN_ENTITY_LENGTH)
-    return E.name_dictionary(best, "artist_name", "artist_uri")
+def country_names(country_rows):
+    return E.name_dictionary(country_rows.select("country_name").distinct(), "country_name")
 
 
-def country_names(spark, sf):
-    return E.name_dictionary(silver(spark, sf).select("country_name").distinct(), "country_name")
+def questions_of(country_rows, artist_performance):
+    return Qs.country_questions(country_rows).unionByName(Qs.artist_questions(artist_performance))
+
+
+def questions(spark, sf):
+    return questions_of(silver(spark, sf), artists(spark, sf))
 
 
 def names(spark, sf):
-    return artist_names(spark, sf).unionByName(country_names(spark, sf))
+    return artist_names(artists(spark, sf)).unionByName(country_names(silver(spark, sf)))
 
 
 query("chart_questions", over_silver(f"{QUESTIONS_CTE} SELECT * FROM questions"))(questions)
@@ -162,13 +167,13 @@ query(
     ),
 )(
     lambda spark, sf: E.route_table(
-        questions(spark, sf), ["question_id"], "text", country_names(spark, sf), artist_names(spark, sf), fuzzy=False
+        questions(spark, sf), ["question_id"], "text", country_names(silver(spark, sf)), artist_names(artists(spark, sf)), fuzzy=False
     )
 )
 query("route_table_fuzzy")(
     lambda spark, sf: E.route_table(
         questions(spark, sf), ["question_id"], "text",
-        country_names(spark, sf).unionByName(E.alias_dictionary(spark)), artist_names(spark, sf),
+        country_names(silver(spark, sf)).unionByName(E.alias_dictionary(spark)), artist_names(artists(spark, sf)),
     )
 )
 

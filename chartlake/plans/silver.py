@@ -24,10 +24,9 @@ def clean_chart(
     same and the dropped rows are never shuffled. Like the comparison it stands for, it also
     drops markets without a name; drop_rollup=None keeps both.
     """
-    named = bronze.withColumn("country_name", clean.map_lookup("country", countries))
-    if drop_rollup is not None:
-        named = named.filter(F.col("country_name") != drop_rollup)
-    once = dedupe_business_key(named).withColumnRenamed("country", "market")
+    name = clean.map_lookup("country", countries)
+    kept = bronze if drop_rollup is None else bronze.filter(name != drop_rollup)
+    once = dedupe_business_key(kept).withColumn("country_name", name).withColumnRenamed("country", "market")
     filled = once.fillna(dict(defaults))
     return filled.withColumns({c: F.trim(c) for c in defaults})
 
