@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from chartlake.sources.readers import spread
+
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
     "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
@@ -44,10 +46,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(table(spark, sf_dir, "documents"), "doc_id")
+
+
 def chart_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily chart facts: one row per line item."""
-    names = ("lineitem", "orders", "customer", "nation", "part")
-    return spark.sql(CHART_SQL, **{n: table(spark, sf_dir, n) for n in names})
+    sides = {n: table(spark, sf_dir, n) for n in ("orders", "customer", "nation", "part")}
+    facts = spread(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_linenumber")
+    return spark.sql(CHART_SQL, lineitem=facts, **sides)
 
 
 def song_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chartlake.functions.features import year_month_key
 from chartlake.operators import joins
-from chartlake.operators.windows import latest_periods, sort_topk
+from chartlake.operators.windows import sort_topk
 
 
 def scoped(df: DataFrame, year: int | None = None, country: str | None = None) -> DataFrame:
@@ -43,9 +43,8 @@ def period_aggregate(df: DataFrame, country: str | None = None) -> DataFrame:
 
 def kpi_cards(df: DataFrame, year: int | None = None, country: str | None = None) -> DataFrame:
     """Four cards for the newest month, two of them with the change against the month before."""
-    data = scoped(df, year, country)
     # Two rows at most: the newest months, told apart by their order.
-    newest = period_aggregate(data.join(F.broadcast(latest_periods(data, 2)), ["year", "month"], "left_semi"))
+    newest = sort_topk(period_aggregate(scoped(df, year, country)), [F.desc("year"), F.desc("month")], 2)
     rows = newest.agg(F.sort_array(F.collect_list(F.struct("year", "month", *_MEASURES)), asc=False).alias("p"))
     now, before = F.get("p", F.lit(0)), F.get("p", F.lit(1))
 
@@ -101,13 +100,11 @@ def series_hit_rate(df: DataFrame, country: str | None = None) -> DataFrame:
 
 def top_countries_year(df: DataFrame, year: int | None = None, k: int = 8) -> DataFrame:
     """The year's largest countries; the latest year unless one is given."""
-    if year is not None:
-        chosen = scoped(df, year)
-    else:
-        # One row: the newest year.
-        chosen = df.join(F.broadcast(df.agg(F.max("year").alias("year"))), "year", "left_semi")
-    totals = chosen.groupBy("year", "country_name").agg(F.sum("total_streams").alias("total_streams"))
-    return sort_topk(totals, [F.desc("total_streams"), "country_name"], k)
+    totals = scoped(df, year).groupBy("year", "country_name").agg(F.sum("total_streams").alias("total_streams"))
+    # The latest year sorts first; if it has fewer than k countries, older rows among the k go.
+    best = sort_topk(totals, [F.desc("year"), F.desc("total_streams"), "country_name"], k)
+    latest = F.max("year").over(Window.partitionBy())
+    return best.withColumn("_latest", latest).filter("year = _latest").drop("_latest")
 
 
 def top_artists(df: DataFrame, year: int | None = None, country: str | None = None, k: int = 8) -> DataFrame:

@@ -103,7 +103,7 @@ def served(spark, sf, vectors=True):
     SELECT doc_id, position, round(n / sqrt(sum(n * n) OVER (PARTITION BY doc_id)), 4) AS weight FROM s""",
 )
 def embed_text(spark, sf):
-    vectors = fixtures.table(spark, sf, "documents").select("doc_id", embed(F.col("text"), hashed_counts(64)).alias("v"))
+    vectors = fixtures.documents(spark, sf).select("doc_id", embed(F.col("text"), hashed_counts(64)).alias("v"))
     return vectors.select("doc_id", F.posexplode("v").alias("position", "w")).filter("w > 0").select(
         "doc_id", "position", F.round(F.col("w").cast("double"), 4).alias("weight")
     )
@@ -265,7 +265,7 @@ query(
     ),
 )(
     lambda spark, sf: R.keyword_search(
-        fixtures.table(spark, sf, "documents"),
+        fixtures.documents(spark, sf),
         fixtures.table(spark, sf, "benchmark").select(F.col("item_id").cast("string").alias("query_id"), "text"),
         15, text="text", keys=["doc_id"],
     )

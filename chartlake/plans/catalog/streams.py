@@ -1 +1,51 @@
-"""Placeholder."""
+"""Streaming jobs over the event table, each with its batch form."""
+
+from pyspark.sql import functions as F
+
+from chartlake import constants as K
+from chartlake.fixtures import table
+from chartlake.plans.catalog.base import query
+from chartlake.streaming import usage as U
+
+# An event stands for a request: its type is the text or the provider, its user the history.
+DEDUPE_SQL = """SELECT DISTINCT sha256(lower(trim(event_type)) || '|' || '{"user_id":' || user_id || '}') AS reply_key,
+  CAST(floor(epoch(ts) / 900) * 900 AS BIGINT) AS window_start FROM events"""
+
+
+def _dedupe(events):
+    return U.reply_dedupe(events, F.col("event_type"), F.struct("user_id"))
+
+
+def _events_stream(spark, sf):
+    return U.read_stream(spark, sf, "events.parquet", table(spark, sf, "events").schema)
+
+
+query("stream_reply_dedupe", DEDUPE_SQL)(
+    lambda spark, sf: U.run_to_table(_dedupe(_events_stream(spark, sf)), "reply_dedupe")
+)
+query("reply_dedupe_batch", DEDUPE_SQL)(lambda spark, sf: _dedupe(table(spark, sf, "events")))
+
+USAGE_SQL = """SELECT event_type AS provider, CAST(floor(epoch(ts) / {width}) * {width} AS BIGINT) AS window_start,
+  CAST(sum({amount}) AS BIGINT) AS used, count(*) AS requests, sum({amount}) >= {budget} AS over_budget FROM events GROUP BY 1, 2"""
+# Only windows whose end the watermark (latest event less an hour) has reached.
+CLOSED = " HAVING floor(min(epoch(ts)) / {width}) * {width} + {width} <= (SELECT max(epoch(ts)) FROM events) - 3600"
+TOKENS = {"width": K.USAGE_LIMITS["tokens"][0], "amount": "CAST(round(value * 100) AS BIGINT)", "budget": K.USAGE_LIMITS["tokens"][1]}
+REQUESTS = {"width": K.USAGE_LIMITS["requests"][0], "amount": "1", "budget": 2}
+
+
+def _tokens(events):
+    """Spend in hundredths per day."""
+    return U.usage_budget(events, "event_type", F.round(F.col("value") * 100).cast("long"), TOKENS["width"], TOKENS["budget"])
+
+
+def _requests(events):
+    return U.usage_budget(events, "event_type", F.lit(1).cast("long"), REQUESTS["width"], REQUESTS["budget"])
+
+
+query("stream_usage_budget", (USAGE_SQL + CLOSED).format(**TOKENS))(
+    lambda spark, sf: U.run_to_table(_tokens(_events_stream(spark, sf)), "usage_tokens")
+)
+query("stream_usage_requests", (USAGE_SQL + CLOSED).format(**REQUESTS))(
+    lambda spark, sf: U.run_to_table(_requests(_events_stream(spark, sf)), "usage_requests")
+)
+query("usage_budget_batch", USAGE_SQL.format(**TOKENS))(lambda spark, sf: _tokens(table(spark, sf, "events")))

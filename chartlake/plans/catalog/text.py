@@ -133,7 +133,7 @@ query(
     SELECT doc_id, count(*) AS n_entities, min(entity) AS first_entity, max(CAST(length(entity) AS INT)) AS longest
     FROM tokens JOIN known USING (entity) GROUP BY doc_id""",
 )(
-    lambda spark, sf: E.detect_entities(fixtures.table(spark, sf, "documents"), ["doc_id"], "text", vocabulary(spark, sf))
+    lambda spark, sf: E.detect_entities(fixtures.documents(spark, sf), ["doc_id"], "text", vocabulary(spark, sf))
     .groupBy("doc_id")
     .agg(
         F.count(F.lit(1)).alias("n_entities"), F.min("entity").alias("first_entity"), F.max("entity_length").alias("longest")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Collection, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from chartlake import constants as K
@@ -30,6 +30,11 @@ def _label() -> Column:
     return R.one(F.col("standardized_label"))
 
 
+def _month_totals(silver: DataFrame) -> DataFrame:
+    """Totals straight from the cleaned chart: two columns to read, where the entity table would be built twice."""
+    return silver.groupBy(*MONTH).agg(F.sum("streams").alias("_total"))
+
+
 def exclude_period(df: DataFrame, *periods: tuple[int, int]) -> DataFrame:
     """Leave out incomplete months."""
     for year, month in periods:
@@ -79,8 +84,9 @@ def country_performance(silver: DataFrame) -> DataFrame:
             R.top_of("credit", "name").alias("top_artist_name"),
         )
     )
-    totals = table.groupBy(*MONTH).agg(F.sum("total_streams").alias("monthly_total_streams"))
-    return add_growth(table.join(totals, list(MONTH), "left"), ["country_name"])
+    # A month holds one row per country by now, so a window is enough.
+    total = F.sum("total_streams").over(Window.partitionBy(*MONTH))
+    return add_growth(table.withColumn("monthly_total_streams", total), ["country_name"])
 
 
 def country_performance_v2(silver: DataFrame) -> DataFrame:
@@ -98,8 +104,9 @@ def country_performance_v2(silver: DataFrame) -> DataFrame:
             R.top_of("label").alias("top_label"),
         )
     )
-    table = add_growth(share_of_total(table, MONTH), ["country_name"], fill=0.0)
-    return table.withColumn("year_month", year_month_label())
+    total = F.sum("total_streams").over(Window.partitionBy(*MONTH))
+    table = table.withColumn("market_share", percent(F.col("total_streams"), total))
+    return add_growth(table, ["country_name"], fill=0.0).withColumn("year_month", year_month_label())
 
 
 def monthly_trends(silver: DataFrame, excluded: Sequence[tuple[int, int]] = ((2026, 5),)) -> DataFrame:
@@ -181,7 +188,7 @@ def label_performance(silver: DataFrame) -> DataFrame:
             R.or_null(R.n_of("artist")).alias("active_artists"),
         )
     )
-    return share_of_total(table, MONTH).withColumn("year_month", year_month_label())
+    return share_of_total(table, MONTH, totals=_month_totals(silver)).withColumn("year_month", year_month_label())
 
 
 def _credit_tracks(silver: DataFrame, credits: Column, group: Sequence[str]) -> DataFrame:
