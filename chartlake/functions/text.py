@@ -35,7 +35,8 @@ def runs(tokens: str, n: str) -> Column:
 def stem(word: Column) -> Column:
     """Plural stemmer: -ies to -y, -es to -e, -s dropped, with the usual exceptions."""
     return (
-        F.when(word.rlike("[^ea]ies$"), F.regexp_replace(word, "ies$", "y"))
+        F.when(~word.endswith("s"), word)
+        .when(word.rlike("[^ea]ies$"), F.regexp_replace(word, "ies$", "y"))
         .when(word.rlike("[^aeo]es$"), F.regexp_replace(word, "es$", "e"))
         .when(word.rlike("[^us]s$"), F.regexp_replace(word, "s$", ""))
         .otherwise(word)

@@ -259,8 +259,7 @@ def top1_distance(ranked: DataFrame, queries: DataFrame, corpus: DataFrame, keys
 
 def index_terms(text: Column, stop_words: Sequence[str] = K.STOP_WORDS) -> Column:
     """Stemmed words without stop words, in order."""
-    stops = F.array(*map(F.lit, stop_words))
-    kept = F.filter(words(text, INDEX_WORD), lambda w: ~F.array_contains(stops, w))
+    kept = F.filter(words(text, INDEX_WORD), lambda w: ~w.isin(*stop_words))
     return F.transform(kept, stem)
 
 
@@ -269,6 +268,11 @@ def phrase_text(text: Column) -> Column:
     return F.concat(F.lit(" "), F.array_join(F.transform(words(text, INDEX_WORD), stem), " "), F.lit(" "))
 
 
+def with_index(corpus: DataFrame, text: str = "chunk_text") -> DataFrame:
+    """The corpus with the columns keyword search works on; written with the chunks, they are made once."""
+    return corpus.withColumns({"index_terms": index_terms(F.col(text)), "index_text": phrase_text(F.col(text))})
+
+
 def search_terms(queries: DataFrame, text: str) -> DataFrame:
     """One row per alternative of each query: terms, excluded terms, phrases.
 
@@ -307,12 +311,14 @@ def keyword_search(
 
     An alternative's candidates are the chunks that hold its rarest term; they alone are checked for the
     other terms, so a frequent term never multiplies rows. Both sides may carry a scope, as in knn_exact.
+    A corpus that already has the index columns is not tokenised again.
     Ranking and stemming are our own, not a database's.
     """
     keys = list(keys)
     scoped = ["scope"] if "scope" in queries.columns and "scope" in corpus.columns else []
     wanted = search_terms(queries, query_text)
-    docs = corpus.select(*keys, *scoped, index_terms(F.col(text)).alias("_terms"), phrase_text(F.col(text)).alias("_text"))
+    indexed = corpus if "index_terms" in corpus.columns else with_index(corpus, text)
+    docs = indexed.select(*keys, *scoped, F.col("index_terms").alias("_terms"), F.col("index_text").alias("_text"))
     stats = docs.agg(F.count(F.lit(1)).alias("_n"), F.avg(F.size("_terms")).alias("_mean"))
 
     # Chunk counts of the query terms only.

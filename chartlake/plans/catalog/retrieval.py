@@ -91,7 +91,11 @@ def served(spark, sf, vectors=True):
         "questions": (TX.questions_of(countries, singers).withColumnRenamed("question_id", "query_id"), "text"),
     }
     for name, (df, text) in texts.items():
-        (df.withColumn("embedding", embed(F.col(text))) if vectors else df).write.parquet(f"{out}/{name}")
+        if name == "chunks":
+            df = R.with_index(df)
+        if vectors:
+            df = df.withColumn("embedding", embed(F.col(text)))
+        df.write.parquet(f"{out}/{name}")
     read = {name: spark.read.parquet(f"{out}/{name}") for name in texts}
     return Served(read["chunks"], read["questions"], TX.country_names(countries), TX.artist_names(singers))
 
@@ -265,12 +269,20 @@ query(
     ),
 )(
     lambda spark, sf: R.keyword_search(
-        fixtures.documents(spark, sf),
+        _indexed_documents(spark, sf),
         fixtures.table(spark, sf, "benchmark").select(F.col("item_id").cast("string").alias("query_id"), "text"),
-        15, text="text", keys=["doc_id"],
+        15, keys=["doc_id"],
     )
 )
 
+
+def _indexed_documents(spark, sf):
+    path = work_dir(spark, "document_index")
+    R.with_index(fixtures.documents(spark, sf).select("doc_id", "text"), "text").drop("text").write.parquet(path)
+    return spark.read.parquet(path)
+
+
+
 # --- fusion and reranking -----------------------------------------------------------------
 
 
