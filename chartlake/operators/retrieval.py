@@ -43,49 +43,82 @@ def _matrix(column) -> np.ndarray:
     return np.array([np.asarray(v, dtype="float64") for v in column])
 
 
-def _nearest(queries: pd.DataFrame, q: np.ndarray, keys: pd.DataFrame, c: np.ndarray, k: int, step: int = 256) -> pd.DataFrame:
-    """The k nearest corpus rows of each query row within one batch.
+class _Nearest:
+    """The k nearest corpus rows per query row, over any number of batches of one task.
 
-    The product form of the distance picks the candidates with a little slack; their distances are then
-    worked out from the differences.
+    The product form of the distance, in single precision, picks candidates with some slack: in the first
+    batch against the batch's own k-th best, later against the k-th best so far. Their distances are then
+    worked out from the differences in double precision, and only queries with candidates are merged.
     """
-    found = []
-    q2, c2 = (q * q).sum(axis=1), (c * c).sum(axis=1)
-    for start in range(0, len(q), step):
-        part = slice(start, start + step)
-        d = q2[part, None] + c2[None, :] - 2.0 * (q[part] @ c.T)
-        if d.shape[1] > k:
-            slack = 1e-6 * (1.0 + np.abs(d).max())
-            rows, cols = np.nonzero(d <= np.partition(d, k - 1, axis=1)[:, k - 1 : k] + slack)
+
+    STEP = 256  # query rows per matrix product
+
+    def __init__(self, queries: pd.DataFrame, vectors: np.ndarray, keys: list[str], k: int):
+        self.ids, self.q, self.keys, self.k = queries["query_id"].to_numpy(dtype=object), vectors, keys, k
+        self.q32, self.q2 = vectors.astype("float32"), (vectors * vectors).sum(axis=1).astype("float32")
+        self.bound = np.full(len(vectors), np.inf)
+        self.best: pd.DataFrame | None = None
+        self.groups = None
+        if "scope" in queries:
+            scope = queries["scope"].to_numpy(dtype=object)
+            rows = pd.Series(np.arange(len(scope)))
+            free = np.array([x is None for x in scope], dtype=bool)
+            self.groups = (rows[free].to_numpy(), {v: at.to_numpy() for v, at in rows[~free].groupby(scope[~free])})
+
+    def add(self, frame: pd.DataFrame, c: np.ndarray) -> None:
+        """Take in one batch; a query with a scope sees only corpus rows of that scope."""
+        if not len(frame) or not len(self.q):
+            return
+        if self.groups is None:
+            found = self._candidates(np.arange(len(self.q)), np.arange(len(c)), c)
         else:
-            rows, cols = (a.ravel() for a in np.indices(d.shape))
-        exact = np.round(np.sqrt(((c[cols] - q[part][rows]) ** 2).sum(axis=1)), DIGITS)
-        out = keys.iloc[cols].reset_index(drop=True)
-        out.insert(0, "query_id", queries["query_id"].to_numpy()[part][rows])
-        out["distance"] = exact
-        found.append(out)
-    return _best(pd.concat(found, ignore_index=True), k, list(keys.columns)) if found else pd.DataFrame()
-
-
-def _best(rows: pd.DataFrame, k: int, keys: list[str]) -> pd.DataFrame:
-    rows = rows.sort_values(["query_id", "distance", *keys], kind="stable")
-    return rows.drop_duplicates(["query_id", *keys]).groupby("query_id", sort=False).head(k)
-
-
-def _scoped(queries: pd.DataFrame, q: np.ndarray, keys: pd.DataFrame, scope: np.ndarray | None, c: np.ndarray, k: int):
-    """Nearest rows where a query with a scope sees only corpus rows of that scope."""
-    if scope is None or "scope" not in queries:
-        yield _nearest(queries, q, keys, c, k)
-        return
-    wanted = queries["scope"].to_numpy(dtype=object)
-    free = np.array([s is None for s in wanted], dtype=bool)
-    if free.any():
-        yield _nearest(queries[free], q[free], keys, c, k)
-    rows_of = pd.Series(np.arange(len(scope))).groupby(pd.Series(scope)).indices
-    for value, at in pd.Series(np.arange(len(wanted)))[~free].groupby(pd.Series(wanted)[~free]):
-        if value in rows_of:
-            mine, here = at.to_numpy(), rows_of[value]
-            yield _nearest(queries.iloc[mine], q[mine], keys.iloc[here], c[here], k)
+            free, scoped = self.groups
+            found = self._candidates(free, np.arange(len(c)), c) if len(free) else []
+            for value, at in pd.Series(np.arange(len(c))).groupby(frame["scope"].to_numpy(dtype=object)).indices.items():
+                if value in scoped:
+                    found += self._candidates(scoped[value], at, c[at])
+        if found:
+            rows, cols, distances = (np.concatenate(x) for x in zip(*found))
+            new = frame[self.keys].iloc[cols].reset_index(drop=True)
+            new["_q"], new["distance"] = rows, distances
+            self._merge(new)
+
+    def _candidates(self, rows: np.ndarray, cols: np.ndarray, c: np.ndarray) -> list[tuple[np.ndarray, ...]]:
+        found = []
+        c32, c2 = c.astype("float32"), (c * c).sum(axis=1).astype("float32")
+        for start in range(0, len(rows), self.STEP):
+            at = rows[start : start + self.STEP]
+            d = self.q2[at, None] + c2[None, :] - 2.0 * (self.q32[at] @ c32.T)
+            limit = (self.bound[at] + 10.0**-DIGITS) ** 2
+            unbound = ~np.isfinite(limit)
+            if unbound.any() and d.shape[1] > self.k:
+                limit[unbound] = np.partition(d[unbound], self.k - 1, axis=1)[:, self.k - 1]
+            slack = 1e-5 * (1.0 + self.q2[at] + c2.max())
+            r, k = np.nonzero(d <= (limit + slack)[:, None])
+            if len(r):
+                exact = np.round(np.sqrt(((c[k] - self.q[at[r]]) ** 2).sum(axis=1)), DIGITS)
+                keep = exact <= self.bound[at[r]]
+                found.append((at[r][keep], cols[k][keep], exact[keep]))
+        return found
+
+    def _merge(self, new: pd.DataFrame) -> None:
+        rest = None
+        if self.best is not None:
+            touched = self.best["_q"].isin(new["_q"].unique())
+            rest, new = self.best[~touched], pd.concat([self.best[touched], new], ignore_index=True)
+        new = new.sort_values(["_q", "distance", *self.keys], kind="stable")
+        new = new.drop_duplicates(["_q", *self.keys]).groupby("_q", sort=False).head(self.k)
+        full = new.groupby("_q")["distance"].agg(["size", "max"])
+        full = full[full["size"] == self.k]
+        self.bound[full.index.to_numpy()] = full["max"].to_numpy()
+        self.best = new if rest is None else pd.concat([rest, new], ignore_index=True)
+
+    def result(self) -> pd.DataFrame:
+        if self.best is None:
+            return pd.DataFrame(columns=["query_id", *self.keys, "distance"])
+        out = self.best.drop(columns="_q")
+        out.insert(0, "query_id", self.ids[self.best["_q"].to_numpy()])
+        return out
 
 
 def knn_exact(
@@ -125,19 +158,13 @@ def knn_exact(
         shared = corpus.sparkSession.sparkContext.broadcast((local.drop(columns="embedding"), q_matrix))
 
         def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            queries_, q = shared.value
-            best = None
+            nearest = _Nearest(*shared.value, key_list, k)
             for batch in batches:
-                if not batch.num_rows or not len(queries_):
-                    continue
-                c = _matrix(batch.column(batch.schema.get_field_index("embedding")))
-                frame = batch.select([x for x in batch.schema.names if x != "embedding"]).to_pandas()
-                scope = frame["scope"].to_numpy(dtype=object) if scoped else None
-                found = [f for f in _scoped(queries_, q, frame[key_list], scope, c, k) if len(f)]
-                if found:
-                    best = _best(pd.concat(([] if best is None else [best]) + found, ignore_index=True), k, key_list)
-            if best is not None:
-                yield pa.RecordBatch.from_pandas(best[["query_id", *key_list, "distance"]], preserve_index=False)
+                plain = batch.select([x for x in batch.schema.names if x != "embedding"]).to_pandas()
+                nearest.add(plain, _matrix(batch.column(batch.schema.get_field_index("embedding"))))
+            out = nearest.result()
+            if len(out):
+                yield pa.RecordBatch.from_pandas(out, preserve_index=False)
 
         found = corpus.mapInArrow(scan, schema)
     else:
@@ -153,20 +180,9 @@ def knn_exact(
         )
 
         def meet(queries_: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
-            if not len(queries_) or not len(rows):
-                return pd.DataFrame(columns=["query_id", *key_list, "distance"])
-            scope = rows["scope"].to_numpy(dtype=object) if scoped else None
-            found = [
-                f
-                for f in _scoped(
-                    queries_.reset_index(drop=True), _matrix(queries_["embedding"]),
-                    rows[key_list].reset_index(drop=True), scope, _matrix(rows["embedding"]), k,
-                )
-                if len(f)
-            ]
-            if not found:
-                return pd.DataFrame(columns=["query_id", *key_list, "distance"])
-            return _best(pd.concat(found, ignore_index=True), k, key_list)[["query_id", *key_list, "distance"]]
+            nearest = _Nearest(queries_.reset_index(drop=True), _matrix(queries_["embedding"]), key_list, k)
+            nearest.add(rows.reset_index(drop=True), _matrix(rows["embedding"]))
+            return nearest.result()
 
         found = left.groupBy("_qb", "_cb").cogroup(right.groupBy("_qb", "_cb")).applyInPandas(meet, schema)
     ranked = top_k_per_group(found, ["query_id"], ["distance", *keys], k, "rank")
