@@ -54,7 +54,7 @@ def approx_quantiles(
 
 
 def exact_quantiles(
-    df: DataFrame, column: str, probs: Sequence[float], buckets: int = 1000
+    df: DataFrame, column: str, probs: Sequence[float], buckets: int = 200
 ) -> DataFrame:
     """Exact interpolated quantiles as rows (prob, value), without bringing the values together.
 

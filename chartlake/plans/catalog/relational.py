@@ -7,6 +7,7 @@ from chartlake.functions import arrays
 from chartlake.functions.features import is_hit, percent
 from chartlake.operators import aggregate, joins, windows
 from chartlake.plans import gold as G
+from chartlake.plans.chunks import country_year
 from chartlake.plans.catalog.base import (
     AVG_SCORE, IS_HIT, STREAMS, bronze, over_chart, over_rich, over_silver, parts, pct, query, r2, rich, silver,
 )
@@ -175,16 +176,10 @@ COUNTRY_YEAR = f""", country_year AS (SELECT country_name, year, CAST(sum(total_
   arg_max(top_song_name, month) AS top_song_name, arg_max(top_artist_name, month) AS top_artist_name
   FROM country_performance GROUP BY ALL)"""
 query("agg_mixed_rollup_year", over_silver(f"{COUNTRY_PERFORMANCE}{COUNTRY_YEAR} SELECT * FROM country_year"))(
-    lambda spark, sf: _country_year(spark, sf)
+    lambda spark, sf: country_year(G.country_performance(silver(spark, sf)))
 )
 
 
-def _country_year(spark, sf):
-    from chartlake.plans.chunks import country_year
-
-    return country_year(G.country_performance(silver(spark, sf)))
-
-
 over("agg_count_if",
      """SELECT country_name, count(*) FILTER (WHERE rank <= 10) AS top10, count(*) FILTER (WHERE release_date IS NULL) AS undated,
      count(*) FILTER (WHERE contains(artist_names, '|')) AS collabs FROM silver GROUP BY ALL""",

@@ -13,6 +13,7 @@ from chartlake import fixtures
 from chartlake.functions.vectors import embed, hashed_counts
 from chartlake.operators import entities as E
 from chartlake.operators import retrieval as R
+from chartlake.operators.windows import top_k_per_group
 from chartlake.plans import chunks as C
 from chartlake.plans import gold as G
 from chartlake.plans.catalog import text as TX
@@ -76,6 +77,7 @@ class Served:
     questions: DataFrame
     countries: DataFrame
     artists: DataFrame
+    country_years: DataFrame
 
 
 TABLES = ("country_performance", "label_performance_enhanced", "kpi_song", "track_catalog", "artist_performance_ranked")
@@ -97,7 +99,10 @@ def served(spark, sf, vectors=True):
             df = df.withColumn("embedding", embed(F.col(text)))
         df.write.parquet(f"{out}/{name}")
     read = {name: spark.read.parquet(f"{out}/{name}") for name in texts}
-    return Served(read["chunks"], read["questions"], TX.country_names(countries), TX.artist_names(singers))
+    return Served(
+        read["chunks"], read["questions"], TX.country_names(countries), TX.artist_names(singers),
+        countries.select("country_name", F.col("year").cast("string").alias("year")).distinct(),
+    )
 
 
 @query(
@@ -250,8 +255,7 @@ def bm25_sql(keys: str, docs: str, asked: str, k: int, where: str = "") -> str:
 )
 def keyword_search(spark, sf):
     tables = served(spark, sf, vectors=False)
-    pairs = tables.questions.filter("query_id like 'lookup|%'").select(F.split("query_id", "\\|").alias("p"))
-    asked = pairs.select(F.col("p")[1].alias("country_name"), F.col("p")[2].alias("year")).select(
+    asked = tables.country_years.select(
         F.concat_ws("|", "country_name", "year").alias("query_id"),
         F.concat("country_name", F.lit(" "), "year", F.lit(' growth -label "total streams" -"no such phrase"')).alias("text"),
     )
@@ -300,8 +304,6 @@ def rrf_merge(spark, sf):
     totals = silver(spark, sf).groupBy(F.col("country_name").alias("query_id"), "uri").agg(
         F.sum("streams").alias("s"), F.min("rank").alias("r")
     )
-    from chartlake.operators.windows import top_k_per_group
-
     best = [
         top_k_per_group(totals, ["query_id"], order, 20, "rank").withColumn("rank", F.col("rank") - 1)
         for order in ([F.desc("s"), "uri"], ["r", "uri"])
@@ -326,13 +328,15 @@ QUESTION_TERMS = r"list_distinct(regexp_extract_all(lower(q.text), '[a-z0-9'']+'
 )
 def rerank_pairs(spark, sf):
     tables = served(spark, sf, vectors=False)
-    corpus, asked = tables.chunks, tables.questions.filter("query_id like 'lookup|%'")
-    name = F.split("query_id", "\\|")[1]
-    own = corpus.filter("source_table = 'country_performance'").select(
-        "source_table", "source_key", F.split("source_key", "\\|")[0].alias("name")
+    asked = tables.country_years.select(
+        F.concat_ws("|", F.lit("lookup"), "country_name", "year").alias("query_id"), "country_name",
+        F.concat(F.lit("How did "), "country_name", F.lit(" perform in "), "year", F.lit("?")).alias("text"),
+    )
+    own = tables.chunks.filter("source_table = 'country_performance'").select(
+        "source_table", "source_key", F.split("source_key", "\\|")[0].alias("country_name")
     )
-    pairs = asked.select("query_id", name.alias("name")).join(own, "name").drop("name")
-    return R.rerank_pairs(pairs, asked, corpus).withColumn("score", F.round("score", 9))
+    pairs = asked.select("query_id", "country_name").join(own, "country_name").drop("country_name")
+    return R.rerank_pairs(pairs, asked, tables.chunks).withColumn("score", F.round("score", 9))
 
 
 @query("hybrid_search")

@@ -60,8 +60,22 @@ def artist_year(artist_performance: DataFrame) -> DataFrame:
     )
 
 
-def _num(col: str, digits: int = 0) -> Column:
-    return F.format_number(F.col(col), digits)
+# One sentence per yearly row of each table.
+COUNTRY_SENTENCE = (
+    "In %s during %d, Spotify recorded %s total streams, with up to %d active song(s) (up to %d of them hits) "
+    "and an average chart strength of %s. Up to %d active artists were represented that year, with average growth "
+    "of %s%%. Most recent top song was %s, top artist was %s."
+)
+LABEL_SENTENCE = "Label %s in %d had %s total streams across up to %d active song(s) from up to %d artist(s)."
+SONG_SENTENCE = 'Track "%s"%s had %s total streams in %d and %s that year.'
+ARTIST_SENTENCE = (
+    "In %d, artist %s (%s) had %s total streams across up to %d charting track appearance(s), including %d hit "
+    "track appearance(s), reaching a best chart rank of %d that year."
+)
+
+
+def _commas(col: str) -> Column:
+    return F.format_number(F.col(col), 0)
 
 
 def _fixed(col: str) -> Column:
@@ -70,42 +84,32 @@ def _fixed(col: str) -> Column:
 
 
 def country_text() -> Column:
-    return F.concat(
-        F.lit("In "), F.col("country_name"), F.lit(" during "), F.col("year").cast("string"),
-        F.lit(", Spotify recorded "), _num("total_streams"), F.lit(" total streams, with up to "),
-        F.col("active_songs").cast("string"), F.lit(" active song(s) (up to "), F.col("hit_songs").cast("string"),
-        F.lit(" of them hits) and an average chart strength of "), _fixed("avg_chart_strength"),
-        F.lit(". Up to "), F.coalesce(F.col("active_artists"), F.lit(0)).cast("string"),
-        F.lit(" active artists were represented that year, with average growth of "), _fixed("growth_percentage"),
-        F.lit("%. Most recent top song was "), F.coalesce("top_song_name", F.lit("None")),
-        F.lit(", top artist was "), F.coalesce("top_artist_name", F.lit("None")), F.lit("."),
+    return F.format_string(
+        COUNTRY_SENTENCE, "country_name", "year", _commas("total_streams"), "active_songs", "hit_songs",
+        _fixed("avg_chart_strength"), F.coalesce("active_artists", F.lit(0)), _fixed("growth_percentage"),
+        F.coalesce("top_song_name", F.lit("None")), F.coalesce("top_artist_name", F.lit("None")),
     )
 
 
 def label_text() -> Column:
-    return F.concat(
-        F.lit("Label "), F.col("standardized_label"), F.lit(" in "), F.col("year").cast("string"), F.lit(" had "),
-        _num("total_streams"), F.lit(" total streams across up to "), F.col("active_songs").cast("string"),
-        F.lit(" active song(s) from up to "), F.col("active_artists").cast("string"), F.lit(" artist(s)."),
+    return F.format_string(
+        LABEL_SENTENCE, "standardized_label", "year", _commas("total_streams"), "active_songs", "active_artists"
     )
 
 
 def song_text() -> Column:
+    """A track without a name goes by its uri; one without a label has none mentioned."""
     label = F.when(F.col("standardized_label") != "", F.concat(F.lit(" on label "), F.col("standardized_label")))
-    return F.concat(
-        F.lit('Track "'), F.coalesce("track_name", "uri"), F.lit('"'), F.coalesce(label, F.lit("")), F.lit(" had "),
-        _num("total_streams"), F.lit(" total streams in "), F.col("year").cast("string"), F.lit(" and "),
-        F.when(F.col("is_hit") == 1, "was a hit").otherwise("was not a hit"), F.lit(" that year."),
+    return F.format_string(
+        SONG_SENTENCE, F.coalesce("track_name", "uri"), F.coalesce(label, F.lit("")), _commas("total_streams"), "year",
+        F.when(F.col("is_hit") == 1, "was a hit").otherwise("was not a hit"),
     )
 
 
 def artist_text() -> Column:
-    return F.concat(
-        F.lit("In "), F.col("year").cast("string"), F.lit(", artist "), F.col("artist_name"), F.lit(" ("),
-        F.col("artist_uri"), F.lit(") had "), _num("total_streams"), F.lit(" total streams across up to "),
-        F.col("track_count").cast("string"), F.lit(" charting track appearance(s), including "),
-        F.col("hit_track_count").cast("string"), F.lit(" hit track appearance(s), reaching a best chart rank of "),
-        F.col("best_rank").cast("string"), F.lit(" that year."),
+    return F.format_string(
+        ARTIST_SENTENCE, "year", "artist_name", "artist_uri", _commas("total_streams"), "track_count",
+        "hit_track_count", "best_rank",
     )
 
 
