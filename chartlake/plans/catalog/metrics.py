@@ -2,8 +2,8 @@
 
 from chartlake.operators import metrics as M
 from chartlake.plans import gold as G
-from chartlake.plans.catalog.base import IS_HIT, STREAMS, over_silver, pct, query, r2, silver
-from chartlake.plans.catalog.gold import ARTISTS_RANKED, COUNTRY_PERFORMANCE, KEY, NAMED_CTE
+from chartlake.plans.catalog.base import IS_HIT, STREAMS, over_silver, pct, query, silver
+from chartlake.plans.catalog.gold import ARTISTS_RANKED, COUNTRY_PERFORMANCE, KEY
 
 COUNTRY = "Country 5"
 

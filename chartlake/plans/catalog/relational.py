@@ -9,9 +9,9 @@ from chartlake.operators import aggregate, joins, windows
 from chartlake.plans import gold as G
 from chartlake.plans.chunks import country_year
 from chartlake.plans.catalog.base import (
-    AVG_SCORE, IS_HIT, STREAMS, bronze, over_chart, over_rich, over_silver, parts, pct, query, r2, rich, silver,
+    IS_HIT, STREAMS, bronze, over_chart, over_silver, parts, pct, query, r2, silver,
 )
-from chartlake.plans.catalog.gold import ARTISTS_RANKED, COUNTRY_PERFORMANCE, HITS, KEY, NAMED_CTE, growth
+from chartlake.plans.catalog.gold import COUNTRY_PERFORMANCE, HITS, KEY, NAMED_CTE, growth
 
 
 def rows():
