@@ -101,10 +101,14 @@ def _without(s: Column, k: Column) -> Column:
     return F.when(k == 0, F.array(s)).when(k == 1, F.array_distinct(_one_less(s))).otherwise(two)
 
 
-def _keys(text: Column, cutoff: float, of_name: bool) -> Column:
+def _keys(text: Column, cutoff: float, of_name: bool, shortest: Column | None = None, longest: Column | None = None) -> Column:
+    """Keys of one text for every allowed length of the other, within the lengths that occur, if given."""
     c = cutoff / 100
     own = F.length(text)
-    others = F.sequence(_ceil(own * (c / (2 - c))), _floor(own * ((2 - c) / c)))
+    low, high = _ceil(own * (c / (2 - c))), _floor(own * ((2 - c) / c))
+    if shortest is not None:
+        low, high = F.greatest(low, shortest), F.least(high, longest)
+    others = F.coalesce(F.when(low <= high, F.sequence(low, high)), F.array().cast("array<int>"))
 
     def for_length(other: Column) -> Column:
         m, n = (other, own) if of_name else (own, other)
@@ -143,8 +147,12 @@ def similar_names(grams: DataFrame, names: DataFrame, cutoff: float = K.FUZZY_CU
     """Pairs (gram, entity) that score at least the cutoff; exact, no pair is missed."""
     left = grams.select("gram").distinct().filter("gram <> ''")
     right = names.select("entity", F.lower("entity").alias("folded")).distinct().filter("folded <> ''")
+    # One row: a run far longer than any name gets no key at all.
+    lengths = right.agg(F.min(F.length("folded")).alias("_min"), F.max(F.length("folded")).alias("_max"), F.lit(1).alias("_one"))
+    sized = left.withColumn("_one", F.lit(1)).join(F.broadcast(lengths), "_one")
+    gram_keys = _keys(F.col("gram"), cutoff, False, F.col("_min"), F.col("_max"))
     pairs = (
-        left.select("gram", F.explode(_keys(F.col("gram"), cutoff, of_name=False)).alias("_key"))
+        sized.select("gram", F.explode(gram_keys).alias("_key"))
         .join(right.select("entity", "folded", F.explode(_keys(F.col("folded"), cutoff, of_name=True)).alias("_key")), "_key")
         # Substitution counts as one edit there and as two here, so this never drops a match.
         .filter(F.levenshtein("gram", "folded") <= (F.length("gram") + F.length("folded")) * (1 - cutoff / 100) + 1e-9)
