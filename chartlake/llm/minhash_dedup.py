@@ -210,7 +210,7 @@ def near_duplicates(
     """
     spark = docs.sparkSession
     plain = docs.select(F.col(f"`{id}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text"))
-    signed = saved(by_text(plain, "text", SIGNATURE, _signatures(size, side, width)).drop("text"), "signatures")
+    signed = saved(by_text(plain, "text", SIGNATURE, _signatures(size, side, width)), "signatures")
     filled = signed.where("n_shingles > 0 and id is not null")
     classes = saved(
         filled.groupBy("_s1", "_s2").agg(F.min("id").alias("rep"), F.first("_bands").alias("_bands"), F.first("n_shingles").alias("n_shingles")),
@@ -226,7 +226,7 @@ def near_duplicates(
         groups.select(F.col("component").alias("rep"), F.col("component").alias("grp")).distinct()
     )
     texts = plain.join(grouped, plain["id"] == grouped["rep"]).select("rep", "grp", "text")
-    members = by_text(texts, "text", [T.StructField("shingles", T.BinaryType())], _sets(size)).drop("text")
+    members = by_text(texts, "text", [T.StructField("shingles", T.BinaryType())], _sets(size))
     members = saved(members.withColumn("n_shingles", F.length("shingles") / 8).where("n_shingles > 0"), "sets")
     release(spark)
     links = verified_edges(members, percent).union(copies)

@@ -158,7 +158,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, end_id: int, id: str, text: st
 
     arrays = [T.StructField(n, T.ArrayType(T.LongType())) for n in ("start", "length", "ids_crc32")]
     rows = docs.select(F.col(f"`{id}`").alias("id"), F.col(f"`{text}`").alias("text"))
-    cut = by_text(rows, "text", arrays, kernel).drop("text")
+    cut = by_text(rows, "text", arrays, kernel)
     return cut.select("id", F.posexplode(F.arrays_zip("start", "length", "ids_crc32")).alias("piece", "p")).select("id", "piece", "p.*")
 
 

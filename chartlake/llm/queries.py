@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chartlake.llm import minhash_dedup, packing, token_counts, token_files
+from chartlake.llm import minhash_dedup, packing, repetition, secrets, token_counts, token_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -51,3 +51,24 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_token_counts")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), 50256)
+
+
+@query("op7_secret_scan")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.secret_scan(documents(spark, sf_dir))
+
+    def count(kind: str) -> Column:
+        return F.expr(f"cast(size(filter(secrets, s -> s.kind = '{kind}')) as long)").alias(f"n_{kind}")
+
+    def joined(chosen: str) -> Column:
+        return F.expr(f"array_join(transform({chosen}, s -> concat_ws(':', s.kind, s.start, s.end)), ',')")
+
+    return found.select(
+        "doc_id", count("assign"), count("access"), count("hex"),
+        F.sha2(joined("filter(secrets, s -> s.kind <> 'random')"), 256).alias("base_sha256"), joined("secrets").alias("spans"),
+    )
+
+
+@query("op8_quality_rules")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repetition.quality_rules(documents(spark, sf_dir)).drop("repeats")

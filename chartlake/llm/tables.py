@@ -49,17 +49,24 @@ def slices(sizes: Iterable[int], limit: int = SLICE_BYTES) -> Iterator[tuple[int
 
 
 def by_text(
-    df: DataFrame, text: str, fields: list[T.StructField], kernel: Callable[[list[str]], list[list]], slice_bytes: int = SLICE_BYTES
+    df: DataFrame,
+    text: str,
+    fields: list[T.StructField],
+    kernel: Callable[[list[str]], list],
+    keep_text: bool = False,
+    slice_bytes: int = SLICE_BYTES,
 ) -> DataFrame:
-    """df with columns that kernel(texts) works out, one list for each field; a column of df with a new field's name is replaced.
+    """df with columns that kernel(texts) works out, one list or array for each field; the text column goes unless kept.
 
-    The kernel sees whole texts in slices of bounded size, in the rows' order; null texts come as empty ones.
+    The kernel sees whole texts in slices of bounded size, in the rows' order; null texts come as empty ones. A column of df
+    with a new field's name is replaced.
     """
-    names = {f.name for f in fields}
-    kept = [c for c in df.columns if c not in names]
-    source = df.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{text}`").alias("_text_"))
-    schema = T.StructType([f for f in df.schema.fields if f.name in kept] + fields)
     new = [(f.name, f.dataType) for f in fields]
+    source = df.select([F.col(f"`{c}`") for c in df.columns if c == text or c not in {n for n, _ in new}])
+    where = source.columns.index(text)
+    kept = [k for k, c in enumerate(source.columns) if (keep_text or k != where) and c not in {n for n, _ in new}]
+    schema = T.StructType([source.schema.fields[k] for k in kept] + fields)
+    names = schema.names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark.sql.pandas.types import to_arrow_type
@@ -68,14 +75,11 @@ def by_text(
         for batch in batches:
             if not batch.num_rows:
                 continue
-            texts = batch.column(batch.num_columns - 1)
-            sizes = pc.fill_null(pc.binary_length(texts), 0).to_pylist()
+            sizes = pc.fill_null(pc.binary_length(batch.column(where)), 0).to_pylist()
             for a, b in slices(sizes, slice_bytes):
                 part = batch.slice(a, b - a)
-                out = kernel(texts_of(part.column(part.num_columns - 1)))
-                yield pa.RecordBatch.from_arrays(
-                    part.columns[:-1] + [pa.array(x, type=t) for x, t in zip(out, types)], names=kept + [n for n, _ in new]
-                )
+                out = kernel(texts_of(part.column(where)))
+                yield pa.RecordBatch.from_arrays([part.column(k) for k in kept] + [pa.array(x, type=t) for x, t in zip(out, types)], names=names)
 
     return source.mapInArrow(run, schema)
 
