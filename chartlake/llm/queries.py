@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chartlake.llm import minhash_dedup, packing, repetition, secrets, token_counts, token_files
+from chartlake.llm import bpe_reuse, lempel_ziv, licenses, minhash_dedup, packing, projections, repetition, secrets, token_counts, token_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -72,3 +72,25 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_quality_rules")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.quality_rules(documents(spark, sf_dir)).drop("repeats")
+
+
+@query("op10_substring_dedup")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lempel_ziv.substring_dedup(documents(spark, sf_dir))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("left", 256).alias("kept_sha256"))
+
+
+@query("op9_projected_neighbours")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return projections.nearest_neighbours(vectors, vectors.where("vec_id % 20 = 0"))
+
+
+@query("op5_license_scan", licenses.ORACLE)
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_scan(documents(spark, sf_dir), licenses.templates(spark))
+
+
+@query("op6_bpe_reuse")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_reuse.encode_decode(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), output=bpe_reuse.digests)

@@ -2,4 +2,49 @@
 
 from __future__ import annotations
 
-STAGES: list = []
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from chartlake.llm import lempel_ziv, minhash_dedup, packing, repetition, secrets
+
+TOKENIZER = "byte_bpe_50k.json"
+END = 2
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules reject go."""
+    return repetition.keep_good(docs)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates stays, the one of the smallest id, with all its rows' repeats gone but one."""
+    kept = minhash_dedup.near_duplicates(docs).where("kept and doc_id is not null").select("doc_id").distinct()
+    stay = docs.join(kept, "doc_id", "left_semi").select(docs.columns)
+    nameless = docs.where("doc_id is null")
+    return stay.dropDuplicates(["doc_id"]).union(nameless)
+
+
+def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Words in passages that stand earlier in the corpus go; documents of which nothing is left go too."""
+    left = lempel_ziv.without_copies(docs)
+    return left.where(F.length(F.trim("text")) > 0).withColumn("n_chars", F.length("text").cast("long"))
+
+
+def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets in the texts are replaced by a mark."""
+    return secrets.redacted(docs).withColumn("n_chars", F.length("text").cast("long"))
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents as pieces of packed sequences."""
+    return packing.pack_documents(docs, public_tokenizers.path(TOKENIZER), END)
+
+
+STAGES = [
+    ("quality_rules", quality),
+    ("near_dedup", near_dedup),
+    ("substring_dedup", substring_dedup),
+    ("secret_scan", secret_scan),
+    ("packing", packed),
+]
