@@ -7,7 +7,7 @@ which is uniform for random tokens and near 0 for names and prose.
 
 False discoveries are controlled within each encoding and length band over the whole corpus, as short tokens tell less. Of the
 tokens with a p-value over t, random ones are expected to be (1 - t) / (1 - HALF) times those over HALF; what exceeds that is
-counted as false. A band's threshold is the smallest t from which on that excess stays within the allowed rate.
+counted as false. A band's threshold is the smallest t at which that excess is within the allowed rate.
 """
 
 from __future__ import annotations
@@ -141,7 +141,7 @@ def thresholds(docs: DataFrame, text: str = "text", rate: float = RATE) -> dict[
         "random", F.sum(F.when(F.col("bin") >= HALF * BINS, F.col("n")).otherwise(0)).over(whole) / (1 - HALF)
     )
     false = F.greatest(F.col("taken") - F.col("random") * (1 - F.col("bin") / BINS), F.lit(0.0))
-    fits = taken.withColumn("broken", F.max((false > rate * F.col("taken")).cast("int")).over(above)).where("broken = 0 and random > 0")
+    fits = taken.where((false <= rate * F.col("taken")) & (F.col("random") > 0))
     rows = fits.groupBy("encoding", "band").agg(F.min("bin").alias("bin")).collect()
     return {(r["encoding"], r["band"]): r["bin"] / BINS for r in rows}
 

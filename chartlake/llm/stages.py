@@ -18,11 +18,14 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays, the one of the smallest id, with all its rows' repeats gone but one."""
+    """One document of each group of near-duplicates stays, the one of the smallest id; of several rows with that id the smallest.
+
+    Documents without an id stay.
+    """
     kept = minhash_dedup.near_duplicates(docs).where("kept and doc_id is not null").select("doc_id").distinct()
     stay = docs.join(kept, "doc_id", "left_semi").select(docs.columns)
-    nameless = docs.where("doc_id is null")
-    return stay.dropDuplicates(["doc_id"]).union(nameless)
+    one = stay.groupBy("doc_id").agg(F.min(F.struct(*docs.columns)).alias("row")).select("row.*")
+    return one.union(docs.where("doc_id is null"))
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
