@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chartlake.sources.readers import spread
 
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -47,13 +46,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(table(spark, sf_dir, "documents"), "doc_id")
+    return table(spark, sf_dir, "documents")
 
 
 def chart_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily chart facts: one row per line item."""
     sides = {n: table(spark, sf_dir, n) for n in ("orders", "customer", "nation", "part")}
-    facts = spread(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_linenumber")
+    facts = table(spark, sf_dir, "lineitem")
     return spark.sql(CHART_SQL, lineitem=facts, **sides)
 
 

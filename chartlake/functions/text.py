@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 QUESTION_WORD = "[a-z0-9']+"
 INDEX_WORD = "[\\p{L}\\p{N}]+"
-NAME_WORD = "[\\p{L}\\p{N}']+"
+NAME_WORD = INDEX_WORD  # an apostrophe ends a word, so a possessive or quoted name is found
 
 
 def words(text: Column, pattern: str = QUESTION_WORD) -> Column:

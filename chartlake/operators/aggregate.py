@@ -54,7 +54,7 @@ def approx_quantiles(
 
 
 def exact_quantiles(
-    df: DataFrame, column: str, probs: Sequence[float], buckets: int = 200
+    df: DataFrame, column: str, probs: Sequence[float], rows_per_range: int = 1_000_000
 ) -> DataFrame:
     """Exact interpolated quantiles as rows (prob, value), without bringing the values together.
 
@@ -63,6 +63,8 @@ def exact_quantiles(
     a value that repeats any number of times is a single row by then.
     """
     counts = df.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("v")).agg(F.count(F.lit(1)).alias("n"))
+    # As many ranges as keep a task's share of the distinct values at rows_per_range; two at least.
+    buckets = max(2, -(-counts.count() // rows_per_range))
     steps = [i / buckets for i in range(1, buckets)]
     cuts = counts.agg(F.array_distinct(F.percentile_approx("v", F.array(*map(F.lit, steps)), 10 * buckets)).alias("cuts"))
     # Cut points are at most buckets values in one row.

@@ -153,10 +153,10 @@ def whitespace_rules(columns: Sequence[str]) -> dict[tuple[str, str], Column]:
 
 
 def case_variants(df: DataFrame, column: str) -> DataFrame:
-    """Values spelt in more than one way once case is ignored."""
+    """Values spelt in more than one way once case and outer blanks are ignored."""
     return (
         df.filter(F.col(column).isNotNull())
-        .groupBy(F.lower(column).alias("folded"))
+        .groupBy(F.lower(F.trim(column)).alias("folded"))
         .agg(F.countDistinct(column).alias("spellings"), _rows().alias("n"))
         .filter("spellings > 1")
     )

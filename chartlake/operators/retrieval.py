@@ -17,7 +17,7 @@ from chartlake.functions.text import INDEX_WORD, stem, words
 from chartlake.functions.vectors import l2_distance, term_overlap
 from chartlake.operators.windows import top_k_per_group
 
-QUERY_BYTES = 64 << 20  # the query side is broadcast only below this size
+QUERY_BYTES = 64 << 20  # a larger query side is not broadcast
 QUERY_BLOCK = 4_096
 CORPUS_BLOCK = 65_536
 
@@ -126,7 +126,7 @@ def knn_exact(
     queries: DataFrame,
     k: int,
     keys: Sequence[str] = CHUNK,
-    query_bytes: int = QUERY_BYTES,
+    in_blocks: bool = False,
     query_block: int = QUERY_BLOCK,
     corpus_block: int = CORPUS_BLOCK,
 ) -> DataFrame:
@@ -135,9 +135,10 @@ def knn_exact(
     Queries are rows (query_id, embedding[, scope]), the corpus rows (keys..., embedding[, scope]); a query
     with a scope sees only rows of that scope. Ties go to the smaller key.
 
-    While the query matrix fits the given size, it is broadcast, and every task scans its own corpus rows
-    batch by batch and keeps k per query, so the corpus is not shuffled. A larger query side is cut into
-    blocks that meet corpus blocks in a cogroup; each task holds one block of either.
+    The caller chooses the plan. By default the query matrix is broadcast, and every task scans its own corpus
+    rows batch by batch and keeps k per query, so the corpus is not shuffled; more than QUERY_BYTES of query
+    vectors are refused. With in_blocks, queries of any number are cut into blocks that meet corpus blocks in a
+    cogroup; each task holds one block of either.
     """
     scoped = "scope" in queries.columns and "scope" in corpus.columns
     columns = [*keys, "embedding", *(["scope"] if scoped else [])]
@@ -151,8 +152,9 @@ def knn_exact(
     size = asked.agg(
         F.coalesce(F.sum(F.size("embedding") * 8), F.lit(0)).alias("bytes"), F.count(F.lit(1)).alias("n")
     ).first()
-    if size["bytes"] <= query_bytes:
-        # At most query_bytes of vectors reach the driver here.
+    if not in_blocks:
+        if size["bytes"] > QUERY_BYTES:
+            raise ValueError("the query vectors are too large to broadcast: use in_blocks")
         local = asked.toPandas()
         q_matrix = _matrix(local["embedding"]) if len(local) else np.zeros((0, 0))
         shared = corpus.sparkSession.sparkContext.broadcast((local.drop(columns="embedding"), q_matrix))
@@ -193,19 +195,15 @@ def knn_exact(
 
 
 def cluster_lists(
-    corpus: DataFrame, lists: int, seed: int = 7, iterations: int = 10, sample_per_list: int = 256
+    corpus: DataFrame, lists: int, seed: int = 7, iterations: int = 10
 ) -> tuple[DataFrame, np.ndarray]:
     """The corpus with a list id per row, and the list centres.
 
-    The centres are fitted on a sample that grows with the number of lists only, as index builds do; every
-    row is then assigned.
+    The centres are fitted on every row, whatever their number.
     """
     data = corpus.withColumn("_v", array_to_vector(F.col("embedding").cast("array<double>")))
-    n = corpus.count()
-    share = min(1.0, lists * sample_per_list / max(n, 1))
-    sample = data if share >= 1.0 else data.sample(fraction=share, seed=seed)
     model = KMeans(k=lists, seed=seed, maxIter=iterations, featuresCol="_v", predictionCol="list_id").fit(
-        sample.select("_v")
+        data.select("_v")
     )
     return model.transform(data).drop("_v"), np.array(model.clusterCenters())
 
@@ -228,12 +226,19 @@ def knn_ivf(
 ) -> DataFrame:
     """Nearest neighbours among the rows of each query's nearest lists.
 
-    A corpus written partitioned by list_id is read only where a list is probed.
+    A corpus written partitioned by list_id is read only where a list is probed. A query with a scope sees only
+    rows of that scope, as in knn_exact: scope and list are one key.
     """
-    probed = probe_lists(queries.drop("scope"), centres, probes).withColumn("scope", F.col("list_id").cast("string"))
-    wanted = probed.select("list_id").distinct()
-    rows = indexed.join(F.broadcast(wanted), "list_id", "left_semi").withColumn("scope", F.col("list_id").cast("string"))
-    return knn_exact(rows, probed, k, keys)
+    probed = probe_lists(queries, centres, probes)
+    rows = indexed.join(probed.select("list_id").distinct(), "list_id", "left_semi")
+    in_list = F.col("list_id").cast("string")
+    if not ("scope" in queries.columns and "scope" in indexed.columns):
+        return knn_exact(rows.withColumn("scope", in_list), probed.withColumn("scope", in_list), k, keys)
+    both = F.concat_ws("|", in_list, F.col("scope").cast("string"))
+    anywhere = probed.filter("scope IS NULL").withColumn("scope", in_list)
+    within = probed.filter("scope IS NOT NULL").withColumn("scope", both)
+    found = knn_exact(rows.withColumn("scope", in_list), anywhere, k, keys)
+    return found.unionByName(knn_exact(rows.filter("scope IS NOT NULL").withColumn("scope", both), within, k, keys))
 
 
 def recall(approximate: DataFrame, exact: DataFrame, keys: Sequence[str] = CHUNK) -> DataFrame:
@@ -289,12 +294,16 @@ def with_index(corpus: DataFrame, text: str = "chunk_text") -> DataFrame:
     return corpus.withColumns({"index_terms": index_terms(F.col(text)), "index_text": phrase_text(F.col(text))})
 
 
+#: "or" between words, outside quotes: an even number of quotes follows.
+ALTERNATIVE = '\\s+or\\s+(?=(?:[^"]*"[^"]*")*[^"]*$)'
+
+
 def search_terms(queries: DataFrame, text: str) -> DataFrame:
     """One row per alternative of each query: terms, excluded terms, phrases.
 
-    Words must all match; -word and -"phrase" exclude; "phrase" must occur as such; OR starts an alternative.
+    Words must all match; -word and -"phrase" exclude; "phrase" must occur as such; OR, outside quotes, starts an alternative.
     """
-    split = queries.select("query_id", F.posexplode(F.split(F.lower(F.col(text)), "\\s+or\\s+")).alias("alternative", "_x"))
+    split = queries.select("query_id", F.posexplode(F.split(F.lower(F.col(text)), ALTERNATIVE)).alias("alternative", "_x"))
     no_phrase = F.regexp_extract_all("_x", F.lit('(?:^|\\s)-"([^"]*)"'), F.lit(1))
     rest = F.regexp_replace("_x", '(?:^|\\s)-"[^"]*"', " ")
     phrase = F.regexp_extract_all(rest, F.lit('"([^"]*)"'), F.lit(1))

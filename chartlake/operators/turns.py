@@ -19,7 +19,7 @@ def stripped(text: Column) -> Column:
 
 def small_talk(text: Column) -> Column:
     """A greeting or thanks of at most four words, or a question about the assistant itself."""
-    folded = F.regexp_replace(F.lower(stripped(text)), "[!.?]+$", "")
+    folded = F.regexp_replace(F.lower(stripped(text)), "\\s*[!.?]+$", "")
     tokens = F.split(folded, "\\s+")
     thanks = F.lit(False)
     for t in K.THANKS_WORDS:

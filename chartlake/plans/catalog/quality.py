@@ -141,7 +141,7 @@ over(
 )
 over(
     "check_case_variants",
-    """SELECT lower(label) AS folded, count(DISTINCT label) AS spellings, count(*) AS n FROM chart WHERE label IS NOT NULL
+    """SELECT lower(trim(label, ' ')) AS folded, count(DISTINCT label) AS spellings, count(*) AS n FROM chart WHERE label IS NOT NULL
        GROUP BY 1 HAVING count(DISTINCT label) > 1""",
     lambda df: Q.case_variants(df, "label"),
 )
@@ -206,9 +206,9 @@ query(
 over(
     "outlier_iqr",
     f""", q AS (SELECT quantile_cont(CAST(streams AS DOUBLE), 0.25) AS q1, quantile_cont(CAST(streams AS DOUBLE), 0.75) AS q3 FROM chart),
-    f AS (SELECT q1, q3, q1 - (q3 - q1) * 0.25 AS lower, q3 + (q3 - q1) * 0.25 AS upper FROM q)
+    f AS (SELECT q1, q3, q1 - (q3 - q1) * 1.5 AS lower, q3 + (q3 - q1) * 1.5 AS upper FROM q)
     SELECT q1, q3, lower, upper, count(*) FILTER (WHERE streams > upper) AS above, count(*) FILTER (WHERE streams < lower) AS below,
       count(*) AS n, {r2('CAST(count(*) FILTER (WHERE streams > upper) AS DOUBLE) / count(*) * 100')} AS above_percent
     FROM chart, f GROUP BY ALL""",
-    lambda df: aggregate.outlier_iqr(df, "streams", 0.25),
+    lambda df: aggregate.outlier_iqr(df, "streams"),
 )

@@ -162,7 +162,7 @@ query(
 )(
     lambda spark, sf: R.knn_exact(
         vectors(spark, sf), vectors(spark, sf).select(F.col("vec_id").alias("query_id"), "embedding"), 5, VECTOR,
-        query_bytes=0, query_block=128, corpus_block=256,
+        in_blocks=True, query_block=128, corpus_block=256,
     )
 )
 

@@ -13,7 +13,7 @@ from chartlake.plans import questions as Qs
 from chartlake.plans.catalog.base import over_silver, query, silver
 from chartlake.plans.catalog.gold import ARTISTS_RANKED
 
-WORD = r"[\p{L}\p{N}'']+"
+WORD = r"[\p{L}\p{N}]+"
 
 
 def template_sql(template: str) -> str:
@@ -36,8 +36,11 @@ artist_names AS (SELECT artist_name, artist_uri FROM (SELECT artist_name, artist
 names AS (SELECT artist_name AS entity, artist_uri AS key, 'artist' AS kind FROM artist_names
   UNION ALL SELECT DISTINCT country_name, country_name, 'country' FROM silver),
 dictionary AS (SELECT entity, key, kind, array_to_string(regexp_extract_all(lower(entity), '{WORD}'), ' ') AS phrase FROM names),
-folded AS (SELECT question_id, ' ' || array_to_string(regexp_extract_all(lower(text), '{WORD}'), ' ') || ' ' AS body FROM questions),
-mentions AS (SELECT DISTINCT question_id, entity, key, kind FROM folded JOIN dictionary ON contains(body, ' ' || phrase || ' '))"""
+sizes AS (SELECT DISTINCT len(string_split(phrase, ' ')) AS n FROM dictionary WHERE phrase <> ''),
+tokens AS (SELECT question_id, regexp_extract_all(lower(text), '{WORD}') AS w FROM questions),
+places AS (SELECT question_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM tokens, sizes),
+grams AS (SELECT DISTINCT question_id, array_to_string(w[i:i + n - 1], ' ') AS phrase FROM places),
+mentions AS MATERIALIZED (SELECT DISTINCT question_id, entity, key, kind FROM grams JOIN dictionary USING (phrase))"""
 
 
 def artists(spark, sf):
@@ -82,7 +85,7 @@ def list_sql(values) -> str:
 
 LABEL_SQL = f"""asked AS (SELECT question_id, text FROM questions
   UNION ALL SELECT 'turn|' || conv_id || '|' || turn, text FROM conversations WHERE role = 'user'),
-marked AS (SELECT *, lower(text) AS l, regexp_replace(lower(regexp_replace(text, '^\\s+|\\s+$', '', 'g')), '[!.?]+$', '') AS f,
+marked AS (SELECT *, lower(text) AS l, regexp_replace(lower(regexp_replace(text, '^\\s+|\\s+$', '', 'g')), '\\s*[!.?]+$', '') AS f,
   regexp_extract_all(text, '\\b(20\\d{{2}})\\b', 1) AS y FROM asked),
 flagged AS (SELECT *, string_split_regex(f, '\\s+') AS t, CAST(y[1] AS INT) AS y1, CAST(y[2] AS INT) AS y2,
   CASE {' '.join(f"WHEN {any_sql('l', ks)} THEN '{t}'" for t, ks in K.TABLE_KEYWORDS.items())} END AS tab FROM marked),

@@ -329,6 +329,11 @@ GOLD_TABLES = {
     "track_catalog": (track_catalog, (), False),
     "dashboard_summary": (dashboard_summary, (), True),
     "monthly_trends_global": (monthly_trends_global, (), True),
+    "country_performance_v2": (country_performance_v2, ("year",), False),
+    "label_performance": (label_performance, ("year",), False),
+    "artist_performance_global": (artist_performance_global, ("year",), False),
+    "artist_country_dominance": (artist_country_dominance, ("year",), False),
+    "gold_song_charts": (gold_song_charts, MONTH, False),
 }
 
 

@@ -15,16 +15,6 @@ def scan_parquet(spark: SparkSession, *paths: str) -> DataFrame:
     return spark.read.parquet(*paths)
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Deal the rows of a table with fewer splits than cores out to all cores.
-
-    A small file has a single split, and everything up to the next shuffle would run in one task. A table of
-    ordinary size has more splits than cores and is left as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)
-
-
 def scan_csv_inferred(spark: SparkSession, path: str) -> DataFrame:
     """CSV with a header; the types come from one extra pass over the file."""
     return spark.read.csv(path, header=True, inferSchema=True)
@@ -56,7 +46,7 @@ def from_rows(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFr
     return spark.createDataFrame(list(rows), schema)
 
 
-# Column types of the source tables.
+# Column types of the source tables.
 SOURCE_SCHEMAS: Mapping[str, str] = {
     "songs": (
         "track_uri STRING NOT NULL, track_name STRING, artist_names STRING, artist_uris STRING, "

@@ -203,3 +203,10 @@ def test_csv_with_schema_and_source_schemas(spark, tmp_path):
         path = str(tmp_path / name)
         empty.write.csv(path, header=True)
         assert readers.scan_csv_schema(spark, path, schema).columns == empty.columns
+
+
+def test_case_variants_ignore_outer_blanks(spark):
+    from chartlake.operators import quality
+
+    rows = spark.createDataFrame([("Sony",), (" SONY ",), ("Warner",), (None,)], "label string")
+    assert [tuple(r) for r in quality.case_variants(rows, "label").collect()] == [("sony", 2, 2)]

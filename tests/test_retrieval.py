@@ -41,7 +41,7 @@ def by_query(df):
     return out
 
 
-@pytest.mark.parametrize("blocks", [{}, {"query_bytes": 0, "query_block": 7, "corpus_block": 31}])
+@pytest.mark.parametrize("blocks", [{}, {"in_blocks": True, "query_block": 7, "corpus_block": 31}])
 @pytest.mark.parametrize("scoped", [False, True])
 def test_knn_exact_both_ways(points, blocks, scoped):
     corpus, queries, c, q = points
@@ -66,6 +66,20 @@ def test_ivf_recall_is_one_when_all_lists_are_probed(points):
     assert sweep[5] == 1.0 and 0 < sweep[1] <= 1.0
 
 
+def test_ivf_keeps_to_the_scope(points):
+    corpus, queries, c, q = points
+    indexed, centres = R.cluster_lists(c, 5)
+    got = by_query(R.knn_ivf(indexed, centres, q, 7, 5))
+    for i, v in enumerate(queries):
+        assert got.get(f"q{i}", []) == nearest(corpus, v, 7, f"s{i % 4}" if i % 2 else None)
+
+
+def test_too_many_queries_to_broadcast(points, monkeypatch):
+    monkeypatch.setattr(R, "QUERY_BYTES", 10)
+    with pytest.raises(ValueError, match="in_blocks"):
+        R.knn_exact(points[2], points[3], 3)
+
+
 CHUNKS = {
     "a": "Label Warner had 10 total streams",
     "b": "Track one on label Sony had many streams",
@@ -78,6 +92,7 @@ SEARCHES = {
     '"total streams"': {"a"},
     "streams -label": {"c"},
     "india or warner": {"a", "c", "d"},
+    '"india or warner" streams': set(),
     'streams -"total streams"': {"b", "c"},
     "country": {"c"},
     "nowhere streams": set(),
@@ -167,11 +182,11 @@ def test_compare_runs(spark):
 
 
 @pytest.mark.parametrize("values", [[1.0], [1.0, 2.0], [5.0] * 40 + [1.0, 9.0], list(np.random.default_rng(1).normal(size=500))])
-@pytest.mark.parametrize("buckets", [2, 7, 1000])
-def test_exact_quantiles(spark, values, buckets):
+@pytest.mark.parametrize("rows_per_range", [1, 7, 1000])
+def test_exact_quantiles(spark, values, rows_per_range):
     df = spark.createDataFrame([(float(v),) for v in values] + [(None,)], "v double")
     probs = (0.0, 0.25, 0.5, 0.9, 1.0)
-    out = {r.prob: r.value for r in aggregate.exact_quantiles(df, "v", probs, buckets).collect()}
+    out = {r.prob: r.value for r in aggregate.exact_quantiles(df, "v", probs, rows_per_range).collect()}
     assert out == pytest.approx({p: float(np.quantile(values, p)) for p in probs})
 
 

@@ -69,7 +69,7 @@ def test_intents(spark, text, intent, table, year):
 
 @pytest.mark.parametrize(
     "text, small, follow",
-    [("  Hi there! ", True, False), ("thanks for the india stats", False, False), ("Thanks a lot", True, False), ("hello", True, False),
+    [("  Hi there! ", True, False), ("thanks for the india stats", False, False), ("Thanks a lot", True, False), ("hello", True, False), ("hello there my friend !", True, False),
      ("so what can you do for me", True, False), ("what about Brazil?", False, True), ("Is it larger", False, True),
      ("who has more streams", False, True), ("Tell me about India", False, False)],
 )
@@ -144,3 +144,10 @@ def test_ngrams_of_short_texts(spark):
 @pytest.mark.parametrize("word, root", [("countries", "country"), ("streams", "stream"), ("hits", "hit"), ("bus", "bus"), ("pass", "pass"), ("places", "place")])
 def test_stem(spark, word, root):
     assert spark.range(1).select(stem(F.lit(word)).alias("s")).first().s == root
+
+
+@pytest.mark.parametrize("text", ["How is India's growth", "the 'india' market", "pan-india charts", "India?", "\u201cIndia\u201d"])
+def test_names_at_word_boundaries(spark, text):
+    names = E.name_dictionary(spark.createDataFrame([("India",), ("Indiana",)], "n string"), "n")
+    found = E.detect_entities(spark.createDataFrame([(1, text)], "id int, text string"), ["id"], "text", names)
+    assert [r.entity for r in found.collect()] == ["India"]
