@@ -102,5 +102,6 @@ def token_counts(docs: DataFrame, tokenizer: str, separator: int, id: str = "doc
     """
     rows = docs.select(F.col(f"`{id}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text"))
     files = saved(write_shards(rows, shared_folder(docs.sparkSession, "flat"), tokenizer, separator, True, index=False), "files")
-    counts = scan_counts(files, separator)
+    # Both sides are made from a few rows that stand for files, so Spark's size estimates say nothing: no broadcast here.
+    counts = scan_counts(files, separator).hint("merge")
     return counts.join(document_names(files), ["shard", "ordinal"]).select(F.col("doc_id").alias(id), "n_tokens")
