@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 from chartlake import constants as K
 from chartlake import fixtures
 from chartlake.functions.vectors import embed, hashed_counts
+from chartlake.operators import answers as A
 from chartlake.operators import entities as E
 from chartlake.operators import retrieval as R
+from chartlake.operators import turns as T
 from chartlake.operators.windows import top_k_per_group
 from chartlake.plans import chunks as C
 from chartlake.plans import gold as G
@@ -78,6 +80,7 @@ class Served:
     countries: DataFrame
     artists: DataFrame
     country_years: DataFrame
+    gold: dict[str, DataFrame]
 
 
 TABLES = ("country_performance", "label_performance_enhanced", "kpi_song", "track_catalog", "artist_performance_ranked")
@@ -101,7 +104,7 @@ def served(spark, sf, vectors=True):
     read = {name: spark.read.parquet(f"{out}/{name}") for name in texts}
     return Served(
         read["chunks"], read["questions"], TX.country_names(countries), TX.artist_names(singers),
-        countries.select("country_name", F.col("year").cast("string").alias("year")).distinct(),
+        countries.select("country_name", F.col("year").cast("string").alias("year")).distinct(), tables,
     )
 
 
@@ -401,3 +404,64 @@ def retrieval_eval(spark, sf):
         for ranked in (R.knn_exact(t.chunks, t.questions, K.TOP_K), R.hybrid_search(t.chunks, t.questions))
     ]
     return R.compare_runs(*runs)
+
+
+# --- answers to all questions ---------------------------------------------------------------
+
+LABELLED_CTE = TX.LABEL_SQL.replace("\nSELECT question_id, text", ",\nlabelled AS (SELECT question_id, tab") + ")"
+ANSWERS_SQL = f"""{TX.QUESTIONS_CTE}{CHUNKS_CTE.replace(ARTISTS_RANKED, '')}, {LABELLED_CTE},
+facts AS (SELECT 'country_performance' AS t, country_name AS key, year, country_name AS name, CAST(sum(total_streams) AS BIGINT) AS total, 0 AS hit
+    FROM country_performance GROUP BY ALL
+  UNION ALL SELECT 'artist_performance', artist_uri, year, min(artist_name), CAST(sum(total_streams) AS BIGINT), 0 FROM artist_performance GROUP BY ALL
+  UNION ALL SELECT 'label_performance_enhanced', standardized_label, year, standardized_label, CAST(sum(total_streams) AS BIGINT), 0 FROM labels_month GROUP BY ALL
+  UNION ALL SELECT 'kpi_song', uri, year, min(coalesce(track_name, uri)), CAST(sum(total_streams) AS BIGINT), max(is_hit) FROM kpi LEFT JOIN track_catalog USING (uri) GROUP BY ALL),
+named AS (SELECT DISTINCT question_id, kind || '_performance' AS t, key FROM mentions),
+tabled AS (SELECT *, CASE WHEN intent = 'sum' AND tab IS NULL THEN
+    CASE WHEN question_id IN (SELECT question_id FROM named WHERE t = 'country_performance') THEN 'country_performance'
+      WHEN question_id IN (SELECT question_id FROM named WHERE t = 'artist_performance') THEN 'artist_performance' ELSE target_table END
+    ELSE target_table END AS t FROM labelled WHERE intent <> 'none' AND question_id NOT LIKE 'turn|%'),
+own AS (SELECT question_id, t, key, count(*) OVER (PARTITION BY question_id) AS n, intent FROM tabled JOIN named USING (question_id, t)),
+chosen AS MATERIALIZED (SELECT question_id, t, key FROM own WHERE n >= CASE WHEN intent IN ('superlative', 'trend') THEN 2 WHEN intent = 'sum' THEN 1 END),
+general AS MATERIALIZED (SELECT * FROM tabled WHERE question_id NOT IN (SELECT question_id FROM chosen)),
+cases AS MATERIALIZED (SELECT DISTINCT intent, t, target_year, previous_year, ascending FROM general),
+per_key AS (SELECT t, key, min(name) AS name, CAST(sum(total) AS BIGINT) AS total, max(hit) AS hit FROM facts GROUP BY ALL),
+answered AS (
+  SELECT c.*, 1 AS position, NULL AS key, NULL AS name, CASE intent
+    WHEN 'sum' THEN (SELECT CAST(coalesce(sum(total), 0) AS BIGINT) FROM facts f WHERE f.t = c.t AND (c.target_year IS NULL OR f.year = c.target_year))
+    WHEN 'count' THEN (SELECT count(DISTINCT key) FROM facts f WHERE f.t = c.t)
+    ELSE (SELECT count(DISTINCT key) FROM facts f WHERE f.t = c.t AND hit = 1 AND (c.target_year IS NULL OR f.year = c.target_year)) END AS value
+    FROM cases c WHERE intent IN ('sum', 'count', 'count_hits')
+  UNION ALL SELECT * FROM (SELECT c.*, row_number() OVER (PARTITION BY c.t, ascending ORDER BY CASE WHEN ascending THEN total ELSE -total END, key) AS position, key, name, total
+    FROM cases c JOIN per_key p ON p.t = c.t WHERE intent = 'superlative') WHERE position <= 5
+  UNION ALL SELECT * FROM (SELECT c.*, row_number() OVER (PARTITION BY c.t, target_year, previous_year, ascending
+      ORDER BY CASE WHEN ascending THEN 1 ELSE -1 END * (a.total - coalesce(b.total, 0)), a.key) AS position, a.key, a.name, a.total - coalesce(b.total, 0)
+    FROM cases c JOIN facts a ON a.t = c.t AND a.year = target_year LEFT JOIN facts b ON b.t = a.t AND b.key = a.key AND b.year = previous_year
+    WHERE intent = 'trend') WHERE position <= 5),
+keyed AS (SELECT question_id, t, key, intent, ascending, target_year, previous_year, min(name) AS name, sum(total) AS s,
+    sum(total) FILTER (WHERE year = target_year) AS a, sum(total) FILTER (WHERE year = previous_year) AS b
+  FROM chosen JOIN tabled USING (question_id, t) LEFT JOIN facts USING (t, key) GROUP BY ALL),
+listed AS (SELECT *, CASE intent WHEN 'trend' THEN a - coalesce(b, 0) ELSE s END AS v FROM keyed WHERE intent <> 'sum')
+SELECT question_id, g.intent, g.t AS source_table, CAST(position AS INT) AS position, key, name, CAST(value AS BIGINT) AS value
+  FROM general g JOIN answered c ON c.intent = g.intent AND c.t = g.t AND c.target_year IS NOT DISTINCT FROM g.target_year
+    AND c.previous_year IS NOT DISTINCT FROM g.previous_year AND c.ascending = g.ascending
+UNION ALL SELECT question_id, 'sum', t, 1, NULL, NULL, CAST(coalesce(sum(CASE WHEN target_year IS NULL THEN s ELSE a END), 0) AS BIGINT) FROM keyed WHERE intent = 'sum' GROUP BY question_id, t
+UNION ALL SELECT question_id, intent, t, CAST(row_number() OVER (PARTITION BY question_id ORDER BY CASE WHEN ascending THEN v ELSE -v END, key) AS INT), key, name, CAST(v AS BIGINT)
+  FROM listed WHERE v IS NOT NULL"""
+
+
+@query("answer_questions", over_silver(ANSWERS_SQL))
+def answer_questions(spark, sf):
+    t = served(spark, sf, vectors=False)
+    songs = t.gold["kpi_song"].join(t.gold["track_catalog"].select("uri", "track_name"), "uri", "left")
+    no_hit = F.lit(0)
+    facts = A.yearly_facts(
+        {
+            "country_performance": (t.gold["country_performance"], "country_name", F.col("country_name"), no_hit),
+            "artist_performance": (t.gold["artist_performance_ranked"], "artist_uri", F.col("artist_name"), no_hit),
+            "label_performance_enhanced": (t.gold["label_performance_enhanced"], "standardized_label", F.col("standardized_label"), no_hit),
+            "kpi_song": (songs, "uri", F.coalesce("track_name", "uri"), F.col("is_hit")),
+        }
+    )
+    asked = t.questions.select(F.col("query_id").alias("question_id"), "text")
+    mentions = _mentions(t).withColumnRenamed("query_id", "question_id")
+    return A.answers(A.named_targets(T.label_turns(asked), mentions), mentions, facts)
