@@ -31,8 +31,13 @@ def profile_shape(df: DataFrame, name: str) -> DataFrame:
     return tidy(df, _of(name, {"*": {"rows": _rows(), **{k: F.max(F.lit(v)) for k, v in fixed.items()}}}))
 
 
-def column_types(df: DataFrame) -> list[tuple[str, str]]:
-    return df.dtypes
+def profile_types(df: DataFrame, name: str) -> DataFrame:
+    """Type, rows and values present per column."""
+    columns = F.array(
+        *(F.struct(F.lit(c).alias("column_name"), F.lit(t).alias("data_type"), F.col(f"_n{i}").alias("present")) for i, (c, t) in enumerate(df.dtypes))
+    )
+    counts = df.agg(_rows().alias("rows"), *(F.count(F.col(c)).alias(f"_n{i}") for i, c in enumerate(df.columns)))
+    return counts.select(F.lit(name).alias("table_name"), "rows", F.inline(columns))
 
 
 def profile_nulls(df: DataFrame, name: str) -> DataFrame:

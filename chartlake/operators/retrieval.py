@@ -93,7 +93,8 @@ class _Nearest:
             unbound = ~np.isfinite(limit)
             if unbound.any() and d.shape[1] > self.k:
                 limit[unbound] = np.partition(d[unbound], self.k - 1, axis=1)[:, self.k - 1]
-            slack = 1e-5 * (1.0 + self.q2[at] + c2.max())
+            # Rounding in single precision grows with the width.
+            slack = np.finfo("float32").eps * (c.shape[1] + 8) * (1.0 + self.q2[at] + c2.max())
             r, k = np.nonzero(d <= (limit + slack)[:, None])
             if len(r):
                 exact = np.round(np.sqrt(((c[k] - self.q[at[r]]) ** 2).sum(axis=1)), DIGITS)
@@ -133,7 +134,7 @@ def knn_exact(
     """The k nearest corpus rows by L2 distance for each query: query_id, keys, distance, rank from 0.
 
     Queries are rows (query_id, embedding[, scope]), the corpus rows (keys..., embedding[, scope]); a query
-    with a scope sees only rows of that scope. Ties go to the smaller key.
+    with a scope sees only rows of that scope. Ties go to the smaller key. Rows without a vector take no part.
 
     The caller chooses the plan. By default the query matrix is broadcast, and every task scans its own corpus
     rows batch by batch and keeps k per query, so the corpus is not shuffled; more than QUERY_BYTES of query
@@ -142,8 +143,8 @@ def knn_exact(
     """
     scoped = "scope" in queries.columns and "scope" in corpus.columns
     columns = [*keys, "embedding", *(["scope"] if scoped else [])]
-    corpus = corpus.select(*columns)
-    asked = queries.select("query_id", "embedding", *(["scope"] if scoped else []))
+    corpus = corpus.select(*columns).filter("embedding is not null")
+    asked = queries.select("query_id", "embedding", *(["scope"] if scoped else [])).filter("embedding is not null")
     out_types = {f.name: f.dataType.simpleString() for f in corpus.schema if f.name in keys}
     query_type = queries.schema["query_id"].dataType.simpleString()
     schema = ", ".join([f"query_id {query_type}", *(f"{n} {t}" for n, t in out_types.items()), "distance double"])

@@ -118,15 +118,17 @@ def carry_forward_entities(
     """Per turn: the last two distinct entities mentioned before it, newest first, and the year named by
     the last user turn before it.
 
-    Mentions are rows (conv, turn, entity, entity_length). A long conversation is cut into blocks of turns:
+    Mentions are rows (conv, turn, entity, entity_length[, kind_rank]); within a turn the smaller kind_rank comes
+    first (countries before artists, say), then the longer name. A long conversation is cut into blocks of turns:
     each block is scanned by itself, the blocks' end states are scanned in turn, and a turn's answer is its
     block's state completed by the state before the block. No task sees more than one block of a
     conversation, or one row per block.
     """
     in_block = F.floor(F.col(turn) / block).alias("_block")
     # Only the first two mentions of a turn can matter; the first is pushed last.
+    kinds = ["kind_rank"] if "kind_rank" in mentions.columns else []
     first_two = top_k_per_group(
-        mentions, [conv, turn], [F.desc("entity_length"), "entity"], 2, "_rank"
+        mentions, [conv, turn], [*kinds, F.desc("entity_length"), "entity"], 2, "_rank"
     ).select(
         conv, in_block, F.col(turn).alias("_at"), (3 - F.col("_rank")).alias("_push"), "entity",
         F.lit(None).cast("struct<y:int>").alias("_year"),

@@ -37,6 +37,14 @@ over(
     tidy_sql([("*", "rows", "count(*)"), ("*", "columns", "max(14)"), ("*", "numeric_columns", "max(6)"), ("*", "text_columns", "max(6)")]),
     lambda df: Q.profile_shape(df, "chart"),
 )
+over(
+    "profile_types",
+    " UNION ALL ".join(
+        f"""SELECT 'chart' AS table_name, '{c}' AS column_name, CASE any_value(typeof({c})) WHEN 'VARCHAR' THEN 'string' WHEN 'INTEGER' THEN 'int'
+        ELSE lower(any_value(typeof({c}))) END AS data_type, count(*) AS rows, count({c}) AS present FROM chart""" for c in COLUMNS
+    ),
+    lambda df: Q.profile_types(df, "chart"),
+)
 over(
     "profile_nulls",
     tidy_sql(

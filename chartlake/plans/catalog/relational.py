@@ -36,10 +36,10 @@ def total_sql(name: str, *keys: str) -> str:
 over(
     "join_left_equi",
     f""", {total_sql('t', 'year', 'month', 'country_name')}, a AS (SELECT {KEY}, count(DISTINCT artist_names) AS credits
-    FROM silver WHERE artist_names <> 'Unknown Artist' AND rank <= 10 GROUP BY ALL)
+    FROM silver WHERE artist_names <> 'Unknown Artist' GROUP BY ALL)
     SELECT t.*, credits FROM t LEFT JOIN a USING (year, month, country_name)""",
     lambda s: totals(s, *G.PLACE).join(
-        s.filter("artist_names <> 'Unknown Artist' and rank <= 10")
+        s.filter("artist_names <> 'Unknown Artist'")
         .groupBy(*G.PLACE)
         .agg(F.countDistinct("artist_names").alias("credits")),
         list(G.PLACE),
@@ -275,6 +275,14 @@ over(
     f"SELECT *, {pct('total_streams', 'sum(total_streams) OVER (PARTITION BY year, month)')} AS market_share FROM t",
     lambda s: windows.share_of_total(totals(s, "uri", *G.MONTH), G.MONTH),
 )
+over(
+    "share_of_total_guarded",
+    f""", t AS (SELECT market, {KEY}, count(*) FILTER (WHERE {IS_HIT}) AS hit_days FROM silver GROUP BY ALL)
+    SELECT *, {r2("CASE WHEN sum(hit_days) OVER (PARTITION BY year, month) > 0 THEN hit_days / CAST(sum(hit_days) OVER (PARTITION BY year, month) AS DOUBLE) * 100 ELSE 0 END")}
+      AS hit_share FROM t""",
+    lambda s: windows.share_of_total(
+        s.groupBy("market", *G.PLACE).agg(F.count_if(is_hit()).alias("hit_days")), G.MONTH, "hit_days", "hit_share", guarded=True),
+)
 over(
     "ratio_hit_rate",
     f"SELECT {KEY}, {pct(HITS, 'count(DISTINCT uri)', 1)} AS hit_rate FROM silver GROUP BY ALL",

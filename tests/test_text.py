@@ -151,3 +151,11 @@ def test_names_at_word_boundaries(spark, text):
     names = E.name_dictionary(spark.createDataFrame([("India",), ("Indiana",)], "n string"), "n")
     found = E.detect_entities(spark.createDataFrame([(1, text)], "id int, text string"), ["id"], "text", names)
     assert [r.entity for r in found.collect()] == ["India"]
+
+
+def test_kinds_come_before_lengths(spark):
+    turns = spark.createDataFrame([(1, 1, "user", "x"), (1, 2, "user", "y")], "conv_id int, turn int, role string, text string")
+    rows = [(1, 1, "a very long artist", 18, 1), (1, 1, "brazil", 6, 0), (1, 1, "some artist", 11, 1)]
+    mentions = spark.createDataFrame(rows, "conv_id int, turn int, entity string, entity_length int, kind_rank int")
+    out = {r.turn: (r.entity_1, r.entity_2) for r in T.carry_forward_entities(turns, mentions).collect()}
+    assert out == {1: (None, None), 2: ("brazil", "a very long artist")}
