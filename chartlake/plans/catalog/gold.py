@@ -3,7 +3,7 @@
 from chartlake.plans import gold as G
 from chartlake.plans import silver as S
 from chartlake.plans.catalog.base import (
-    AVG_SCORE, IS_HIT, STREAMS, over_rich, over_silver, parts, pct, query, rich, silver,
+    AVG_SCORE, IS_HIT, STREAMS, over_rich, over_silver, parts, pct, query, r2, rich, silver,
 )
 
 KEY = "year, month, country_name"
@@ -207,6 +207,22 @@ SELECT agg.*, country_total_streams, {pct('artist_streams', 'country_total_strea
     ),
 )(lambda spark, sf: G.artist_country_dominance(silver(spark, sf)))
 
+query(
+    "artist_country_dominance_deduped",
+    over_silver(
+        f""", {NAMED_CTE}, kept AS (
+  SELECT {KEY}, uri, artist_uri, streams, chart_strength_score, CASE WHEN {IS_HIT} THEN 1 ELSE 0 END AS hit, min(artist_name) OVER (PARTITION BY {KEY}, uri, artist_uri) AS artist_name
+  FROM named QUALIFY row_number() OVER (PARTITION BY {KEY}, uri, artist_uri ORDER BY streams DESC NULLS LAST, hit DESC, chart_strength_score DESC NULLS LAST) = 1),
+total AS (SELECT {KEY}, {STREAMS} AS country_total_streams FROM silver GROUP BY ALL),
+agg AS (SELECT {KEY}, artist_uri, min(artist_name) AS artist_name, {STREAMS} AS artist_streams, count(*) AS active_songs, CAST(sum(hit) AS BIGINT) AS hit_songs,
+  {AVG_SCORE} AS avg_chart_strength FROM kept GROUP BY {KEY}, artist_uri)
+SELECT agg.*, country_total_streams,
+  {r2("CASE WHEN country_total_streams > 0 THEN artist_streams / CAST(country_total_streams AS DOUBLE) * 100 ELSE 0 END")} AS artist_market_share,
+  {r2("CASE WHEN active_songs > 0 THEN hit_songs / CAST(active_songs AS DOUBLE) * 100 ELSE 0 END")} AS catalog_hit_rate
+FROM agg LEFT JOIN total USING (year, month, country_name)"""
+    ),
+)(lambda spark, sf: G.artist_country_dominance_deduped(silver(spark, sf)))
+
 CATALOG = """, track_catalog AS (
   SELECT uri, track_name FROM silver QUALIFY row_number() OVER (PARTITION BY uri ORDER BY date, track_name) = 1)"""
 query("track_catalog", over_silver(f"{CATALOG} SELECT * FROM track_catalog"))(

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from chartlake import constants as K
 from chartlake.functions import arrays, clean
-from chartlake.functions.features import is_hit, percent, year_month_key, year_month_label
+from chartlake.functions.features import is_hit, percent, percent_or_zero, year_month_key, year_month_label
 from chartlake.operators import rollup as R
 from chartlake.operators.windows import add_growth, share_of_total
 from chartlake.sources.writers import sink_gold_table, sink_parquet_partitioned
@@ -301,6 +301,33 @@ def artist_country_dominance(silver: DataFrame) -> DataFrame:
     )
 
 
+def artist_country_dominance_deduped(silver: DataFrame) -> DataFrame:
+    """Each artist's share of the country's month, from one row per month, country, track and artist.
+
+    The row kept is the one of most streams, then a hit, then the higher score. The country's total counts every row; it comes
+    out of the same first aggregate, in which a row's streams ride on its first credit. Shares and rates of nothing are 0.
+    """
+    credits = arrays.named_credits()
+    position = silver.select(*PLACE, "uri", "streams", "hit_category", "chart_strength_score", F.posexplode_outer(credits).alias("_at", "_credit"))
+    kept = F.max(F.struct("streams", is_hit().cast("int").alias("hit"), F.col("chart_strength_score").alias("score")))
+    first = position.groupBy(*PLACE, "uri", F.col("_credit.artist_uri").alias("artist_uri")).agg(
+        F.min("_credit.artist_name").alias("artist_name"), kept.alias("kept"),
+        F.sum(F.when(F.coalesce("_at", F.lit(0)) == 0, F.col("streams"))).alias("_streams"),
+    )
+    totals = first.groupBy(*PLACE).agg(F.sum("_streams").alias("country_total_streams"))
+    hundredths = F.sum(F.round(F.col("kept.score") * 100).cast("long"))
+    table = first.filter("artist_uri is not null").groupBy(*PLACE, "artist_uri").agg(
+        F.min("artist_name").alias("artist_name"), F.sum("kept.streams").alias("artist_streams"), F.count(F.lit(1)).alias("active_songs"),
+        F.sum("kept.hit").alias("hit_songs"), F.round(hundredths / F.count(F.lit(1)) / 100, 2).alias("avg_chart_strength"),
+    )
+    return table.join(totals, list(PLACE), "left").withColumns(
+        {
+            "artist_market_share": percent_or_zero(F.col("artist_streams"), F.col("country_total_streams")),
+            "catalog_hit_rate": percent_or_zero(F.col("hit_songs"), F.col("active_songs")),
+        }
+    )
+
+
 def track_catalog(silver: DataFrame) -> DataFrame:
     """One name per track: the earliest date's, then the smallest."""
     return silver.groupBy("uri").agg(F.min(F.struct("date", "track_name"))["track_name"].alias("track_name"))
@@ -333,6 +360,7 @@ GOLD_TABLES = {
     "label_performance": (label_performance, ("year",), False),
     "artist_performance_global": (artist_performance_global, ("year",), False),
     "artist_country_dominance": (artist_country_dominance, ("year",), False),
+    "artist_country_dominance_deduped": (artist_country_dominance_deduped, ("year",), False),
     "gold_song_charts": (gold_song_charts, MONTH, False),
 }
 
