@@ -108,7 +108,7 @@ monthly_trends AS (
   SELECT base.*, active_artists, {growth('total_streams', 'country_name')} AS growth_percentage
   FROM base LEFT JOIN artists USING (year, month, country_name))"""
 query("monthly_trends", over_silver(f"{MONTHLY_TRENDS} SELECT * FROM monthly_trends"))(
-    lambda spark, sf: G.monthly_trends(silver(spark, sf), excluded=((2001, 8),))
+    lambda spark, sf: G.monthly_trends(silver(spark, sf), **OPTIONS["monthly_trends"])
 )
 
 query(
@@ -135,6 +135,8 @@ FROM base LEFT JOIN artists USING (year, month)"""
 
 # Remap entries that occur in the derived chart, so that the lookup has work to do.
 CHART_REMAPS = ({"Brand#1": "Columbia", "Brand#2": "Columbia"}, {"Independent": "Republic Records"})
+#: Arguments that fit the derived chart.
+OPTIONS = {"monthly_trends": {"excluded": ((2001, 8),)}, "label_performance_enhanced": {"remaps": CHART_REMAPS}}
 
 
 def remapped(x: str) -> str:
@@ -147,7 +149,7 @@ LABELS_ENHANCED = f""", label_performance_enhanced AS (
     count(DISTINCT artist_names) AS active_artists FROM silver GROUP BY ALL)"""
 query(
     "label_performance_enhanced", over_silver(f"{LABELS_ENHANCED} SELECT * FROM label_performance_enhanced")
-)(lambda spark, sf: G.label_performance_enhanced(silver(spark, sf), CHART_REMAPS))
+)(lambda spark, sf: G.label_performance_enhanced(silver(spark, sf), **OPTIONS["label_performance_enhanced"]))
 
 query(
     "label_performance",

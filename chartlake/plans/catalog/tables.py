@@ -6,7 +6,8 @@ from chartlake import constants as K
 from chartlake.fixtures import table
 from chartlake.functions.features import hit_category
 from chartlake.plans import gold as G
-from chartlake.plans.catalog.base import HIT_CATEGORY, IS_HIT, STREAMS, bronze, over_chart, over_silver, query, silver
+from chartlake.plans.catalog.base import HIT_CATEGORY, IS_HIT, ORACLES, STREAMS, bronze, over_chart, over_silver, query, silver
+from chartlake.plans.catalog.gold import OPTIONS
 from chartlake.session import work_dir
 from chartlake.sources import readers, writers
 
@@ -126,18 +127,29 @@ def reload_first_wins(spark, sf):
     )
 
 
-@query("run_gold", over_silver(f"SELECT 'kpi_song' AS table_name, count(*) AS n FROM ({KPI_SQL}) UNION ALL "
-       "SELECT 'track_catalog', count(DISTINCT uri) FROM silver UNION ALL "
-       "SELECT 'country_performance', count(DISTINCT (year, month, country_name)) FROM silver UNION ALL "
-       "SELECT 'silver', count(*) FROM silver"))
+#: What is added up to compare contents, where it isn't total_streams.
+MEASURES = {
+    "artist_country_dominance": "artist_streams", "artist_country_dominance_deduped": "artist_streams",
+    "gold_song_charts": "streams", "kpi_artist": None, "track_catalog": None,
+}
+
+
+def measure(name: str) -> str:
+    return MEASURES.get(name, "total_streams") or "0"
+
+
+@query(
+    "run_gold",
+    " UNION ALL ".join(
+        f"SELECT '{name}' AS table_name, count(*) AS n, CAST(sum({measure(name)}) AS BIGINT) AS streams FROM ({ORACLES[name]})" for name in G.GOLD_TABLES
+    ),
+)
 def run_gold(spark, sf):
-    names = ("kpi_song", "track_catalog", "country_performance")
-    paths = G.run_gold(spark, silver(spark, sf), work_dir(spark, "gold"), names)
-    counts = [
-        spark.read.parquet(path).agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("n"))
-        for name, path in paths.items()
-    ]
-    out = counts[0]
-    for other in counts[1:]:
-        out = out.unionByName(other)
+    """Every monthly table, written from one cleaned chart and read back."""
+    paths = G.run_gold(spark, silver(spark, sf), work_dir(spark, "gold"), options=OPTIONS)
+    out = None
+    for name in G.GOLD_TABLES:
+        sums = F.sum(F.expr(measure(name))).cast("long").alias("streams")
+        row = spark.read.parquet(paths[name]).agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("n"), sums)
+        out = row if out is None else out.unionByName(row)
     return out

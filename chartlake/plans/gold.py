@@ -366,14 +366,21 @@ GOLD_TABLES = {
 
 
 def run_gold(
-    spark: SparkSession, silver: DataFrame, out: str, tables: Collection[str] = tuple(GOLD_TABLES)
+    spark: SparkSession,
+    silver: DataFrame,
+    out: str,
+    tables: Collection[str] = tuple(GOLD_TABLES),
+    options: Mapping[str, Mapping[str, object]] | None = None,
 ) -> dict[str, str]:
-    """Write the cleaned chart once, then build and write every requested table from it."""
+    """Write the cleaned chart once, then build and write every requested table from it.
+
+    options: table name -> arguments of its builder, such as the months a trend leaves out.
+    """
     paths = {"silver": f"{out}/silver"}
     sink_parquet_partitioned(silver, paths["silver"], MONTH)
     source = spark.read.parquet(paths["silver"])
     for name in tables:
         build, partition_by, single_file = GOLD_TABLES[name]
         paths[name] = f"{out}/{name}"
-        sink_gold_table(build(source), paths[name], partition_by, single_file)
+        sink_gold_table(build(source, **(options or {}).get(name, {})), paths[name], partition_by, single_file)
     return paths
