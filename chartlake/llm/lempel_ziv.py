@@ -14,6 +14,7 @@ blocks. The union of the factors' windows is what is removed.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -22,13 +23,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chartlake.llm.tables import SLICE_BYTES, release, saved, slices, texts_of
-from chartlake.llm.words import WORD, U, windows, word_hashes
+from chartlake.llm.tables import SLICE_BYTES, saved_alone, slices, texts_of
+from chartlake.llm.words import WORD, windows, word_hashes
 
 SIZE = 20
 GRAM = 5
 #: Places are ordered by document, then by word, as one number: id * PLACES + word.
 PLACES = 1 << 32
+#: The pieces are shuffled in so many passes, by anchor, so that only a part of them is on disk twice.
+PASSES = 2
 
 
 def anchors(words: np.ndarray, at: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -76,9 +79,8 @@ def _anchor_counts(ids, starts, counts, grams, hashes) -> pa.RecordBatch:
 
 
 def _whole_pieces(ids, starts, counts, grams, hashes) -> pa.RecordBatch:
-    # With the anchor's 64 bits, 32 of the window's own suffice to tell it.
-    own = (hashes() >> U(32)).astype(np.uint32).view(np.int32)
-    lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(counts)).astype(np.int32)), pa.array(own))
+    # The anchor is the same for all windows of a frequent 5-gram, so a window is told by the whole of its own hash.
+    lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(counts)).astype(np.int32)), pa.array(hashes().view(np.int64)))
     return pa.RecordBatch.from_arrays([pa.array(grams), pa.array(ids), pa.array(starts.astype(np.int32)), lists], names=["anchor", "id", "start", "hashes"])
 
 
@@ -88,14 +90,13 @@ def copied_windows(docs: DataFrame, size: int = SIZE) -> DataFrame:
     tests: arrays [first window, windows] whose windows were looked up; firsts: the windows among them that stand nowhere
     earlier. The other looked-up windows are copies. Both lists are bounded by the document.
     """
-    spark = docs.sparkSession
     rows = docs.where("id is not null").select("id", "text")
     counted = rows.mapInArrow(_pieces(size, _anchor_counts), "anchor long, n long").groupBy("anchor").agg(F.sum("n").alias("n"))
-    shared = saved(counted.where("n > 1").select("anchor"), "anchors")
-    release(spark)
-    pieces = rows.mapInArrow(_pieces(size, _whole_pieces), "anchor long, id long, start int, hashes array<int>")
-    pieces = saved(pieces.join(shared, "anchor", "left_semi"), "pieces")
-    release(spark)
+    shared = saved_alone(counted.where("n > 1").select("anchor"), "anchors")
+    pieces = rows.mapInArrow(_pieces(size, _whole_pieces), "anchor long, id long, start int, hashes array<long>")
+    passes = [F.pmod("anchor", F.lit(PASSES)) == k for k in range(PASSES)]
+    parts = [saved_alone(pieces.where(own).join(shared.where(own), "anchor", "left_semi"), "pieces") for own in passes]
+    pieces = reduce(DataFrame.union, parts)
 
     def place(start):
         return F.col("id").cast("decimal(20,0)") * F.lit(PLACES).cast("decimal(10,0)") + start
@@ -105,7 +106,7 @@ def copied_windows(docs: DataFrame, size: int = SIZE) -> DataFrame:
     firsts = single.groupBy("anchor", "hash").agg(F.min(F.col("place") + F.col("k")).alias("place"))
     word = F.pmod("place", F.lit(PLACES).cast("decimal(10,0)"))
     firsts = firsts.select(((F.col("place") - word) / F.lit(PLACES)).cast("decimal(20,0)").cast("long").alias("id"), word.cast("long").alias("first"))
-    firsts = saved(firsts, "firsts")
+    firsts = saved_alone(firsts, "firsts")
     tests = pieces.select("id", (F.col("start").cast("long") * 256 + F.size("hashes")).alias("test"))
     nothing = F.lit(None).cast("long")
     both = tests.withColumn("first", nothing).union(firsts.select("id", nothing, "first"))
@@ -163,8 +164,7 @@ NEW = [
 def _removed(docs: DataFrame, id: str, text: str, size: int, row: list[str], always: bool) -> DataFrame:
     """(_row, _words, _left, _spans) for every row; _row is a struct of the columns in row."""
     key, body = F.col(f"`{id}`").cast("long"), F.col(f"`{text}`")
-    found = saved(copied_windows(docs.select(key.alias("id"), body.alias("text")), size), "copies").withColumnRenamed("id", "_found")
-    release(docs.sparkSession)
+    found = saved_alone(copied_windows(docs.select(key.alias("id"), body.alias("text")), size), "copies").withColumnRenamed("id", "_found")
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in row]).alias("_row"), key.alias("_id"), body.alias("_text"))
     joined = packed.join(found, F.col("_id") == F.col("_found"), "left").select("_row", "_text", "tests", "firsts")
     schema = T.StructType([joined.schema["_row"], *NEW])

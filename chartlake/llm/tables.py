@@ -16,6 +16,7 @@ from chartlake.session import work_dir
 
 #: Bytes of text that a kernel holds in its working arrays at once; one longer text is taken by itself.
 SLICE_BYTES = 1 << 20
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def saved(df: DataFrame, name: str) -> DataFrame:
@@ -25,6 +26,17 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def saved_alone(df: DataFrame, name: str) -> DataFrame:
+    """saved(df, name), and the shuffle files of the write are deleted as it ends."""
+    conf = df.sparkSession.conf
+    before = conf.get(CLEAN_UP, "false")
+    conf.set(CLEAN_UP, "true")
+    try:
+        return saved(df, name)
+    finally:
+        conf.set(CLEAN_UP, before)
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark's cleaner delete the shuffle files of phases whose results are saved and that nothing refers to."""
     gc.collect()

@@ -13,6 +13,7 @@ from tokenizers import Tokenizer
 
 from chartlake.llm import bpe_reuse, lempel_ziv, licenses, minhash_dedup, packing, projections, repetition, secrets, token_counts, token_files
 from chartlake.llm.components import components
+from chartlake.llm.words import windows, word_hashes
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 BYTE, WORDS = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("word_bpe_49k.json")
@@ -269,6 +270,16 @@ def test_substring_dedup_of_repeated_and_null_ids(spark):
     assert {(r["doc_id"], r["text"]) for r in left.collect()} == {(1, None), (2, "short  text")}
 
 
+def test_windows_under_one_anchor_are_told_apart(spark):
+    # Two windows of one anchor whose 64-bit hashes agree in the upper half.
+    shared = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma tau"
+    rows = [(1, f"{shared} w2808"), (2, f"{shared} w50712"), (3, f"{shared} w2808")]
+    hashed, at = word_hashes([x.encode() for _, x in rows])
+    assert len(set((windows(hashed, 20)[at[:2]] >> np.uint64(32)).tolist())) == 1
+    got = {r["doc_id"]: r["n_removed"] for r in lempel_ziv.substring_dedup(table(spark, rows)).collect()}
+    assert got == {1: 0, 2: 0, 3: 20}
+
+
 def test_licenses(spark):
     got = licenses.license_scan(table(spark, ROWS), licenses.templates(spark))
     n = len(TEXTS)
