@@ -11,7 +11,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from chartlake.llm import bpe_reuse, lempel_ziv, licenses, minhash_dedup, packing, projections, repetition, secrets, token_counts, token_files
+from chartlake.llm import bpe_reuse, lempel_ziv, licenses, minhash_dedup, packing, projections, repetition, secrets, stages, token_counts, token_files
 from chartlake.llm.components import components
 from chartlake.llm.words import windows, word_hashes
 
@@ -84,6 +84,17 @@ def test_near_duplicates_repeated_and_null_ids(spark):
     assert got == sorted([(5, 5, True), (5, 5, True), (9, 5, False), (None, None, True), (1, 1, True)], key=repr)
 
 
+def test_near_dedup_stage_takes_similarity_of_four_fifths(spark):
+    base = [f"word{k}" for k in range(200)]
+
+    def changed(n):
+        return " ".join("other" if k % 40 == 10 and k < 40 * n else w for k, w in enumerate(base))
+
+    # 176 of 216 shingles are shared with four words changed, 171 of 221 with five.
+    rows = [(1, " ".join(base)), (2, changed(4)), (3, changed(5).replace("other", "third"))]
+    assert {r["doc_id"] for r in stages.near_dedup(spark, table(spark, rows), "").collect()} == {1, 3}
+
+
 def test_large_groups_are_verified_in_parts(spark, monkeypatch):
     monkeypatch.setattr(minhash_dedup, "PART_SHINGLES", 400)
     got = minhash_dedup.near_duplicates(table(spark, ROWS))
