@@ -118,10 +118,16 @@ class Block:
             chosen = chosen[reach[chosen] <= ratio * bound]
             rows = np.concatenate([np.arange(self.at[x], self.at[x + 1]) for x in chosen])
             rows = rows[self.ids[rows] != own]
-            scores = np.concatenate([scores, (self.vectors[rows] * query).sum(axis=1)])
-            ids = np.concatenate([ids, self.ids[rows]])
-            best = np.lexsort((ids, -scores))[:k]
-            scores, ids = scores[best], ids[best]
+            new = (self.vectors[rows] * query).sum(axis=1)
+            if len(ids) == k:
+                better = new >= scores[-1]
+                rows, new = rows[better], new[better]
+            scores, ids = np.concatenate([scores, new]), np.concatenate([ids, self.ids[rows]])
+            best = np.lexsort((ids, -scores))
+            # An id takes one place, with its best score: the bound needs k different ones.
+            if len(set(ids[best[:k]].tolist())) < len(best[:k]):
+                best = best[np.sort(np.unique(ids[best], return_index=True)[1])]
+            scores, ids = scores[best[:k]], ids[best[:k]]
             if len(ids) == k:
                 bound = min(bound, max(length2 - 2 * scores[-1], 0.0))
             a, step = a + step, 2 * step
@@ -167,7 +173,7 @@ def nearest_neighbours(
 
         return df.where(F.size("v") == width).select("id", "v").mapInArrow(run, "id long, v array<double>, extra double, p array<double>")
 
-    rows = saved(projected(data, False), "projected")
+    rows = saved(projected(data.dropDuplicates(["id", "v"]), False), "projected")
     asked = saved(projected(sound(queries), True).dropDuplicates(["id", "v"]), "queries")
     sample = rows.select("id", "p").orderBy(F.xxhash64("id", F.lit(seed)), "id", "p").limit(SAMPLE_ROWS).collect()
     total = rows.count()

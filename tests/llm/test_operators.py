@@ -319,6 +319,25 @@ def test_neighbours(spark):
     assert set(got) == set(range(0, 1500, 20)) and hit / (75 * 20) >= 0.9
 
 
+def test_neighbours_of_repeated_rows(spark):
+    rng = np.random.default_rng(4)
+    x = rng.standard_normal((60, 24))
+    near = x[:, None, :] + 0.01 * rng.standard_normal((60, 30, 24))
+    copies = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)] * 20, "vec_id long, embedding array<double>")
+    variants = spark.createDataFrame([(k, v.tolist()) for k in range(60) for v in near[k]], copies.schema)
+    for data, rows in ((copies, x[:, None, :]), (variants, near)):
+        asked = spark.createDataFrame([(0, x[0].tolist()), (1, x[1].tolist())], copies.schema)
+        got = projections.nearest_neighbours(data, asked, k=20).collect()
+        hit = 0
+        for q in (0, 1):
+            score = (rows * x[q]).sum(axis=2).max(axis=1)
+            score[q] = -np.inf
+            found = {r["vec_id"]: r["score"] for r in got if r["query_id"] == q}
+            assert len(found) == 20 and all(abs(s - score[k]) < 1e-9 for k, s in found.items())
+            hit += len(set(np.argsort(-score)[:20].tolist()) & set(found))
+        assert hit >= 36
+
+
 def test_few_candidates(spark):
     data = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.5, 0.5]), (2, [0.0, 1.0])], "vec_id long, embedding array<double>")
     got = projections.nearest_neighbours(data, data.where("vec_id = 0")).orderBy("rank").collect()
