@@ -1,14 +1,13 @@
-"""Substring dedup by a relative Lempel-Ziv parse of the corpus against what stands earlier in it.
+"""Substring dedup by an exact search for each window's first occurrence in the corpus, in place of a greedy Lempel-Ziv parse.
 
 Reference blocks are parts of an index by anchor. The anchor of a window of `size` words is the smallest hash among its word
 5-grams, the leftmost one if there are several; equal windows have equal anchors at equal places, so whatever a document can
 copy is found in the one block its anchor falls into, and looking there is looking in every block. Consecutive windows with one
 anchor form a piece of at most `size - 4` windows. Pieces whose anchor occurs once in the corpus copy nothing and stay behind.
 
-Of equal pieces only the earliest goes on, and of their windows the earliest place of each is found. A document's windows that
-stand elsewhere earlier join into factors as long as they follow each other: the greedy parse. Each factor ends where the next
-window starts nowhere earlier; the windows across that boundary belong to the next pieces and have been looked up in their
-blocks. The union of the factors' windows is what is removed.
+Of equal pieces only the earliest goes on, and of their windows the earliest place of each is found. No factor is extended and
+no words are compared: windows are told apart by 64-bit hashes under their anchor. The union of the windows that stand elsewhere
+earlier is what is removed.
 """
 
 from __future__ import annotations
