@@ -8,7 +8,10 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chartlake.llm import bpe_reuse, lempel_ziv, licenses, minhash_dedup, packing, projections, repetition, secrets, token_counts, token_files
+from chartlake.llm import (
+    alignment, bpe_reuse, lempel_ziv, licenses, minhash_dedup, packing, pii, projections, repetition, secrets, token_counts, token_files,
+    whitening,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -94,3 +97,31 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_bpe_reuse")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_reuse.encode_decode(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), output=bpe_reuse.digests)
+
+
+@query("op11_embedding_whitening")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+@query("op12_personal_data")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.personal_data(documents(spark, sf_dir))
+
+    def count(kind: str) -> Column:
+        return F.expr(f"cast(size(filter(personal, s -> s.kind = '{kind}')) as long)").alias(f"n_{kind}")
+
+    def joined(chosen: str) -> Column:
+        return F.expr(f"array_join(transform({chosen}, s -> concat_ws(':', s.kind, s.start, s.end)), ',')")
+
+    base = ", ".join(f"'{k}'" for k in pii.BASE_KINDS)
+    return found.select(
+        "doc_id", *map(count, pii.BASE_KINDS), F.sha2(joined(f"filter(personal, s -> s.kind in ({base}))"), 256).alias("base_sha256"),
+        joined("personal").alias("spans"),
+    )
+
+
+@query("op13_token_alignment")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path
+    return alignment.aligned(documents(spark, sf_dir), path("byte_bpe_50k.json"), path("piece_bpe_32k.model"))[0]
