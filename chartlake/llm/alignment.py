@@ -15,6 +15,7 @@ import hashlib
 import os
 import re
 from collections.abc import Iterator
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
@@ -60,6 +61,7 @@ class ByteLevel:
             i: bytes(letters[c] for c in token) if all(c in letters for c in token) else token.encode()
             for token, i in self.tokenizer.get_vocab(with_added_tokens=True).items()
         }
+        self.names = {i: str(i) for i in self.bytes}
         #: Words with a blank before them are encoded by themselves, and nothing is changed or added before that.
         self.cuts = kind.get("normalizer") is None and split.get("type") == "ByteLevel" and split.get("use_regex", True) and not split.get("add_prefix_space")
 
@@ -76,6 +78,7 @@ class Pieces:
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
         names = [self.model.id_to_piece(i) for i in range(self.model.get_piece_size())]
         self.bytes = {i: bytes([int(p[3:-1], 16)]) if self.model.is_byte(i) else p.replace(BLANK, " ").encode() for i, p in enumerate(names)}
+        self.names = {i: str(i) for i in self.bytes}
         self.blank = [self.model.piece_to_id(BLANK)]
         probe = " a  b\n c "
         self.cuts = self.model.normalize(probe) == BLANK + probe.replace(" ", BLANK) and not any(BLANK in p.lstrip(BLANK) for p in names)
@@ -86,24 +89,19 @@ class Pieces:
         return [self.blank if p == " " else ids for p, ids in zip(parts, found)]
 
 
-def align(a: list[bytes], b: list[bytes]) -> tuple[list[tuple[range, range]], list[tuple[int, int]]]:
-    """Groups (token numbers of a and b) between places where both have a token end, and the pairs of numbers that overlap."""
+def align(ends_a: list[int], ends_b: list[int]) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
+    """From where tokens end: after how many tokens of a and b both have an end, and the pairs of numbers that overlap."""
     groups, links = [], []
-    i = j = first_i = first_j = 0
-    end_a, end_b = (len(a[0]), len(b[0])) if a and b else (0, 0)
-    while i < len(a) and j < len(b):
+    i = j = 0
+    for end_a in ends_a:
+        while ends_b[j] < end_a:
+            links.append((i, j))
+            j += 1
         links.append((i, j))
-        both = end_a == end_b
-        step_a, step_b = end_a <= end_b, end_b <= end_a
-        if step_a:
-            i += 1
-            end_a += len(a[i]) if i < len(a) else 0
-        if step_b:
+        i += 1
+        if ends_b[j] == end_a:
             j += 1
-            end_b += len(b[j]) if j < len(b) else 0
-        if both:
-            groups.append((range(first_i, i), range(first_j, j)))
-            first_i, first_j = i, j
+            groups.append((i, j))
     return groups, links
 
 
@@ -126,12 +124,21 @@ class Aligner:
 
     def learn(self, new: list[str]) -> None:
         measures, links, sizes = [], [], []
+        bytes_a, bytes_b, name_a, name_b = self.a.bytes, self.b.bytes, self.a.names, self.b.names
         for part, ids_a, ids_b in zip(new, self.a.encode(new), self.b.encode(new)):
-            a, b, body = [self.a.bytes[i] for i in ids_a], [self.b.bytes[i] for i in ids_b], part.encode()
-            fits = b"".join(a) == body == b"".join(b) and all(a) and all(b)
-            groups, pairs = align(a, b) if fits else ([], [])
+            a, b, body = [bytes_a[i] for i in ids_a], [bytes_b[i] for i in ids_b], part.encode()
+            fits = b"".join(a) == body == b"".join(b)
+            groups, pairs = align([*accumulate(map(len, a))], [*accumulate(map(len, b))]) if fits else ([], [])
+            i = j = 0
+            shown = []
+            for next_i, next_j in groups:
+                if next_i == i + 1 and next_j == j + 1:
+                    shown.append(name_a[ids_a[i]] + "|" + name_b[ids_b[j]])
+                else:
+                    shown.append(",".join([name_a[x] for x in ids_a[i:next_i]]) + "|" + ",".join([name_b[x] for x in ids_b[j:next_j]]))
+                i, j = next_i, next_j
             self.known[part] = len(self.shown)
-            self.shown.append(";".join(",".join(str(ids_a[i]) for i in x) + "|" + ",".join(str(ids_b[j]) for j in y) for x, y in groups))
+            self.shown.append(";".join(shown))
             measures.append((len(a), len(b), len(groups), len(pairs), fits))
             links += [ids_a[i] << A_BITS | ids_b[j] for i, j in pairs]
             sizes.append(len(pairs))
@@ -148,14 +155,16 @@ class Aligner:
         if new:
             self.learn(sorted(new))
         numbers = [list(map(self.known.__getitem__, parts)) for parts in cut]
-        measures = np.array([self.measures[x].sum(axis=0) for x in numbers], np.int64).reshape(-1, 5)
-        fits = measures[:, 4] == [len(x) for x in numbers]
+        sizes = np.array([len(x) for x in numbers])
+        flat = np.fromiter(chain.from_iterable(numbers), np.int64, int(sizes.sum()))
+        # A text has a part at least, as a blank stands before it.
+        measures = np.add.reduceat(self.measures[flat], np.cumsum(sizes) - sizes)
+        fits = measures[:, 4] == sizes
         measures[~fits] = 0
         shown = [hashlib.sha256(";".join(map(self.shown.__getitem__, x)).encode()).hexdigest() if f else "" for x, f in zip(numbers, fits)]
-        sizes = [len(x) if f else 0 for x, f in zip(numbers, fits)]
-        flat = np.array([k for x, f in zip(numbers, fits) if f for k in x], np.int64)
         span = len(self.shown) + 1
-        own, times = np.unique(np.repeat(np.arange(len(texts)), sizes) * span + flat, return_counts=True)
+        inside = np.repeat(fits, sizes)
+        own, times = np.unique(np.repeat(np.arange(len(texts)), sizes)[inside] * span + flat[inside], return_counts=True)
         owner, part = own // span, own % span
         n = self.starts[part + 1] - self.starts[part]
         upto = np.cumsum(n)
