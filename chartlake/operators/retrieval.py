@@ -7,8 +7,6 @@ from collections.abc import Callable, Iterator, Sequence
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,7 +30,7 @@ def candidate_budget(k: int = K.TOP_K) -> int:
 # --- exact nearest neighbours -------------------------------------------------------------
 
 
-def _matrix(column) -> np.ndarray:
+def matrix(column) -> np.ndarray:
     """A list column of one Arrow batch, or a series of arrays, as a matrix of doubles."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
@@ -43,7 +41,7 @@ def _matrix(column) -> np.ndarray:
     return np.array([np.asarray(v, dtype="float64") for v in column])
 
 
-class _Nearest:
+class Nearest:
     """The k nearest corpus rows per query row, over any number of batches of one task.
 
     The product form of the distance, in single precision, picks candidates with some slack: in the first
@@ -157,14 +155,14 @@ def knn_exact(
         if size["bytes"] > QUERY_BYTES:
             raise ValueError("the query vectors are too large to broadcast: use in_blocks")
         local = asked.toPandas()
-        q_matrix = _matrix(local["embedding"]) if len(local) else np.zeros((0, 0))
+        q_matrix = matrix(local["embedding"]) if len(local) else np.zeros((0, 0))
         shared = corpus.sparkSession.sparkContext.broadcast((local.drop(columns="embedding"), q_matrix))
 
         def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            nearest = _Nearest(*shared.value, key_list, k)
+            nearest = Nearest(*shared.value, key_list, k)
             for batch in batches:
                 plain = batch.select([x for x in batch.schema.names if x != "embedding"]).to_pandas()
-                nearest.add(plain, _matrix(batch.column(batch.schema.get_field_index("embedding"))))
+                nearest.add(plain, matrix(batch.column(batch.schema.get_field_index("embedding"))))
             out = nearest.result()
             if len(out):
                 yield pa.RecordBatch.from_pandas(out, preserve_index=False)
@@ -183,8 +181,8 @@ def knn_exact(
         )
 
         def meet(queries_: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
-            nearest = _Nearest(queries_.reset_index(drop=True), _matrix(queries_["embedding"]), key_list, k)
-            nearest.add(rows.reset_index(drop=True), _matrix(rows["embedding"]))
+            nearest = Nearest(queries_.reset_index(drop=True), matrix(queries_["embedding"]), key_list, k)
+            nearest.add(rows.reset_index(drop=True), matrix(rows["embedding"]))
             return nearest.result()
 
         found = left.groupBy("_qb", "_cb").cogroup(right.groupBy("_qb", "_cb")).applyInPandas(meet, schema)
@@ -192,54 +190,7 @@ def knn_exact(
     return ranked.withColumn("rank", F.col("rank") - 1)
 
 
-# --- approximate nearest neighbours -------------------------------------------------------
-
-
-def cluster_lists(
-    corpus: DataFrame, lists: int, seed: int = 7, iterations: int = 10
-) -> tuple[DataFrame, np.ndarray]:
-    """The corpus with a list id per row, and the list centres.
-
-    The centres are fitted on every row, whatever their number.
-    """
-    data = corpus.withColumn("_v", array_to_vector(F.col("embedding").cast("array<double>")))
-    model = KMeans(k=lists, seed=seed, maxIter=iterations, featuresCol="_v", predictionCol="list_id").fit(
-        data.select("_v")
-    )
-    return model.transform(data).drop("_v"), np.array(model.clusterCenters())
-
-
-def probe_lists(queries: DataFrame, centres: np.ndarray, probes: int) -> DataFrame:
-    """One row per query and nearest list; the centres are a small literal matrix."""
-    shared = queries.sparkSession.sparkContext.broadcast(centres)
-
-    @F.pandas_udf("array<int>")
-    def nearest(vectors: pd.Series) -> pd.Series:
-        v, c = _matrix(vectors), shared.value
-        d = (v * v).sum(axis=1)[:, None] + (c * c).sum(axis=1)[None, :] - 2.0 * v @ c.T
-        return pd.Series(list(np.argsort(d, axis=1, kind="stable")[:, :probes].astype("int32")))
-
-    return queries.withColumn("list_id", F.explode(nearest("embedding")))
-
-
-def knn_ivf(
-    indexed: DataFrame, centres: np.ndarray, queries: DataFrame, k: int, probes: int, keys: Sequence[str] = CHUNK
-) -> DataFrame:
-    """Nearest neighbours among the rows of each query's nearest lists.
-
-    A corpus written partitioned by list_id is read only where a list is probed. A query with a scope sees only
-    rows of that scope, as in knn_exact: scope and list are one key.
-    """
-    probed = probe_lists(queries, centres, probes)
-    rows = indexed.join(probed.select("list_id").distinct(), "list_id", "left_semi")
-    in_list = F.col("list_id").cast("string")
-    if not ("scope" in queries.columns and "scope" in indexed.columns):
-        return knn_exact(rows.withColumn("scope", in_list), probed.withColumn("scope", in_list), k, keys)
-    both = F.concat_ws("|", in_list, F.col("scope").cast("string"))
-    anywhere = probed.filter("scope IS NULL").withColumn("scope", in_list)
-    within = probed.filter("scope IS NOT NULL").withColumn("scope", both)
-    found = knn_exact(rows.withColumn("scope", in_list), anywhere, k, keys)
-    return found.unionByName(knn_exact(rows.filter("scope IS NOT NULL").withColumn("scope", both), within, k, keys))
+# --- recall and best distances -------------------------------------------------------
 
 
 def recall(approximate: DataFrame, exact: DataFrame, keys: Sequence[str] = CHUNK) -> DataFrame:
@@ -252,20 +203,6 @@ def recall(approximate: DataFrame, exact: DataFrame, keys: Sequence[str] = CHUNK
     )
 
 
-def knn_recall_sweep(
-    indexed: DataFrame, centres: np.ndarray, queries: DataFrame, k: int, probes: Sequence[int], keys: Sequence[str] = CHUNK
-) -> DataFrame:
-    """Mean recall per number of probes; recall is 1 when every list is probed."""
-    exact = knn_exact(indexed, queries, k, keys)
-    out = None
-    for p in probes:
-        row = recall(knn_ivf(indexed, centres, queries, k, p, keys), exact, keys).agg(
-            F.lit(p).alias("probes"), F.avg("recall").alias("recall"), F.min("recall").alias("worst")
-        )
-        out = row if out is None else out.unionByName(row)
-    return out
-
-
 def top1_distance(ranked: DataFrame, queries: DataFrame, corpus: DataFrame, keys: Sequence[str] = CHUNK) -> DataFrame:
     """Distance from each query to its best-ranked chunk, whatever ranked it."""
     best = ranked.filter("rank = 0").select("query_id", *keys)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from chartlake import fixtures
 from chartlake.plans import silver as S
+from chartlake.session import work_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -39,6 +40,20 @@ def rich(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.silver_chart_rich(bronze(spark, sf_dir), countries=fixtures.CHART_COUNTRIES)
 
 
+_STORED: dict[tuple[str, str, str], object] = {}
+
+
+def stored(spark: SparkSession, sf_dir: str, name: str, write: Callable[[str], object]) -> object:
+    """What write(path) gives, written once per session and input folder and read by every query that asks for the name.
+
+    The inputs of a folder are taken to stay as they are while the session lasts.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _STORED:
+        _STORED[key] = write(work_dir(spark, name))
+    return _STORED[key]
+
+
 def r2(x: str, digits: int = 2) -> str:
     """Half-up rounding of a double, digit by digit, as Spark does it."""
     return f"CAST(round(CAST(CAST(CAST({x} AS DOUBLE) AS VARCHAR) AS DECIMAL(38,20)), {digits}) AS DOUBLE)"

@@ -15,11 +15,12 @@ from chartlake.operators import answers as A
 from chartlake.operators import entities as E
 from chartlake.operators import retrieval as R
 from chartlake.operators import turns as T
+from chartlake.operators import vector_index as V
 from chartlake.operators.windows import top_k_per_group
 from chartlake.plans import chunks as C
 from chartlake.plans import gold as G
 from chartlake.plans.catalog import text as TX
-from chartlake.plans.catalog.base import IS_HIT, STREAMS, over_silver, query, r2, silver
+from chartlake.plans.catalog.base import IS_HIT, STREAMS, over_silver, query, r2, silver, stored
 from chartlake.plans.catalog.gold import ARTISTS_RANKED, CATALOG, COUNTRY_PERFORMANCE, KEY
 from chartlake.plans.catalog.relational import COUNTRY_YEAR
 from chartlake.session import work_dir
@@ -87,7 +88,11 @@ TABLES = ("country_performance", "label_performance_enhanced", "kpi_song", "trac
 
 
 def served(spark, sf, vectors=True):
-    out = work_dir(spark, "served")
+    """The monthly tables, chunks and questions, written once per session and input folder for all retrieval jobs."""
+    return stored(spark, sf, f"served_{vectors}", lambda out: _serve(spark, sf, vectors, out))
+
+
+def _serve(spark, sf, vectors, out):
     paths = G.run_gold(spark, silver(spark, sf), out, TABLES)
     tables = {name: spark.read.parquet(paths[name]) for name in TABLES}
     countries, singers = tables["country_performance"], tables["artist_performance_ranked"]
@@ -157,36 +162,68 @@ query("knn_exact_scoped", f"WITH {CENTRES_CTE}{NEAR_SQL.format(where='WHERE own
         centres(spark, sf).withColumn("scope", F.col("query_id")), R.candidate_budget(), VECTOR,
     )
 )
+#: Lists of the stored index: about the square root of the row count.
+LISTS_CTE = "lists AS (SELECT greatest(2, CAST(round(sqrt(count(*))) AS INT)) AS lists FROM embeddings)"
+
+
+def index_of(spark, sf) -> V.VectorIndex:
+    """The vector table as a stored index, with its labels as scopes."""
+    rows = vectors(spark, sf).withColumn("scope", F.col("source_label"))
+    return stored(spark, sf, "vector_index", lambda path: V.build_index(rows, path, _lists(rows), VECTOR))
+
+
+def _lists(rows):
+    return max(2, round(rows.count() ** 0.5))
+
+
 query(
     "knn_exact_self",
     """WITH d AS (SELECT a.vec_id AS query_id, b.vec_id, round(list_distance(CAST(b.embedding AS DOUBLE[]), CAST(a.embedding AS DOUBLE[])), 6) AS distance
     FROM embeddings a, embeddings b) SELECT query_id, vec_id, distance,
     CAST(row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) - 1 AS INT) AS rank FROM d QUALIFY rank < 5""",
 )(
-    lambda spark, sf: R.knn_exact(
-        vectors(spark, sf), vectors(spark, sf).select(F.col("vec_id").alias("query_id"), "embedding"), 5, VECTOR,
-        in_blocks=True, query_block=128, corpus_block=256,
+    lambda spark, sf: V.search_pivots(
+        index_of(spark, sf), vectors(spark, sf).select(F.col("vec_id").alias("query_id"), "embedding"), 5
     )
 )
 
 
-def _lists(spark, sf):
-    """About the square root of the row count."""
-    rows = vectors(spark, sf)
-    return R.cluster_lists(rows, max(2, round(rows.count() ** 0.5)))
-
-
 @query("knn_ivf")
 def knn_ivf(spark, sf):
-    indexed, middle = _lists(spark, sf)
-    return R.knn_ivf(indexed, middle, centres(spark, sf), K.TOP_K, max(1, len(middle) // 4), VECTOR)
+    index = index_of(spark, sf)
+    return V.search_lists(index, centres(spark, sf), K.TOP_K, max(1, _lists(vectors(spark, sf)) // 4))
 
 
-@query("knn_recall_sweep")
+query("knn_ivf_all_lists", f"WITH {CENTRES_CTE}{NEAR_SQL.format(where='')}")(
+    lambda spark, sf: V.search_lists(index_of(spark, sf), centres(spark, sf), R.candidate_budget(), _lists(vectors(spark, sf)))
+)
+query("knn_ivf_scoped_all_lists", f"WITH {CENTRES_CTE}{NEAR_SQL.format(where='WHERE own = label')}")(
+    lambda spark, sf: V.search_lists(
+        index_of(spark, sf), centres(spark, sf).withColumn("scope", F.col("query_id")), R.candidate_budget(), _lists(vectors(spark, sf))
+    )
+)
+query("knn_pivots_scoped", f"WITH {CENTRES_CTE}{NEAR_SQL.format(where='WHERE own = label')}")(
+    lambda spark, sf: V.search_pivots(index_of(spark, sf), centres(spark, sf).withColumn("scope", F.col("query_id")), R.candidate_budget())
+)
+
+ENOUGH = 0.9
+
+
+@query(
+    "knn_recall_sweep",
+    f"""WITH {LISTS_CTE} SELECT probes, lists, true AS enough, true AS complete FROM (
+      SELECT 1 AS probes, lists FROM lists UNION SELECT greatest(1, CAST(floor(lists / CAST(2 AS DOUBLE)) AS INT)), lists FROM lists
+      UNION SELECT lists, lists FROM lists)""",
+)
 def knn_recall_sweep(spark, sf):
-    indexed, middle = _lists(spark, sf)
-    sweep = sorted({1, max(1, len(middle) // 4), len(middle)})
-    return R.knn_recall_sweep(indexed, middle, centres(spark, sf), K.TOP_K, sweep, VECTOR)
+    """Recall over all vectors as queries: at half of the lists at least ENOUGH, at all lists complete."""
+    lists = _lists(vectors(spark, sf))
+    asked = vectors(spark, sf).select(F.col("vec_id").alias("query_id"), "embedding")
+    sweep = V.recall_sweep(index_of(spark, sf), asked, K.TOP_K, sorted({1, max(1, lists // 2), lists}))
+    return sweep.select(
+        "probes", F.lit(lists).alias("lists"), ((F.col("probes") < lists // 2) | (F.col("recall") >= ENOUGH)).alias("enough"),
+        ((F.col("probes") < lists) | (F.col("worst") == 1.0)).alias("complete"),
+    )
 
 
 @query(

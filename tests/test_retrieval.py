@@ -59,21 +59,6 @@ def test_knn_without_queries(points):
     assert R.knn_exact(c, q.filter("false"), 3).count() == 0
 
 
-def test_ivf_recall_is_one_when_all_lists_are_probed(points):
-    _, _, c, q = points
-    indexed, centres = R.cluster_lists(c.drop("scope"), 5)
-    sweep = {r.probes: r.recall for r in R.knn_recall_sweep(indexed, centres, q.drop("scope"), 5, [1, 5]).collect()}
-    assert sweep[5] == 1.0 and 0 < sweep[1] <= 1.0
-
-
-def test_ivf_keeps_to_the_scope(points):
-    corpus, queries, c, q = points
-    indexed, centres = R.cluster_lists(c, 5)
-    got = by_query(R.knn_ivf(indexed, centres, q, 7, 5))
-    for i, v in enumerate(queries):
-        assert got.get(f"q{i}", []) == nearest(corpus, v, 7, f"s{i % 4}" if i % 2 else None)
-
-
 def test_too_many_queries_to_broadcast(points, monkeypatch):
     monkeypatch.setattr(R, "QUERY_BYTES", 10)
     with pytest.raises(ValueError, match="in_blocks"):
