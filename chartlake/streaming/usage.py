@@ -15,7 +15,7 @@ def reply_key(text: Column, history: Column) -> Column:
     return F.sha2(F.concat_ws("|", F.lower(F.trim(text)), F.to_json(history)), 256)
 
 
-def _event_time(events: DataFrame, ts: str) -> Column:
+def event_time(events: DataFrame, ts: str) -> Column:
     """The event time as a timestamp; one without a zone is read as UTC, whatever the session's zone."""
     instant = F.col(ts).cast("timestamp")
     if isinstance(events.schema[ts].dataType, T.TimestampNTZType):
@@ -36,7 +36,7 @@ def reply_dedupe(
     the order of arrival, and state is dropped once the watermark has passed it.
     """
     keyed = events.select(
-        _event_time(events, ts), reply_key(text, history).alias("reply_key")
+        event_time(events, ts), reply_key(text, history).alias("reply_key")
     ).withColumn("window_start", _seconds(F.window("ts", f"{ttl} seconds")["start"]))
     if keyed.isStreaming:
         once = keyed.withWatermark("ts", f"{ttl} seconds").dropDuplicatesWithinWatermark(["reply_key", "window_start"])
@@ -59,7 +59,7 @@ def usage_budget(
     A frequent provider is summed per task before the shuffle. On a stream a window comes out when the
     watermark has passed its end.
     """
-    used = events.select(_event_time(events, ts), F.col(provider).alias("provider"), amount.alias("amount"))
+    used = events.select(event_time(events, ts), F.col(provider).alias("provider"), amount.alias("amount"))
     if used.isStreaming:
         used = used.withWatermark("ts", delay)
     totals = used.groupBy(F.window("ts", f"{window_seconds} seconds").alias("w"), "provider").agg(
