@@ -3,13 +3,15 @@
 from pyspark.sql import functions as F
 
 from chartlake import constants as K
-from chartlake.fixtures import table
+from chartlake.fixtures import CHART_COUNTRIES, table
 from chartlake.functions.features import hit_category
 from chartlake.plans import gold as G
+from chartlake.plans import silver as S
 from chartlake.plans.catalog.base import HIT_CATEGORY, IS_HIT, ORACLES, STREAMS, bronze, over_chart, over_silver, query, silver
 from chartlake.plans.catalog.gold import OPTIONS
 from chartlake.session import work_dir
 from chartlake.sources import readers, writers
+from chartlake.streaming import monthly as M
 
 ORDER_COLUMNS = "o_orderkey, o_custkey, o_orderstatus, o_totalprice, CAST(o_orderdate AS DATE) AS o_orderdate"
 ORDER_SCHEMA = "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, o_orderdate DATE"
@@ -138,18 +140,47 @@ def measure(name: str) -> str:
     return MEASURES.get(name, "total_streams") or "0"
 
 
-@query(
-    "run_gold",
-    " UNION ALL ".join(
-        f"SELECT '{name}' AS table_name, count(*) AS n, CAST(sum({measure(name)}) AS BIGINT) AS streams FROM ({ORACLES[name]})" for name in G.GOLD_TABLES
-    ),
+GOLD_TOTALS = " UNION ALL ".join(
+    f"SELECT '{name}' AS table_name, count(*) AS n, CAST(sum({measure(name)}) AS BIGINT) AS streams FROM ({ORACLES[name]})" for name in G.GOLD_TABLES
 )
-def run_gold(spark, sf):
-    """Every monthly table, written from one cleaned chart and read back."""
-    paths = G.run_gold(spark, silver(spark, sf), work_dir(spark, "gold"), options=OPTIONS)
+
+
+def _totals(tables):
+    """One row per table: its rows and its measure's total."""
     out = None
-    for name in G.GOLD_TABLES:
+    for name, df in tables.items():
         sums = F.sum(F.expr(measure(name))).cast("long").alias("streams")
-        row = spark.read.parquet(paths[name]).agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("n"), sums)
+        row = df.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("n"), sums)
         out = row if out is None else out.unionByName(row)
     return out
+
+
+@query("run_gold", GOLD_TOTALS)
+def run_gold(spark, sf):
+    """Every monthly table, written from one cleaned chart and read back."""
+    paths = G.run_gold(spark, silver(spark, sf), work_dir(spark, "gold"), options=OPTIONS)
+    return _totals({name: spark.read.parquet(paths[name]) for name in G.GOLD_TABLES})
+
+
+def _streamed_gold(spark, sf, tables):
+    """The chart in two files that share their months, taken in as a stream, one file a micro-batch."""
+    out = work_dir(spark, "gold_stream")
+    rows = bronze(spark, sf)
+    rows.repartition(2, "uri").write.option("maxRecordsPerFile", 0).parquet(f"{out}/incoming")
+    incoming = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{out}/incoming")
+    M.run_updates(incoming, out, lambda df: S.silver_chart(df, countries=CHART_COUNTRIES), tables=tables, options=OPTIONS)
+    return out
+
+
+@query("incremental_gold", GOLD_TOTALS)
+def incremental_gold(spark, sf):
+    """The same tables as run_gold, from two increments."""
+    out = _streamed_gold(spark, sf, tuple(G.GOLD_TABLES))
+    return _totals({name: M.gold_table(spark, out, name) for name in G.GOLD_TABLES})
+
+
+@query("incremental_country_performance", ORACLES["country_performance"])
+def incremental_country_performance(spark, sf):
+    """All rows of the table whose growth looks across months, from two increments."""
+    out = _streamed_gold(spark, sf, ("country_performance",))
+    return M.gold_table(spark, out, "country_performance")
