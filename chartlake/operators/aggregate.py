@@ -8,6 +8,8 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from chartlake.session import work_dir
+
 
 def tidy(df: DataFrame, rows: Sequence[tuple[dict[str, str], Column]], value: str = "value") -> DataFrame:
     """One output row per (labels, aggregate); all aggregates run in a single pass.
@@ -62,7 +64,11 @@ def exact_quantiles(
     the rows before each range come from the ranges' own totals. Only those few totals meet in one task, and
     a value that repeats any number of times is a single row by then.
     """
-    counts = df.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("v")).agg(F.count(F.lit(1)).alias("n"))
+    counted = df.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("v")).agg(F.count(F.lit(1)).alias("n"))
+    # The counts are read three times below; written once, they are worked out once.
+    path = work_dir(df.sparkSession, "value_counts")
+    counted.write.parquet(path)
+    counts = df.sparkSession.read.schema(counted.schema).parquet(path)
     # As many ranges as keep a task's share of the distinct values at rows_per_range; two at least.
     buckets = max(2, -(-counts.count() // rows_per_range))
     steps = [i / buckets for i in range(1, buckets)]
@@ -97,6 +103,18 @@ def exact_quantiles(
     )
 
 
+def exact_quartiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float] = (0.25, 0.5, 0.75), digits: int = 4) -> DataFrame:
+    """Tidy rows (column_name, metric, value) of exact interpolated quantiles of several columns."""
+    out = None
+    for c in columns:
+        rows = exact_quantiles(df, c, probs).select(
+            F.lit(c).alias("column_name"), F.concat(F.lit("p"), F.round(F.col("prob") * 100).cast("int")).alias("metric"),
+            F.round("value", digits).alias("value"),
+        )
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 def outlier_iqr(df: DataFrame, column: str, factor: float = 1.5) -> DataFrame:
     """Quartile fences, with the count and percent of rows outside them."""
     q = exact_quantiles(df, column, (0.25, 0.75))

@@ -6,10 +6,11 @@ from chartlake import fixtures
 from chartlake.functions import arrays
 from chartlake.functions.features import is_hit, percent
 from chartlake.operators import aggregate, joins, windows
+from chartlake.operators import sketches as K
 from chartlake.plans import gold as G
 from chartlake.plans.chunks import country_year
 from chartlake.plans.catalog.base import (
-    IS_HIT, STREAMS, bronze, over_chart, over_silver, parts, pct, query, r2, silver,
+    IS_HIT, ORACLES, STREAMS, bronze, over_chart, over_silver, parts, pct, query, r2, silver, stored,
 )
 from chartlake.plans.catalog.gold import COUNTRY_PERFORMANCE, HITS, KEY, NAMED_CTE, growth
 
@@ -201,10 +202,81 @@ over("agg_global",
      "count(DISTINCT uri) AS songs FROM silver",
      lambda s: s.agg(F.sum("streams").alias("total_streams"), rows().alias("n"), F.min("date").alias("first_date"),
                      F.max("date").alias("last_date"), F.countDistinct("uri").alias("songs")))
-query("approx_distinct")(lambda spark, sf: aggregate.approx_distinct(silver(spark, sf)))
+query("approx_distinct_values")(lambda spark, sf: aggregate.approx_distinct(silver(spark, sf)))
+
+# Sketches of the cleaned chart, written per month; years and the total come from the written months.
+SKETCHED = {"songs": "uri", "artists": "artist_names", "labels": "standardized_label"}
+LEVELS = ((("month", "year", "month"), "GROUP BY ALL"), (("year", "year", "NULL"), "GROUP BY ALL"), (("all", "NULL", "NULL"), ""))
+PROBS = (0.25, 0.5, 0.75, 0.99)
+
+
+def _months(spark, sf):
+    s = silver(spark, sf)
+    written = K.sketches(s, G.MONTH, {k: F.col(c) for k, c in SKETCHED.items()}, {"streams": F.col("streams")})
+    return stored(spark, sf, "sketches", lambda path: _written(written, path))
+
+
+def _written(df, path):
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+@query(
+    "approx_distinct",
+    over_silver(
+        " UNION ALL ".join(
+            f"SELECT '{level}' AS level, CAST({y} AS INT) AS year, CAST({m} AS INT) AS month, count(*) AS n, "
+            + ", ".join(f"count(DISTINCT {c}) AS {k}, true AS {k}_within" for k, c in SKETCHED.items()) + f" FROM silver {grouped}"
+            for (level, y, m), grouped in LEVELS
+        )
+    ),
+)
+def approx_distinct(spark, sf):
+    """Distinct values by month, year and in all: exact, and whether the merged sketch is within its stated error of them."""
+    s = silver(spark, sf)
+    exact = [F.count_distinct(c).alias(k) for k, c in SKETCHED.items()]
+    counts = s.groupBy(F.lit("month").alias("level"), *G.MONTH).agg(*exact)
+    counts = counts.unionByName(s.groupBy(F.lit("year").alias("level"), "year", F.lit(None).cast("int").alias("month")).agg(*exact))
+    counts = counts.unionByName(s.groupBy(F.lit("all").alias("level"), F.lit(None).cast("int").alias("year"), F.lit(None).cast("int").alias("month")).agg(*exact))
+    found = K.levels(_months(spark, sf), list(SKETCHED)).select("level", "year", "month", "n", *[K.distinct_of(k).alias(f"_{k}") for k in SKETCHED])
+    same = [found[c].eqNullSafe(counts[c]) for c in ("level", "year", "month")]
+    within = [(F.abs(F.col(f"_{k}") - F.col(k)) <= K.distinct_error() * F.col(k)).alias(f"{k}_within") for k in SKETCHED]
+    return found.join(counts, same[0] & same[1] & same[2]).select(
+        found["level"], found["year"], found["month"], "n", *SKETCHED, *within
+    )
 
 NUMERIC = ("rank", "peak_rank", "previous_rank", "days_on_chart", "streams", "consecutive_days", "chart_strength_score")
-query("approx_quantiles")(lambda spark, sf: aggregate.approx_quantiles(silver(spark, sf), NUMERIC))
+query("approx_quantile_values")(lambda spark, sf: aggregate.approx_quantiles(silver(spark, sf), NUMERIC))
+
+
+@query(
+    "approx_quantiles",
+    over_silver(
+        " UNION ALL ".join(
+            f"SELECT '{level}' AS level, CAST({y} AS INT) AS year, CAST({m} AS INT) AS month, count(*) AS n, p AS prob, true AS within "
+            f"FROM silver, unnest([{', '.join(f'CAST({p} AS DOUBLE)' for p in PROBS)}]) AS t(p) GROUP BY ALL"
+            for (level, y, m), _ in LEVELS
+        )
+    ),
+)
+def approx_quantiles(spark, sf):
+    """Quantiles of the streams by month, year and in all, and whether their true ranks are within the sketch's stated error."""
+    found = K.levels(_months(spark, sf), quantiles=["streams"])
+    probs = F.array(*[F.struct(F.lit(p).alias("prob"), K.quantile_of("streams", p).alias("value")) for p in PROBS])
+    found = found.select("level", "year", "month", "n", F.inline(probs))
+    none = F.lit(None).cast("int")
+    periods = F.array(
+        F.struct(F.lit("month").alias("l"), F.col("year").alias("y"), F.col("month").alias("m")),
+        F.struct(F.lit("year").alias("l"), F.col("year").alias("y"), none.alias("m")), F.struct(F.lit("all").alias("l"), none.alias("y"), none.alias("m")),
+    )
+    facts = silver(spark, sf).select("streams", F.inline(periods))
+    same = (F.col("level") == F.col("l")) & F.col("year").eqNullSafe(F.col("y")) & F.col("month").eqNullSafe(F.col("m"))
+    ranked = facts.join(found, same).groupBy("level", "year", "month", "n", "prob").agg(
+        (F.count(F.when(F.col("streams") < F.col("value"), 1)) / F.count("streams")).alias("low"),
+        (F.count(F.when(F.col("streams") <= F.col("value"), 1)) / F.count("streams")).alias("high"),
+    )
+    within = (F.col("low") - K.rank_error() <= F.col("prob")) & (F.col("prob") <= F.col("high") + K.rank_error())
+    return ranked.select("level", "year", "month", "n", "prob", within.alias("within"))
 over("exact_quantiles",
      "SELECT unnest([0.25, 0.5, 0.75, 0.99])::DOUBLE AS prob, "
      "unnest(quantile_cont(CAST(streams AS DOUBLE), [0.25, 0.5, 0.75, 0.99])) AS value FROM silver",
@@ -226,11 +298,20 @@ over(
     ),
     lambda s: aggregate.describe_numeric(s, NUMERIC),
 )
-query("summary_with_quartiles")(
-    lambda spark, sf: aggregate.describe_numeric(s := silver(spark, sf), NUMERIC).unionByName(
-        aggregate.approx_quantiles(s, NUMERIC)
-    )
+QUARTILES = (0.25, 0.5, 0.75)
+
+
+@query(
+    "summary_with_quartiles",
+    ORACLES["describe_numeric"] + "".join(
+        f" UNION ALL SELECT '{c}', 'p{round(p * 100)}', {r2(f'quantile_cont(CAST({c} AS DOUBLE), {p})', 4)} FROM silver" for c in NUMERIC for p in QUARTILES
+    ),
 )
+def summary_with_quartiles(spark, sf):
+    """Count, mean, spread and ends, and exact interpolated quartiles of every column, in one pass over value counts."""
+    s = silver(spark, sf)
+    quartiles = aggregate.exact_quartiles(s, NUMERIC, QUARTILES)
+    return aggregate.describe_numeric(s, NUMERIC).unionByName(quartiles)
 
 # --- windows, sorts, limits, set operations -----------------------------------------------
 

@@ -30,7 +30,7 @@ def questions_sql(source: str, templates: dict[str, str]) -> str:
 QUESTIONS_CTE = f"""{ARTISTS_RANKED},
 country_years AS (SELECT DISTINCT country_name AS name, year FROM silver),
 artist_years AS (SELECT DISTINCT artist_name AS name, year FROM artist_performance),
-questions AS ({questions_sql('country_years', Qs.COUNTRY_TEMPLATES)} UNION ALL {questions_sql('artist_years', Qs.ARTIST_TEMPLATES)}),
+questions AS MATERIALIZED ({questions_sql('country_years', Qs.COUNTRY_TEMPLATES)} UNION ALL {questions_sql('artist_years', Qs.ARTIST_TEMPLATES)}),
 artist_names AS (SELECT artist_name, artist_uri FROM (SELECT artist_name, artist_uri, sum(total_streams) AS total FROM artist_performance
   WHERE length(artist_name) >= 5 GROUP BY ALL) QUALIFY row_number() OVER (PARTITION BY artist_name ORDER BY total DESC, artist_uri) = 1),
 names AS (SELECT artist_name AS entity, artist_uri AS key, 'artist' AS kind FROM artist_names
@@ -39,7 +39,7 @@ dictionary AS (SELECT entity, key, kind, array_to_string(regexp_extract_all(lowe
 sizes AS (SELECT DISTINCT len(string_split(phrase, ' ')) AS n FROM dictionary WHERE phrase <> ''),
 tokens AS (SELECT question_id, regexp_extract_all(lower(text), '{WORD}') AS w FROM questions),
 places AS (SELECT question_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM tokens, sizes),
-grams AS (SELECT DISTINCT question_id, array_to_string(w[i:i + n - 1], ' ') AS phrase FROM places),
+grams AS MATERIALIZED (SELECT DISTINCT question_id, array_to_string(w[i:i + n - 1], ' ') AS phrase FROM places),
 mentions AS MATERIALIZED (SELECT DISTINCT question_id, entity, key, kind FROM grams JOIN dictionary USING (phrase))"""
 
 
@@ -163,9 +163,10 @@ KEYWORD = " ".join(f"WHEN {any_sql('lower(text)', ks)} THEN '{t}'" for t, ks in
 query(
     "route_table",
     over_silver(
-        f"""{QUESTIONS_CTE}, routed AS (SELECT question_id, CASE
-        WHEN question_id IN (SELECT question_id FROM mentions WHERE kind = 'country') THEN 'country_performance'
-        WHEN question_id IN (SELECT question_id FROM mentions WHERE kind = 'artist') THEN 'artist_performance' {KEYWORD} END AS source_table FROM questions)
+        f"""{QUESTIONS_CTE}, named AS MATERIALIZED (SELECT question_id, max(CASE WHEN kind = 'country' THEN 1 ELSE 0 END) AS country,
+          max(CASE WHEN kind = 'artist' THEN 1 ELSE 0 END) AS artist FROM mentions GROUP BY question_id),
+        routed AS (SELECT question_id, CASE WHEN country = 1 THEN 'country_performance' WHEN artist = 1 THEN 'artist_performance' {KEYWORD} END AS source_table
+          FROM questions LEFT JOIN named USING (question_id))
         SELECT *, source_table IS NOT NULL AS confident FROM routed"""
     ),
 )(
