@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chartlake.functions.features import year_month_key
 from chartlake.operators import joins
-from chartlake.operators.windows import sort_topk
+from chartlake.operators.windows import sort_topk, top_k_per_group
 
 
 def scoped(df: DataFrame, year: int | None = None, country: str | None = None) -> DataFrame:
@@ -46,6 +46,11 @@ def kpi_cards(df: DataFrame, year: int | None = None, country: str | None = None
     # Two rows at most: the newest months, told apart by their order.
     newest = sort_topk(period_aggregate(scoped(df, year, country)), [F.desc("year"), F.desc("month")], 2)
     rows = newest.agg(F.sort_array(F.collect_list(F.struct("year", "month", *_MEASURES)), asc=False).alias("p"))
+    return _cards(rows, F.lit(country is not None))
+
+
+def _cards(rows: DataFrame, one_country: Column, keep: Sequence[str] = ()) -> DataFrame:
+    """The cards of each row's p, an array of its newest month and the one before."""
     now, before = F.get("p", F.lit(0)), F.get("p", F.lit(1))
 
     def delta(measure: str) -> Column:
@@ -57,7 +62,7 @@ def kpi_cards(df: DataFrame, year: int | None = None, country: str | None = None
         change = delta(measure) if measure else F.lit(None).cast("double")
         return F.struct(
             F.lit(id_).alias("id"), label.alias("label"), F.coalesce(value, F.lit("—")).alias("value"),
-            F.when(change.isNotNull(), F.format_string("%+.1f%%", change)).otherwise("—").alias("delta"),
+            F.when(change.isNotNull(), F.format_string("%+.1f%%", F.bround(change, 1))).otherwise("—").alias("delta"),
             F.when(change < 0, "down").otherwise("up").alias("trend"),
         )
 
@@ -65,7 +70,7 @@ def kpi_cards(df: DataFrame, year: int | None = None, country: str | None = None
         return F.when(now[measure] != 0, text)
 
     key = year_month_key("now.year", "now.month")
-    covered = F.lit("1") if country else now["countries_covered"].cast("string")
+    covered = F.when(one_country, F.lit("1")).otherwise(now["countries_covered"].cast("string"))
     cards = F.array(
         card(
             "total-streams", F.concat(F.lit("Total Streams ("), key, F.lit(")")),
@@ -78,14 +83,15 @@ def kpi_cards(df: DataFrame, year: int | None = None, country: str | None = None
         card("countries-covered", F.lit("Countries Covered"), covered),
         card("catalog-hit-rate", F.lit("Catalog Hit Rate"), _one_decimal(now["catalog_hit_rate"])),
     )
-    return rows.filter(F.size("p") > 0).withColumn("now", now).select(F.inline(cards))
+    return rows.filter(F.size("p") > 0).withColumn("now", now).select(*keep, F.inline(cards))
 
 
 _MEASURES = ("total_streams", "active_artists", "active_songs", "hit_songs", "countries_covered", "catalog_hit_rate")
 
 
 def _one_decimal(rate: Column) -> Column:
-    return F.when(rate.isNotNull(), F.format_string("%.1f%%", rate))
+    """One digit; a tie goes to the even digit, where a formatter of the JVM would round it up."""
+    return F.when(rate.isNotNull(), F.format_string("%.1f%%", F.bround(rate, 1)))
 
 
 def series_streams(df: DataFrame, country: str | None = None) -> DataFrame:
@@ -150,3 +156,86 @@ def ask_trend(
     change = joins.year_change(data, list(dict.fromkeys((key, name or key))), target, previous)
     order = F.asc_nulls_last("growth") if ascending else F.desc_nulls_last("growth")
     return sort_topk(change, [order, key], len(entities) or k)
+
+
+# --- the same metrics for a table of parameters ---------------------------------------------
+#
+# Parameters are rows (param_id, year, country[, k]); a null year or country means all of them. The monthly table is aggregated once
+# for every level at which a parameter can ask (grouping sets), and parameters meet their own level by an equi join, so any number
+# of them is answered by one plan. A parameter that matches nothing gives no rows.
+
+
+def _levels(df: DataFrame, within: Sequence[str], by: Sequence[str], aggregates: Sequence[Column]) -> DataFrame:
+    """Aggregates for every subset of `by`, beside `within`: a column that is summed over is null, and its _all_<name> is 1."""
+    sets: list[list[str]] = [[]]
+    for name in by:
+        sets += [[*s, name] for s in sets]
+    columns = [*within, *by]
+    flags = [F.grouping(name).cast("int").alias(f"_all_{name}") for name in by]
+    return df.groupingSets([[F.col(c) for c in (*within, *s)] for s in sets], *[F.col(c) for c in columns]).agg(*flags, *aggregates)
+
+
+def _asked(params: DataFrame, levels: DataFrame, by: Mapping[str, str]) -> DataFrame:
+    """Levels joined to the parameters that ask for them; by: parameter column -> column of the levels."""
+    renamed = params.select("param_id", *[F.col(p).alias(f"_p_{p}") for p in params.columns if p != "param_id"])
+    same = F.lit(True)
+    for p, c in by.items():
+        same = same & (F.col(f"_p_{p}").isNull().cast("int") == F.col(f"_all_{c}")) & F.col(f"_p_{p}").eqNullSafe(F.col(c))
+    return levels.join(renamed, same)
+
+
+def _periods(df: DataFrame, params: DataFrame) -> DataFrame:
+    """Every parameter's months, with its measures."""
+    sums = [F.sum(c).alias(c) for c in ("total_streams", "active_artists", "active_songs", "hit_songs")]
+    covered = F.count_distinct("_place").alias("countries_covered")
+    # The country is grouped by and counted, so it goes twice.
+    placed = df.filter("country_name is not null").withColumn("_place", F.col("country_name"))
+    levels = _levels(placed, ["year", "month"], ["country_name"], [*sums, covered])
+    found = _asked(params, levels, {"country": "country_name"}).filter(F.col("_p_year").isNull() | (F.col("_p_year") == F.col("year")))
+    rate = F.try_divide(F.col("hit_songs"), F.col("active_songs")) * 100
+    return found.withColumn("catalog_hit_rate", rate)
+
+
+def period_aggregate_batch(df: DataFrame, params: DataFrame) -> DataFrame:
+    return _periods(df, params).select("param_id", "year", "month", *_MEASURES)
+
+
+def kpi_cards_batch(df: DataFrame, params: DataFrame) -> DataFrame:
+    """The four cards of every parameter."""
+    newest = top_k_per_group(_periods(df, params), ["param_id"], [F.desc("year"), F.desc("month")], 2)
+    months = F.sort_array(F.collect_list(F.struct("year", "month", *_MEASURES)), asc=False)
+    rows = newest.groupBy("param_id", F.col("_p_country").isNotNull().alias("_one_country")).agg(months.alias("p"))
+    return _cards(rows, F.col("_one_country"), ["param_id"])
+
+
+def series_streams_batch(df: DataFrame, params: DataFrame) -> DataFrame:
+    return _periods(df, params).select("param_id", year_month_key().alias("period"), "total_streams")
+
+
+def series_hit_rate_batch(df: DataFrame, params: DataFrame) -> DataFrame:
+    return _periods(df, params).select("param_id", year_month_key().alias("period"), F.round("catalog_hit_rate", 1).alias("hit_rate"))
+
+
+def _k(params: DataFrame, k: int) -> Column:
+    return F.coalesce(F.col("_p_k"), F.lit(k)) if "k" in params.columns else F.lit(k)
+
+
+def top_countries_year_batch(df: DataFrame, params: DataFrame, k: int = 8) -> DataFrame:
+    """Every parameter's year, its largest countries: a null year is the latest."""
+    totals = df.groupBy("year", "country_name").agg(F.sum("total_streams").alias("total_streams"))
+    latest = totals.agg(F.max("year").alias("_latest"), F.lit(1).alias("_one"))
+    # One row.
+    dated = params.drop("country").withColumn("_one", F.lit(1)).join(F.broadcast(latest), "_one")
+    asked = dated.select("param_id", F.coalesce("year", "_latest").alias("year"), *[F.col(c).alias("_p_k") for c in params.columns if c == "k"])
+    order = Window.partitionBy("param_id").orderBy(F.desc("total_streams"), "country_name")
+    ranked = totals.join(asked, "year").withColumn("position", F.row_number().over(order))
+    return ranked.filter(F.col("position") <= _k(params, k)).select("param_id", "year", "country_name", "total_streams", "position")
+
+
+def top_artists_batch(df: DataFrame, params: DataFrame, k: int = 8) -> DataFrame:
+    """Every parameter's largest artists, by year and country, either, or over all."""
+    named = df.filter("artist_name is not null and year is not null and country_name is not null")
+    levels = _levels(named, ["artist_name"], ["year", "country_name"], [F.sum("total_streams").alias("total_streams")])
+    order = Window.partitionBy("param_id").orderBy(F.desc("total_streams"), "artist_name")
+    ranked = _asked(params, levels, {"year": "year", "country": "country_name"}).withColumn("position", F.row_number().over(order))
+    return ranked.filter(F.col("position") <= _k(params, k)).select("param_id", "artist_name", "total_streams", "position")

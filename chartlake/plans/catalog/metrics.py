@@ -1,5 +1,7 @@
 """Dashboard metrics and templated questions."""
 
+from pyspark.sql import functions as F
+
 from chartlake.operators import metrics as M
 from chartlake.plans import gold as G
 from chartlake.plans.catalog.base import IS_HIT, STREAMS, over_silver, pct, query, silver
@@ -98,3 +100,67 @@ over(
                  target=2000, previous=1996, k=2),
     lambda df: M.ask_trend(df, "country_name", [1996, 2000], entities=["Country 1", "Country 9"]),
 )
+
+
+# --- tables of parameters -------------------------------------------------------------------
+
+PARAMS_SQL = """, params AS (SELECT coalesce(CAST(y AS VARCHAR), '*') || '|' || coalesce(c, '*') AS param_id, CAST(y AS INT) AS p_year, c AS p_country FROM (
+  SELECT DISTINCT year AS y, country_name AS c FROM country_performance UNION SELECT DISTINCT year, NULL FROM country_performance
+  UNION SELECT NULL, country_name FROM country_performance UNION SELECT NULL, NULL))"""
+ASKED = "params JOIN country_performance ON (p_country IS NULL OR country_name = p_country) AND (p_year IS NULL OR year = p_year)"
+BATCH = f"{PERIOD.replace('SELECT year', 'SELECT param_id, year').replace('FROM country_performance', f'FROM {ASKED}')} GROUP BY param_id, year, month"
+
+
+def params_of(df):
+    """Every year, every country, every pair of them, and all."""
+    pairs = df.select("year", F.col("country_name").alias("country")).distinct()
+    none_year, none_country = F.lit(None).cast("int").alias("year"), F.lit(None).cast("string").alias("country")
+    rows = pairs.unionByName(pairs.select("year", none_country)).unionByName(pairs.select(none_year, "country")).unionByName(
+        pairs.select(none_year, none_country)
+    ).distinct()
+    return rows.withColumn("param_id", F.concat_ws("|", F.coalesce(F.col("year").cast("string"), F.lit("*")), F.coalesce("country", F.lit("*"))))
+
+
+def batch(name: str, sql: str, build) -> None:
+    over(name, f"{PARAMS_SQL} {sql}", lambda df: build(df, params_of(df)))
+
+
+CHANGE = "(n.{m} - b.{m}) / CAST(nullif(b.{m}, 0) AS DOUBLE) * 100"
+batch("period_aggregate_batch", BATCH, M.period_aggregate_batch)
+batch("series_streams_batch", f"SELECT param_id, {PERIOD_KEY}, CAST(sum(total_streams) AS BIGINT) AS total_streams FROM {ASKED} GROUP BY param_id, year, month",
+      M.series_streams_batch)
+batch("series_hit_rate_batch", f"SELECT param_id, {PERIOD_KEY}, {pct('sum(hit_songs)', 'sum(active_songs)', 1)} AS hit_rate FROM {ASKED} GROUP BY param_id, year, month",
+      M.series_hit_rate_batch)
+
+
+def cards_batch_sql() -> str:
+    text = "coalesce(printf('%+.1f%%', {c}), '—')"
+    arrow = "CASE WHEN {c} < 0 THEN 'down' ELSE 'up' END"
+    s, a = (CHANGE.format(m=m) for m in ("total_streams", "active_artists"))
+    return f""", p AS (SELECT *, row_number() OVER (PARTITION BY param_id ORDER BY year DESC, month DESC) AS r FROM ({BATCH})),
+  n AS (SELECT p.*, p_country FROM p JOIN params USING (param_id) WHERE r = 1), b AS (SELECT * FROM p WHERE r = 2), nb AS (SELECT param_id FROM n)
+  SELECT n.param_id, 'total-streams' AS id, printf('Total Streams (%04d-%02d)', n.year, n.month) AS label,
+    printf('%.2fB', n.total_streams / CAST(1e9 AS DOUBLE)) AS value, {text.format(c=s)} AS delta, {arrow.format(c=s)} AS trend FROM n LEFT JOIN b USING (param_id)
+  UNION ALL SELECT n.param_id, 'active-artists', 'Active Artists', format('{{:,}}', n.active_artists), {text.format(c=a)}, {arrow.format(c=a)} FROM n LEFT JOIN b USING (param_id)
+  UNION ALL SELECT n.param_id, 'countries-covered', 'Countries Covered', CASE WHEN p_country IS NULL THEN CAST(n.countries_covered AS VARCHAR) ELSE '1' END, '—', 'up' FROM n
+  UNION ALL SELECT n.param_id, 'catalog-hit-rate', 'Catalog Hit Rate', printf('%.1f%%', n.catalog_hit_rate), '—', 'up' FROM n"""
+
+
+batch("kpi_cards_batch", cards_batch_sql(), M.kpi_cards_batch)
+batch(
+    "top_countries_year_batch",
+    """, dated AS (SELECT param_id, coalesce(p_year, (SELECT max(year) FROM country_performance)) AS year FROM params WHERE p_country IS NULL),
+    t AS (SELECT year, country_name, CAST(sum(total_streams) AS BIGINT) AS total_streams FROM country_performance GROUP BY ALL)
+    SELECT param_id, year, country_name, total_streams, CAST(row_number() OVER (PARTITION BY param_id ORDER BY total_streams DESC, country_name) AS INT) AS position
+    FROM dated JOIN t USING (year) QUALIFY position <= 8""",
+    lambda df, params: M.top_countries_year_batch(df, params.filter("country is null")),
+)
+over(
+    "top_artists_batch",
+    f"""{PARAMS_SQL.replace('FROM country_performance', 'FROM artist_performance')}, t AS (SELECT param_id, artist_name, CAST(sum(total_streams) AS BIGINT) AS total_streams
+      FROM params JOIN artist_performance ON (p_country IS NULL OR country_name = p_country) AND (p_year IS NULL OR year = p_year)
+      WHERE artist_name IS NOT NULL GROUP BY ALL)
+    SELECT *, CAST(row_number() OVER (PARTITION BY param_id ORDER BY total_streams DESC, artist_name) AS INT) AS position FROM t QUALIFY position <= 8""",
+    lambda df: M.top_artists_batch(df, params_of(df)),
+    G.artist_performance_ranked, ARTISTS_RANKED,
+)

@@ -6,6 +6,7 @@ from chartlake import fixtures
 from chartlake.functions import arrays
 from chartlake.functions.features import is_hit, percent
 from chartlake.operators import aggregate, joins, windows
+from chartlake.operators import runs
 from chartlake.operators import sketches as K
 from chartlake.plans import gold as G
 from chartlake.plans.chunks import country_year
@@ -394,3 +395,22 @@ over(
 )
 over("distinct_presence", f"SELECT DISTINCT {KEY}, standardized_label FROM silver",
      lambda s: s.select(*G.PLACE, "standardized_label").distinct())
+
+
+# --- runs on the chart ----------------------------------------------------------------------
+
+RUN_GAP, RUN_EVERGREEN = 7, 15
+RUNS_SQL = """days AS (SELECT {keys}, date AS d, CAST(sum(streams) AS BIGINT) AS s FROM silver GROUP BY ALL),
+  marked AS (SELECT *, coalesce(d - lag(d) OVER (PARTITION BY {keys} ORDER BY d) > {gap} + 1, true) AS fresh FROM days),
+  numbered AS (SELECT *, sum(CAST(fresh AS INT)) OVER (PARTITION BY {keys} ORDER BY d ROWS UNBOUNDED PRECEDING) AS run FROM marked),
+  runs AS (SELECT {keys}, min(d) AS run_start, max(d) AS run_end, count(*) AS days, CAST(sum(s) AS BIGINT) AS streams FROM numbered GROUP BY {keys}, run)"""
+for _name, _keys in (("chart_runs", ("country_name", "uri")), ("chart_runs_global", ("uri",))):
+    over(_name, f", {RUNS_SQL.format(keys=', '.join(_keys), gap=RUN_GAP)} SELECT {', '.join(_keys)}, run_start, run_end, days, streams FROM runs",
+         lambda s, keys=_keys: runs.runs(s, keys, gap=RUN_GAP, block_days=90))
+over(
+    "staying_power",
+    f""", {RUNS_SQL.format(keys='uri', gap=RUN_GAP)}, t AS (SELECT uri, count(*) AS runs, CAST(sum(days) AS BIGINT) AS longevity,
+      max(run_end - run_start + 1)::BIGINT AS longest_run, (max(run_end) - min(run_start) + 1)::BIGINT AS span_days FROM runs GROUP BY uri)
+    SELECT *, {r2('CAST(longevity AS DOUBLE) / span_days * 100')} AS sustainability, longest_run >= {RUN_EVERGREEN} AS evergreen FROM t""",
+    lambda s: runs.staying_power(runs.runs(s, ["uri"], gap=RUN_GAP), ["uri"], RUN_EVERGREEN),
+)
