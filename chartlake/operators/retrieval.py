@@ -236,10 +236,10 @@ def with_index(corpus: DataFrame, text: str = "chunk_text") -> DataFrame:
 ALTERNATIVE = '\\s+or\\s+(?=(?:[^"]*"[^"]*")*[^"]*$)'
 
 
-def search_terms(queries: DataFrame, text: str) -> DataFrame:
+def search_terms(queries: DataFrame, text: str, exclusions: bool = False) -> DataFrame:
     """One row per alternative of each query: terms, excluded terms, phrases.
 
-    Words must all match; -word and -"phrase" exclude; "phrase" must occur as such; OR, outside quotes, starts an alternative.
+    With exclusions, alternatives that only exclude are kept; without, they are left out. Words must all match; -word and -"phrase" exclude; "phrase" must occur as such; OR, outside quotes, starts an alternative.
     """
     split = queries.select("query_id", F.posexplode(F.split(F.lower(F.col(text)), ALTERNATIVE)).alias("alternative", "_x"))
     no_phrase = F.regexp_extract_all("_x", F.lit('(?:^|\\s)-"([^"]*)"'), F.lit(1))
@@ -257,7 +257,7 @@ def search_terms(queries: DataFrame, text: str) -> DataFrame:
         F.array_distinct(index_terms(F.array_join(no_word, " "))).alias("excluded"),
         texts(phrase).alias("phrases"),
         texts(no_phrase).alias("excluded_phrases"),
-    ).filter(F.size("terms") > 0)
+    ).filter((F.size("terms") > 0) | (F.lit(exclusions) & ((F.size("excluded") > 0) | (F.size("excluded_phrases") > 0))))
 
 
 def keyword_search(

@@ -13,6 +13,7 @@ from chartlake import fixtures
 from chartlake.functions.vectors import embed, hashed_counts
 from chartlake.operators import answers as A
 from chartlake.operators import entities as E
+from chartlake.operators import keyword_index as X
 from chartlake.operators import retrieval as R
 from chartlake.operators import turns as T
 from chartlake.operators import vector_index as V
@@ -20,7 +21,7 @@ from chartlake.operators.windows import top_k_per_group
 from chartlake.plans import chunks as C
 from chartlake.plans import gold as G
 from chartlake.plans.catalog import text as TX
-from chartlake.plans.catalog.base import IS_HIT, STREAMS, over_silver, query, r2, silver, stored
+from chartlake.plans.catalog.base import IS_HIT, ORACLES, STREAMS, over_silver, query, r2, silver, stored
 from chartlake.plans.catalog.gold import ARTISTS_RANKED, CATALOG, COUNTRY_PERFORMANCE, KEY
 from chartlake.plans.catalog.relational import COUNTRY_YEAR
 from chartlake.session import work_dir
@@ -326,6 +327,48 @@ def _indexed_documents(spark, sf):
     return spark.read.parquet(path)
 
 
+# --- the stored keyword index ---------------------------------------------------------------
+
+
+def chunk_index(spark, sf):
+    chunks = served(spark, sf, vectors=False).chunks
+    return stored(spark, sf, "chunk_keywords", lambda path: X.build_keyword_index(chunks, path))
+
+
+def document_index(spark, sf):
+    docs = fixtures.documents(spark, sf).select("doc_id", "text")
+    return stored(spark, sf, "document_keywords", lambda path: X.build_keyword_index(docs, path, ["doc_id"], "text"))
+
+
+@query("keyword_index_chunks", ORACLES["keyword_search"])
+def keyword_index_chunks(spark, sf):
+    asked = served(spark, sf, vectors=False).country_years.select(
+        F.concat_ws("|", "country_name", "year").alias("query_id"),
+        F.concat("country_name", F.lit(" "), "year", F.lit(' growth -label "total streams" -"no such phrase"')).alias("text"),
+    )
+    return X.search_keywords(chunk_index(spark, sf), asked, 15)
+
+
+query("keyword_index_documents", ORACLES["keyword_search_documents"])(
+    lambda spark, sf: X.search_keywords(
+        document_index(spark, sf), fixtures.table(spark, sf, "benchmark").select(F.col("item_id").cast("string").alias("query_id"), "text"), 15
+    )
+)
+
+
+@query(
+    "keyword_exclusions",
+    f"""WITH docs AS (SELECT doc_id, {terms_sql('text')} AS terms FROM documents),
+    asked AS (SELECT CAST(item_id AS VARCHAR) AS query_id, {terms_sql("regexp_extract(lower(text), '" + TOKEN + "')")} AS terms FROM benchmark)
+    SELECT query_id, doc_id, CAST(0 AS DOUBLE) AS score, CAST(row_number() OVER (PARTITION BY query_id ORDER BY doc_id) - 1 AS INT) AS rank
+    FROM asked, docs WHERE len(asked.terms) = 1 AND NOT list_contains(docs.terms, asked.terms[1]) QUALIFY rank < 15""",
+)
+def keyword_exclusions(spark, sf):
+    """Searches of an exclusion alone: the first word of each benchmark text, excluded."""
+    word = F.regexp_extract(F.lower("text"), "[\\p{L}\\p{N}]+", 0)
+    asked = fixtures.table(spark, sf, "benchmark").select(F.col("item_id").cast("string").alias("query_id"), F.concat(F.lit("-"), word).alias("text"))
+    return X.search_keywords(document_index(spark, sf), asked, 15)
+
 
 # --- fusion and reranking -----------------------------------------------------------------
 
