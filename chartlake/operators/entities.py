@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chartlake import constants as K
 from chartlake.functions.text import NAME_WORD, QUESTION_WORD, contains_any, runs, words
 from chartlake.functions.vectors import indel_similarity
+from chartlake.session import work_dir
 
 
 def name_dictionary(df: DataFrame, name: str, key: str | None = None) -> DataFrame:
@@ -48,12 +50,71 @@ def text_ngrams(texts: DataFrame, text: str, sizes: Sequence[int] = (1, 2, 3)) -
     return _runs(texts, ids, text, F.array(*map(F.lit, sizes)), QUESTION_WORD)
 
 
-def detect_entities(texts: DataFrame, ids: Sequence[str], text: str, dictionary: DataFrame) -> DataFrame:
-    """All dictionary names in each text, matched on whole words.
+#: Characters of names, counting some for each name, that are sent to every task as an automaton.
+DICTIONARY_CHARS = 32 << 20
+NAME_OVERHEAD = 64
 
-    A text is cut into runs of just the lengths that names have, and the runs meet the names in an equi
-    join, so the work is linear in the text. The rank is the order of mention lists: longest name first.
+
+def _automaton(dictionary: DataFrame):
+    """An Aho-Corasick automaton over the phrases between blanks; a phrase's value lists its (entity, key) pairs."""
+    import ahocorasick
+
+    # Written first, as the list is often worked out from facts and is read twice.
+    path = work_dir(dictionary.sparkSession, "names")
+    dictionary.select("phrase", "entity", "key").distinct().write.parquet(path)
+    listed = dictionary.sparkSession.read.parquet(path)
+    size = listed.agg(F.coalesce(F.sum(F.length("phrase") + F.length("entity") + F.length("key") + NAME_OVERHEAD), F.lit(0))).first()[0]
+    if size > DICTIONARY_CHARS:
+        raise ValueError("the names are too many to send to every task: use by_runs")
+    pairs: dict[str, list[tuple[str, str]]] = {}
+    for phrase, entity, key in listed.collect():
+        pairs.setdefault(phrase, []).append((entity, key))
+    out = ahocorasick.Automaton()
+    for phrase, values in pairs.items():
+        out.add_word(f" {phrase} ", values)
+    out.make_automaton()
+    return out, len(pairs)
+
+
+def scan_entities(texts: DataFrame, ids: Sequence[str], text: str, dictionary: DataFrame) -> DataFrame:
+    """(ids, entity, key, entity_length) of all dictionary names in each text, in one scan without a shuffle.
+
+    The names become an automaton, built once and sent to every task; its size is checked, and larger lists are refused.
+    """
+    automaton, n = _automaton(dictionary)
+    shared = texts.sparkSession.sparkContext.broadcast(automaton)
+    types = {f.name: f.dataType.simpleString() for f in dictionary.schema}
+    spaced = F.concat(F.lit(" "), F.array_join(words(F.col(text), NAME_WORD), " "), F.lit(" "))
+    rows = texts.select(*ids, spaced.alias("_spaced"))
+    width = len(ids)
+    own = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:width]]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = shared.value
+        for batch in batches:
+            at, entities, keys = [], [], []
+            for k, body in enumerate(batch.column(width).to_pylist()):
+                if body and n:
+                    found = {pair for _, pairs in names.iter(body) for pair in pairs}
+                    at += [k] * len(found)
+                    entities += [e for e, _ in found]
+                    keys += [x for _, x in found]
+            kept = [batch.column(c).take(pa.array(at, pa.int64())) for c in range(width)]
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(entities, pa.string()), pa.array(keys, pa.string())], names=[*ids, "entity", "key"])
+
+    found = rows.mapInArrow(run, ", ".join([*own, f"entity {types['entity']}", f"key {types['key']}"]))
+    return found.withColumn("entity_length", F.length("entity"))
+
+
+def detect_entities(texts: DataFrame, ids: Sequence[str], text: str, dictionary: DataFrame, by_runs: bool = False) -> DataFrame:
+    """All dictionary names in each text, matched on whole words; the rank is the order of mention lists: longest name first.
+
+    By default texts are scanned with an automaton of the names, which must fit DICTIONARY_CHARS. With by_runs, for lists of any size, a
+    text is cut into runs of just the lengths that names have, and the runs meet the names in an equi join, so the work is linear
+    in the text. The ids tell texts apart: rows that share them count as one text only with by_runs.
     """
+    if not by_runs:
+        return scan_entities(texts, ids, text, dictionary)
     # One row with one array: as many entries as there are distinct name lengths.
     sizes = F.broadcast(phrase_sizes(dictionary).withColumn("_one", F.lit(1)))
     sized = texts.withColumn("_one", F.lit(1)).join(sizes, "_one")

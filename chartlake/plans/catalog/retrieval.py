@@ -12,6 +12,7 @@ from chartlake import constants as K
 from chartlake import fixtures
 from chartlake.functions.vectors import embed, hashed_counts
 from chartlake.operators import answers as A
+from chartlake.operators import chunk_store as CS
 from chartlake.operators import entities as E
 from chartlake.operators import keyword_index as X
 from chartlake.operators import retrieval as R
@@ -447,7 +448,7 @@ VECTORS_SQL = """{name} AS (SELECT {ids}, list(CAST(coalesce(n, 0) / norm AS FLO
 
 
 @query(
-    "retrieve_per_entity",
+    "retrieve_per_entity_by_vector",
     over_silver(
         f"""{TX.QUESTIONS_CTE}{CHUNKS_CTE.replace(ARTISTS_RANKED, '')},
         {VECTORS_SQL.format(name='qv', ids='question_id', source='questions', text='text')},
@@ -460,11 +461,55 @@ VECTORS_SQL = """{name} AS (SELECT {ids}, list(CAST(coalesce(n, 0) / norm AS FLO
         FROM near QUALIFY rank < 5"""
     ),
 )
-def retrieve_per_entity(spark, sf):
+def retrieve_per_entity_by_vector(spark, sf):
     t = served(spark, sf)
     return R.retrieve_per_entity(t.chunks, t.questions, _mentions(t))
 
 
+#: Vector and keyword ranks within each entity that a question names, fused and reranked.
+ENTITY_SQL = f"""{TX.QUESTIONS_CTE}{CHUNKS_CTE.replace(ARTISTS_RANKED, '')},
+    {VECTORS_SQL.format(name='qv', ids='question_id', source='questions', text='text')},
+    scoped_chunks AS (SELECT * FROM chunks WHERE source_table IN ('country_performance', 'artist_performance')),
+    {VECTORS_SQL.format(name='cv', ids='source_table, source_key', source='scoped_chunks', text='chunk_text')},
+    named AS (SELECT DISTINCT question_id AS query_id, key AS entity_key, kind || '_performance' AS source_table FROM mentions),
+    indexed AS MATERIALIZED (SELECT source_table, source_key, regexp_replace(source_key, '[|][^|]*$', '') AS entity_key, chunk_text,
+      {terms_sql('chunk_text')} AS terms, list_distinct(regexp_extract_all(lower(chunk_text), '[a-z0-9'']+')) AS said FROM chunks),
+    pairs AS MATERIALIZED (SELECT query_id, entity_key, source_table, source_key FROM named JOIN indexed USING (source_table, entity_key)),
+    near AS (SELECT pairs.*, round(list_distance(CAST(qv.v AS DOUBLE[]), CAST(cv.v AS DOUBLE[])), 6) AS distance
+      FROM pairs JOIN qv ON qv.question_id = query_id JOIN cv USING (source_table, source_key)),
+    by_vector AS (SELECT *, row_number() OVER (PARTITION BY query_id, source_table, entity_key ORDER BY distance, source_key) - 1 AS r1 FROM near QUALIFY r1 < 20),
+    parts AS (SELECT question_id AS query_id, unnest(string_split_regex(lower(text), '\\s+or\\s+')) AS part FROM questions),
+    wanted AS (SELECT query_id, part, list_distinct({terms_sql('part')}) AS terms FROM parts),
+    df AS (SELECT term, count(*) AS df FROM (SELECT unnest(list_distinct(terms)) AS term FROM indexed) GROUP BY term),
+    stats AS (SELECT count(*) AS n, avg(len(terms)) AS mean FROM indexed),
+    held AS (SELECT pairs.*, part, wanted.terms AS asked, indexed.terms AS held FROM pairs JOIN wanted USING (query_id) JOIN indexed USING (source_table, source_key)
+      WHERE len(wanted.terms) > 0 AND list_has_all(indexed.terms, wanted.terms)),
+    each_part AS (SELECT query_id, entity_key, source_table, source_key, part, round(sum(ln(1 + (n - df + CAST(0.5 AS DOUBLE)) / (df + CAST(0.5 AS DOUBLE))) * tf * CAST(2.2 AS DOUBLE)
+        / (tf + CAST(1.2 AS DOUBLE) * (CAST(0.25 AS DOUBLE) + CAST(0.75 AS DOUBLE) * len(held) / mean))), 6) AS bm25
+      FROM (SELECT *, len(list_filter(held, lambda w: w = term)) AS tf FROM (SELECT *, unnest(asked) AS term FROM held)) JOIN df USING (term), stats GROUP BY ALL),
+    scores AS (SELECT query_id, entity_key, source_table, source_key, max(bm25) AS bm25 FROM each_part GROUP BY ALL),
+    by_words AS (SELECT *, row_number() OVER (PARTITION BY query_id, source_table, entity_key ORDER BY bm25 DESC, source_key) - 1 AS r2 FROM scores QUALIFY r2 < 20),
+    fused AS (SELECT query_id, entity_key, source_table, source_key, coalesce(1 / CAST(60 + r1 AS DOUBLE), 0) + coalesce(1 / CAST(60 + r2 AS DOUBLE), 0) AS rrf
+      FROM by_vector FULL JOIN by_words USING (query_id, entity_key, source_table, source_key)),
+    scored AS (SELECT fused.*, distance, coalesce(len(list_intersect(list_distinct(regexp_extract_all(lower(text), '[a-z0-9'']+')), said))
+        / CAST(nullif(len(list_distinct(regexp_extract_all(lower(text), '[a-z0-9'']+'))), 0) AS DOUBLE), 0) AS score
+      FROM fused JOIN near USING (query_id, entity_key, source_table, source_key) JOIN indexed USING (source_table, source_key, entity_key) JOIN questions ON question_id = query_id)
+    SELECT query_id, entity_key, source_table, source_key, distance, round(score, 9) AS score,
+      CAST(row_number() OVER (PARTITION BY query_id, source_table, entity_key ORDER BY score DESC, rrf DESC, source_key) - 1 AS INT) AS rank
+    FROM scored QUALIFY rank < 5"""
+
+
+def chunk_store(spark, sf):
+    chunks = served(spark, sf).chunks
+    return stored(spark, sf, "chunk_store", lambda path: CS.store_chunks(chunks, path))
+
+
+@query("retrieve_per_entity", over_silver(ENTITY_SQL))
+def retrieve_per_entity(spark, sf):
+    t = served(spark, sf)
+    return CS.retrieve_in_entities(chunk_store(spark, sf), t.questions, _mentions(t)).withColumn("score", F.round("score", 9))
+
+
 def _routed(t):
     return E.route_table(t.questions.select("query_id", "text"), ["query_id"], "text", t.countries, t.artists)
 

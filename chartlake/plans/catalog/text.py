@@ -10,7 +10,7 @@ from chartlake.operators import turns as T
 from chartlake.operators.windows import distinct_on_best
 from chartlake.plans import gold as G
 from chartlake.plans import questions as Qs
-from chartlake.plans.catalog.base import over_silver, query, silver
+from chartlake.plans.catalog.base import ORACLES, over_silver, query, silver, stored
 from chartlake.plans.catalog.gold import ARTISTS_RANKED
 
 WORD = r"[\p{L}\p{N}]+"
@@ -65,8 +65,23 @@ def questions(spark, sf):
     return questions_of(silver(spark, sf), artists(spark, sf))
 
 
-def names(spark, sf):
-    return artist_names(artists(spark, sf)).unionByName(country_names(silver(spark, sf)))
+def all_names(spark, sf):
+    _, countries, singers = asked(spark, sf)
+    return singers.unionByName(countries)
+
+
+def asked(spark, sf):
+    """(questions, country names, artist names), written once per session and input folder."""
+
+    def write(out):
+        paths = G.run_gold(spark, silver(spark, sf), out, ("artist_performance_ranked",))
+        chart, performance = (spark.read.parquet(paths[n]) for n in ("silver", "artist_performance_ranked"))
+        tables = {"questions": questions_of(chart, performance), "countries": country_names(chart), "artists": artist_names(performance)}
+        for name, df in tables.items():
+            df.write.parquet(f"{out}/{name}")
+        return tuple(spark.read.parquet(f"{out}/{name}") for name in tables)
+
+    return stored(spark, sf, "asked", write)
 
 
 query("chart_questions", over_silver(f"{QUESTIONS_CTE} SELECT * FROM questions"))(questions)
@@ -118,7 +133,10 @@ def label_turns(spark, sf):
 query(
     "detect_entities",
     over_silver(f"{QUESTIONS_CTE} SELECT question_id, entity, key, CAST(length(entity) AS INT) AS entity_length FROM mentions"),
-)(lambda spark, sf: E.detect_entities(questions(spark, sf), ["question_id"], "text", names(spark, sf)))
+)(lambda spark, sf: E.detect_entities(asked(spark, sf)[0], ["question_id"], "text", all_names(spark, sf)))
+query("detect_entities_by_runs", ORACLES["detect_entities"])(
+    lambda spark, sf: E.detect_entities(asked(spark, sf)[0], ["question_id"], "text", all_names(spark, sf), by_runs=True)
+)
 
 VOCABULARY_SQL = f"""vocabulary AS (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '{WORD}')) AS entity FROM benchmark),
 known AS (SELECT entity FROM vocabulary WHERE length(entity) >= 5)"""
@@ -157,7 +175,7 @@ query(
 )
 
 query("fuzzy_match")(
-    lambda spark, sf: E.fuzzy_match(questions(spark, sf), ["question_id"], "text", names(spark, sf))
+    lambda spark, sf: E.fuzzy_match(asked(spark, sf)[0], ["question_id"], "text", all_names(spark, sf))
 )
 KEYWORD = " ".join(f"WHEN {any_sql('lower(text)', ks)} THEN '{t}'" for t, ks in K.TABLE_KEYWORDS.items())
 query(
@@ -170,14 +188,11 @@ query(
         SELECT *, source_table IS NOT NULL AS confident FROM routed"""
     ),
 )(
-    lambda spark, sf: E.route_table(
-        questions(spark, sf), ["question_id"], "text", country_names(silver(spark, sf)), artist_names(artists(spark, sf)), fuzzy=False
-    )
+    lambda spark, sf: E.route_table(asked(spark, sf)[0], ["question_id"], "text", *asked(spark, sf)[1:], fuzzy=False)
 )
 query("route_table_fuzzy")(
     lambda spark, sf: E.route_table(
-        questions(spark, sf), ["question_id"], "text",
-        country_names(silver(spark, sf)).unionByName(E.alias_dictionary(spark)), artist_names(artists(spark, sf)),
+        asked(spark, sf)[0], ["question_id"], "text", asked(spark, sf)[1].unionByName(E.alias_dictionary(spark)), asked(spark, sf)[2],
     )
 )
 

@@ -159,3 +159,24 @@ def test_kinds_come_before_lengths(spark):
     mentions = spark.createDataFrame(rows, "conv_id int, turn int, entity string, entity_length int, kind_rank int")
     out = {r.turn: (r.entity_1, r.entity_2) for r in T.carry_forward_entities(turns, mentions).collect()}
     assert out == {1: (None, None), 2: ("brazil", "a very long artist")}
+
+
+@pytest.mark.parametrize("by_runs", [False, True])
+def test_names_by_automaton_and_by_runs(spark, by_runs):
+    names = spark.createDataFrame(
+        [("Ana", "a1"), ("Ana Lu", "a2"), ("Lu", "a3"), ("Lu", "a4"), ("Ána-Lu", "a5"), ("São Paulo", "c1"), ("...", "none")], "name string, key string")
+    dictionary = E.name_dictionary(names, "name", "key")
+    texts = spark.createDataFrame(
+        [(1, "ana lu, LU!"), (2, "Anaconda lux"), (3, None), (4, ""), (5, "são  paulo's Ána lu"), (6, "lu ana ana lu lu")], "id long, text string")
+    got = sorted(tuple(r) for r in E.detect_entities(texts, ["id"], "text", dictionary, by_runs).select("id", "entity", "key").collect())
+    expected = [(1, "Ana", "a1"), (1, "Ana Lu", "a2"), (1, "Lu", "a3"), (1, "Lu", "a4"), (5, "Lu", "a3"), (5, "Lu", "a4"), (5, "São Paulo", "c1"), (5, "Ána-Lu", "a5"),
+                (6, "Ana", "a1"), (6, "Ana Lu", "a2"), (6, "Lu", "a3"), (6, "Lu", "a4")]
+    assert got == sorted(expected)
+    assert E.detect_entities(texts, ["id"], "text", dictionary.filter("false"), by_runs).count() == 0
+
+
+def test_long_name_lists_are_refused(spark, monkeypatch):
+    monkeypatch.setattr(E, "DICTIONARY_CHARS", 10)
+    dictionary = E.name_dictionary(spark.createDataFrame([("Ana",)], "name string"), "name")
+    with pytest.raises(ValueError, match="by_runs"):
+        E.detect_entities(spark.createDataFrame([(1, "ana")], "id long, text string"), ["id"], "text", dictionary)
