@@ -413,13 +413,19 @@ def confidence_gate(
 
 
 def retrieval_eval(
-    routed: DataFrame, ranked: DataFrame, top1: DataFrame, keys: Sequence[str] = CHUNK
+    routed: DataFrame, ranked: DataFrame, top1: DataFrame, near: DataFrame | None = None, keys: Sequence[str] = CHUNK, distances: int = K.TOP_K
 ) -> DataFrame:
-    """One row per question: route, best chunk keys in order, top distance and gate outcome."""
+    """One row per question: route, best chunk keys in order, top distance and gate outcome.
+
+    near, the nearest chunks by vector (query_id, distance, rank), adds their distances as distance_1 and so on.
+    """
     tops = F.sort_array(F.collect_list(F.struct("rank", F.concat_ws(":", *keys).alias("key"))))
     listed = ranked.groupBy("query_id").agg(F.array_join(F.transform(tops, lambda t: t["key"]), ", ").alias("top_chunks"))
-    gated = confidence_gate(routed, top1)
-    return gated.join(listed, "query_id", "left")
+    out = confidence_gate(routed, top1).join(listed, "query_id", "left")
+    if near is None:
+        return out
+    places = [F.max(F.when(F.col("rank") == i, F.col("distance"))).alias(f"distance_{i + 1}") for i in range(distances)]
+    return out.join(near.groupBy("query_id").agg(*places), "query_id", "left")
 
 
 def compare_runs(before: DataFrame, after: DataFrame, columns: Sequence[str] = ("source_table", "top_chunks", "outcome")) -> DataFrame:

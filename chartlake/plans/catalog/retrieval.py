@@ -401,34 +401,27 @@ QUESTION_TERMS = r"list_distinct(regexp_extract_all(lower(q.text), '[a-z0-9'']+'
 @query(
     "rerank_pairs",
     over_silver(
-        f"""{CHUNKS_CTE}, country_years AS (SELECT DISTINCT country_name AS name, year FROM silver),
-        q AS (SELECT 'lookup|' || name || '|' || year AS query_id, name, 'How did ' || name || ' perform in ' || year || '?' AS text FROM country_years),
+        f"""{CHUNKS_CTE}, own AS (SELECT source_table, source_key, chunk_text, regexp_replace(source_key, '[|][^|]*$', '') AS entity,
+          regexp_extract(source_key, '[^|]*$') AS year FROM chunks),
+        q AS (SELECT source_table, entity, concat_ws('|', 'lookup', source_table, entity, year) AS query_id, 'How did ' || entity || ' perform in ' || year || '?' AS text FROM own),
         p AS (SELECT query_id, source_table, source_key, len(list_intersect({QUESTION_TERMS},
           list_distinct(regexp_extract_all(lower(chunk_text), '[a-z0-9'']+')))) / CAST(len({QUESTION_TERMS}) AS DOUBLE) AS score
-          FROM q JOIN chunks ON source_table = 'country_performance' AND starts_with(source_key, name || '|'))
+          FROM q JOIN own USING (source_table, entity))
         SELECT query_id, source_table, source_key, round(score, 9) AS score,
           CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, source_key) - 1 AS INT) AS rank FROM p QUALIFY rank < 5"""
     ),
 )
 def rerank_pairs(spark, sf):
-    tables = served(spark, sf, vectors=False)
-    asked = tables.country_years.select(
-        F.concat_ws("|", F.lit("lookup"), "country_name", "year").alias("query_id"), "country_name",
-        F.concat(F.lit("How did "), "country_name", F.lit(" perform in "), "year", F.lit("?")).alias("text"),
-    )
-    own = tables.chunks.filter("source_table = 'country_performance'").select(
-        "source_table", "source_key", F.split("source_key", "\\|")[0].alias("country_name")
+    """A question for every entity and year of all four tables, against the entity's own chunks."""
+    chunks = served(spark, sf, vectors=False).chunks
+    entity = F.regexp_replace("source_key", "\\|[^|]*$", "")
+    own = chunks.select("source_table", "source_key", entity.alias("entity"), F.substring_index("source_key", "|", -1).alias("year"))
+    asked = own.select(
+        "source_table", "entity", F.concat_ws("|", F.lit("lookup"), "source_table", "entity", "year").alias("query_id"),
+        F.concat(F.lit("How did "), "entity", F.lit(" perform in "), "year", F.lit("?")).alias("text"),
     )
-    pairs = asked.select("query_id", "country_name").join(own, "country_name").drop("country_name")
-    return R.rerank_pairs(pairs, asked, tables.chunks).withColumn("score", F.round("score", 9))
-
-
-@query("hybrid_search")
-def hybrid_search(spark, sf):
-    t = served(spark, sf)
-    routed = E.route_table(t.questions.select("query_id", "text"), ["query_id"], "text", t.countries, t.artists, fuzzy=False)
-    scoped = t.questions.join(routed.select("query_id", F.col("source_table").alias("scope")), "query_id")
-    return R.hybrid_search(t.chunks.withColumn("scope", F.col("source_table")), scoped)
+    pairs = asked.select("query_id", "source_table", "entity").join(own, ["source_table", "entity"]).select("query_id", "source_table", "source_key")
+    return R.rerank_pairs(pairs, asked, chunks).withColumn("score", F.round("score", 9))
 
 
 def _mentions(t):
@@ -510,23 +503,110 @@ def retrieve_per_entity(spark, sf):
     return CS.retrieve_in_entities(chunk_store(spark, sf), t.questions, _mentions(t)).withColumn("score", F.round("score", 9))
 
 
-def _routed(t):
-    return E.route_table(t.questions.select("query_id", "text"), ["query_id"], "text", t.countries, t.artists)
+#: Questions routed by exact evidence, each searched in its table (or all of them) by vector and words, fused and reranked.
+HYBRID_CTE = f"""{TX.QUESTIONS_CTE}{CHUNKS_CTE.replace(ARTISTS_RANKED, '')}, {TX.ROUTED_CTE},
+    routes AS (SELECT question_id AS query_id, source_table AS scope FROM routed),
+    {VECTORS_SQL.format(name='qv', ids='question_id', source='questions', text='text')},
+    {VECTORS_SQL.format(name='cv', ids='source_table, source_key', source='chunks', text='chunk_text')},
+    qd AS MATERIALIZED (SELECT question_id, CAST(v AS DOUBLE[]) AS v FROM qv), cd AS MATERIALIZED (SELECT source_table, source_key, CAST(v AS DOUBLE[]) AS v FROM cv),
+    near AS MATERIALIZED (SELECT query_id, cd.source_table, source_key, round(list_distance(qd.v, cd.v), 6) AS distance
+      FROM routes JOIN qd ON question_id = query_id JOIN cd ON scope IS NULL OR scope = cd.source_table),
+    by_vector AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, source_table, source_key) - 1 AS r1 FROM near QUALIFY r1 < 20),
+    indexed AS MATERIALIZED (SELECT source_table, source_key, {terms_sql('chunk_text')} AS terms,
+      list_distinct(regexp_extract_all(lower(chunk_text), '[a-z0-9'']+')) AS said FROM chunks),
+    parts AS (SELECT question_id AS query_id, unnest(string_split_regex(lower(text), '\\s+or\\s+')) AS part FROM questions),
+    wanted AS (SELECT query_id, part, list_distinct({terms_sql('part')}) AS terms FROM parts),
+    asked AS (SELECT query_id, part, unnest(terms) AS term, len(terms) AS size FROM wanted),
+    tf AS MATERIALIZED (SELECT source_table, source_key, term, count(*) AS tf, any_value(held) AS held
+      FROM (SELECT source_table, source_key, unnest(terms) AS term, len(terms) AS held FROM indexed) GROUP BY source_table, source_key, term),
+    df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+    stats AS (SELECT count(*) AS n, avg(len(terms)) AS mean FROM indexed),
+    hit AS (SELECT query_id, part, source_table, source_key, count(*) AS matched, any_value(size) AS size,
+      sum(ln(1 + (n - df + CAST(0.5 AS DOUBLE)) / (df + CAST(0.5 AS DOUBLE))) * tf * CAST(2.2 AS DOUBLE)
+        / (tf + CAST(1.2 AS DOUBLE) * (CAST(0.25 AS DOUBLE) + CAST(0.75 AS DOUBLE) * held / mean))) AS bm25
+      FROM asked JOIN tf USING (term) JOIN df USING (term) JOIN routes USING (query_id), stats WHERE scope IS NULL OR scope = source_table GROUP BY ALL),
+    words_found AS (SELECT query_id, source_table, source_key, max(round(bm25, 6)) AS bm25 FROM hit WHERE matched = size GROUP BY ALL),
+    by_words AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY bm25 DESC, source_table, source_key) - 1 AS r2 FROM words_found QUALIFY r2 < 20),
+    fused AS (SELECT query_id, source_table, source_key, coalesce(1 / CAST(60 + r1 AS DOUBLE), 0) + coalesce(1 / CAST(60 + r2 AS DOUBLE), 0) AS rrf
+      FROM by_vector FULL JOIN by_words USING (query_id, source_table, source_key)),
+    scored AS (SELECT fused.*, coalesce(len(list_intersect(list_distinct(regexp_extract_all(lower(text), '[a-z0-9'']+')), said))
+        / CAST(nullif(len(list_distinct(regexp_extract_all(lower(text), '[a-z0-9'']+'))), 0) AS DOUBLE), 0) AS score
+      FROM fused JOIN indexed USING (source_table, source_key) JOIN questions ON question_id = query_id),
+    ranked AS MATERIALIZED (SELECT query_id, source_table, source_key, round(score, 9) AS score,
+      CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, rrf DESC, source_table, source_key) - 1 AS INT) AS rank FROM scored QUALIFY rank < 5)"""
+#: The gate on each question's best chunk.
+GATED_CTE = f""", gated AS (SELECT question_id AS query_id, r.source_table, confident, distance AS top1_distance,
+      CASE WHEN NOT confident AND (distance IS NULL OR distance > CAST({K.NO_MATCH_DISTANCE} AS DOUBLE)) THEN 'no data' ELSE 'answer' END AS outcome
+    FROM routed_flags r LEFT JOIN (SELECT * FROM ranked WHERE rank = 0) b ON b.query_id = question_id
+      LEFT JOIN near n ON n.query_id = question_id AND n.source_table = b.source_table AND n.source_key = b.source_key)"""
+
+
+def _routed(t, fuzzy=False):
+    return E.route_table(t.questions.select("query_id", "text"), ["query_id"], "text", t.countries, t.artists, fuzzy)
+
+
+def _searched(t, routed):
+    """(chunks, questions) with the routed table as scope."""
+    scoped = t.questions.join(routed.select("query_id", F.col("source_table").alias("scope")), "query_id")
+    return t.chunks.withColumn("scope", F.col("source_table")), scoped
 
 
-@query("confidence_gate")
+def routed_hybrid(spark, sf):
+    """Hybrid search of every question in its routed table, written once."""
+    t = served(spark, sf)
+    return stored(spark, sf, "routed_hybrid", lambda path: _write(R.hybrid_search(*_searched(t, _routed(t))), path))
+
+
+def _write(df, path):
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+@query("hybrid_search", over_silver(f"{HYBRID_CTE} SELECT * FROM ranked"))
+def hybrid_search(spark, sf):
+    return routed_hybrid(spark, sf).withColumn("score", F.round("score", 9))
+
+
+@query("confidence_gate", over_silver(f"{HYBRID_CTE}{GATED_CTE} SELECT * FROM gated"))
 def confidence_gate(spark, sf):
+    """The gate on what the answer would use: the best chunk of the routed, reranked search."""
+    t = served(spark, sf)
+    return R.confidence_gate(_routed(t), R.top1_distance(routed_hybrid(spark, sf), t.questions, t.chunks))
+
+
+@query("confidence_gate_fuzzy")
+def confidence_gate_fuzzy(spark, sf):
+    """Fuzzy names route too, but only as weak evidence, so the distance decides."""
     t = served(spark, sf)
-    return R.confidence_gate(_routed(t), R.top1_distance(R.knn_exact(t.chunks, t.questions, 1), t.questions, t.chunks))
+    routed = _write(_routed(t, fuzzy=True), work_dir(spark, "routed"))
+    ranked = R.hybrid_search(*_searched(t, routed))
+    return R.confidence_gate(routed, R.top1_distance(ranked, t.questions, t.chunks))
 
 
-@query("retrieval_eval")
+@query(
+    "retrieval_eval",
+    over_silver(
+        f"""{HYBRID_CTE}{GATED_CTE}, listed AS (SELECT query_id, string_agg(source_table || ':' || source_key, ', ' ORDER BY rank) AS top_chunks FROM ranked GROUP BY query_id),
+        five AS (SELECT query_id, {', '.join(f'max(CASE WHEN r1 = {i} THEN distance END) AS distance_{i + 1}' for i in range(5))} FROM by_vector GROUP BY query_id)
+        SELECT gated.*, top_chunks, {', '.join(f'distance_{i + 1}' for i in range(5))} FROM gated LEFT JOIN listed USING (query_id) LEFT JOIN five USING (query_id)"""
+    ),
+)
 def retrieval_eval(spark, sf):
-    """Vector search alone against hybrid search over the same questions."""
+    """Per question: route, five chunks, the gate's outcome and the five nearest distances within the routed table."""
+    t = served(spark, sf)
+    routed, ranked = _routed(t), routed_hybrid(spark, sf)
+    near = R.knn_exact(*_searched(t, routed), K.TOP_K)
+    return R.retrieval_eval(routed, ranked, R.top1_distance(ranked, t.questions, t.chunks), near)
+
+
+@query("retrieval_eval_runs")
+def retrieval_eval_runs(spark, sf):
+    """Vector search alone against hybrid search over the same routed questions."""
     t = served(spark, sf)
+    routed = _routed(t)
     runs = [
-        R.retrieval_eval(_routed(t), ranked, R.top1_distance(ranked, t.questions, t.chunks))
-        for ranked in (R.knn_exact(t.chunks, t.questions, K.TOP_K), R.hybrid_search(t.chunks, t.questions))
+        R.retrieval_eval(routed, ranked, R.top1_distance(ranked, t.questions, t.chunks))
+        for ranked in (R.knn_exact(*_searched(t, routed), K.TOP_K), routed_hybrid(spark, sf))
     ]
     return R.compare_runs(*runs)
 

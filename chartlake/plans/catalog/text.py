@@ -178,16 +178,12 @@ query("fuzzy_match")(
     lambda spark, sf: E.fuzzy_match(asked(spark, sf)[0], ["question_id"], "text", all_names(spark, sf))
 )
 KEYWORD = " ".join(f"WHEN {any_sql('lower(text)', ks)} THEN '{t}'" for t, ks in K.TABLE_KEYWORDS.items())
-query(
-    "route_table",
-    over_silver(
-        f"""{QUESTIONS_CTE}, named AS MATERIALIZED (SELECT question_id, max(CASE WHEN kind = 'country' THEN 1 ELSE 0 END) AS country,
-          max(CASE WHEN kind = 'artist' THEN 1 ELSE 0 END) AS artist FROM mentions GROUP BY question_id),
-        routed AS (SELECT question_id, CASE WHEN country = 1 THEN 'country_performance' WHEN artist = 1 THEN 'artist_performance' {KEYWORD} END AS source_table
-          FROM questions LEFT JOIN named USING (question_id))
-        SELECT *, source_table IS NOT NULL AS confident FROM routed"""
-    ),
-)(
+ROUTED_CTE = f"""named AS MATERIALIZED (SELECT question_id, max(CASE WHEN kind = 'country' THEN 1 ELSE 0 END) AS country,
+    max(CASE WHEN kind = 'artist' THEN 1 ELSE 0 END) AS artist FROM mentions GROUP BY question_id),
+  routed AS MATERIALIZED (SELECT question_id, CASE WHEN country = 1 THEN 'country_performance' WHEN artist = 1 THEN 'artist_performance' {KEYWORD} END AS source_table
+    FROM questions LEFT JOIN named USING (question_id)),
+  routed_flags AS (SELECT *, source_table IS NOT NULL AS confident FROM routed)"""
+query("route_table", over_silver(f"{QUESTIONS_CTE}, {ROUTED_CTE} SELECT * FROM routed_flags"))(
     lambda spark, sf: E.route_table(asked(spark, sf)[0], ["question_id"], "text", *asked(spark, sf)[1:], fuzzy=False)
 )
 query("route_table_fuzzy")(
