@@ -33,11 +33,8 @@ VECTOR = ("vec_id",)
 
 
 def chunks(spark, sf):
-    s = silver(spark, sf)
-    return C.render_chunks(
-        G.country_performance(s), G.label_performance_enhanced(s), G.kpi_song(s), G.track_catalog(s),
-        G.artist_performance_ranked(s),
-    )
+    """From monthly tables that are written once, so the cleaned chart is built once, not for each of them."""
+    return served(spark, sf, vectors=False).chunks.select("source_table", "source_key", "chunk_text")
 
 
 def commas(x: str) -> str:
