@@ -32,6 +32,8 @@ SAMPLE_ROWS = 20_000
 BLOCK_ROWS = 8_192
 TASK_QUERIES = 4_096
 LEAF_ROWS = 32
+#: Squared lengths from which on vectors are shrunk first.
+LARGEST = 1e290
 
 
 def chi_squared(x: np.ndarray) -> np.ndarray:
@@ -142,7 +144,8 @@ def nearest_neighbours(
     The score is the inner product of the original vectors in double precision. Null, empty and zero vectors, those with null
     or non-finite components, and null ids take no part, as rows or queries; neither do vectors of another width than most
     have. Rows with the same id are one vector if they are equal; if not, each can be found and an id counts once, with its best
-    score. Queries with fewer candidates return them all. Empty tables give an empty result. Other columns are ignored.
+    score. Very large entries are no special case; a product beyond a double's range has an infinite score, and still its place by size.
+    Queries with fewer candidates return them all. Empty tables give an empty result. Other columns are ignored.
     """
     spark = vectors.sparkSession
 
@@ -151,6 +154,9 @@ def nearest_neighbours(
         finite = F.expr("forall(v, x -> x is not null and not isnan(x) and abs(x) < double('Infinity')) and exists(v, x -> x <> 0)")
         return rows.where(F.col("id").isNotNull() & F.col("v").isNotNull() & finite)
 
+    def shrunk(df: DataFrame, by: int) -> DataFrame:
+        return df.withColumn("v", F.transform("v", lambda x: x * F.lit(2.0**-by))) if by else df
+
     data = sound(vectors)
     length2 = F.expr("aggregate(v, 0D, (s, x) -> s + x * x)")
     widths = data.groupBy(F.size("v").alias("width")).agg(F.count("*").alias("n"), F.max(length2).alias("longest"))
@@ -159,6 +165,13 @@ def nearest_neighbours(
     if usual is None:
         return spark.createDataFrame([], schema).withColumnRenamed("id", id)
     width, longest = usual["width"], usual["longest"]
+    # Squares of very large entries overflow: all vectors are then shrunk by one power of two, which leaves their order as it is.
+    shrink = 0
+    if not longest < LARGEST:
+        largest = data.where(F.size("v") == width).agg(F.max(F.expr("aggregate(v, 0D, (s, x) -> greatest(s, abs(x)))"))).first()[0]
+        shrink = math.frexp(largest)[1] - 1
+        data = shrunk(data, shrink)
+        longest = data.where(F.size("v") == width).agg(F.max(length2)).first()[0]
     directions = np.random.default_rng(seed).standard_normal((width + 1, DIMS))
     ratio = stop_ratio(confidence)
 
@@ -174,7 +187,7 @@ def nearest_neighbours(
         return df.where(F.size("v") == width).select("id", "v").mapInArrow(run, "id long, v array<double>, extra double, p array<double>")
 
     rows = saved(projected(data.dropDuplicates(["id", "v"]), False), "projected")
-    asked = saved(projected(sound(queries), True).dropDuplicates(["id", "v"]), "queries")
+    asked = saved(projected(shrunk(sound(queries), shrink), True).dropDuplicates(["id", "v"]), "queries")
     sample = rows.select("id", "p").orderBy(F.xxhash64("id", F.lit(seed)), "id", "p").limit(SAMPLE_ROWS).collect()
     total = rows.count()
     fitted = np.array([r["p"] for r in sample])
@@ -256,4 +269,5 @@ def nearest_neighbours(
         reached, "home long, id long, v array<double>, p array<double>, bound double, reached array<long>"
     ).withColumn("leaf", F.explode("reached"))
     away = answered(saved(others.select("leaf", "id", "v", "p", "bound"), "visits"))
-    return best(home.union(away)).select("query_id", F.col("rank").cast("int").alias("rank"), F.col("id").alias(id), "score")
+    score = F.col("score") * F.lit(2.0**shrink) * F.lit(2.0**shrink) if shrink else F.col("score")
+    return best(home.union(away)).select("query_id", F.col("rank").cast("int").alias("rank"), F.col("id").alias(id), score.alias("score"))
