@@ -10,12 +10,12 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chartlake.llm.components import components
-from chartlake.llm.tables import by_group, by_text, release, saved
+from chartlake.llm.tables import by_group, by_text, release, saved, slices
 from chartlake.llm.words import U, mixed, seeds, windows, word_hashes
 
 SHINGLE = 5
@@ -23,7 +23,9 @@ SIDE = 10
 WIDTH = 3
 #: Shingles that one verification task holds for each of its two parts, unless one document alone has more.
 PART_SHINGLES = 500_000
-#: Postings counted at once for one document.
+#: Documents that it holds for each part.
+PART_MEMBERS = 1_000
+#: Shingles of candidates looked at at once for one document.
 COUNT_AT_ONCE = 1_000_000
 
 
@@ -102,37 +104,54 @@ def candidate_edges(classes: DataFrame, side: int) -> DataFrame:
 
 
 def linked(nodes: np.ndarray, sets: list[np.ndarray], percent: int, known: np.ndarray | None = None) -> list[tuple[int, int]]:
-    """A spanning forest of the links between these sets: pairs with 100 * intersection >= percent * union.
+    """A spanning forest of the links between these sets (none empty): pairs with 100 * intersection >= percent * union.
 
-    Intersections are counted over posting lists, one document against all, so no pair of documents is listed; pairs that
-    known labels already put together are passed over.
+    A partner of a set of n shingles shares ceil(percent * n / 100) of them at least, so with shingles ordered from the rarest on,
+    two linked sets have one in common among their first n - ceil(percent * n / 100) + 1. Posting lists hold these alone; whoever
+    meets there is confirmed on full sets, unless known labels or earlier links already put the two together.
     """
     n, lengths = len(sets), np.array([len(x) for x in sets])
-    owner = np.repeat(np.arange(n), lengths)
-    values, term, df = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    order = np.argsort(term, kind="stable")
-    postings, first = owner[order], np.concatenate([[0], np.cumsum(df)])
-    at = np.concatenate([[0], np.cumsum(lengths)])
+    owner, at = np.repeat(np.arange(n), lengths), np.concatenate([[0], np.cumsum(lengths)])
+    _, term, df = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    rarity = np.empty(len(df), np.int64)
+    rarity[np.argsort(df, kind="stable")] = np.arange(len(df))
+    term = rarity[term]
+    term = term[np.lexsort((term, owner))]
+    least = -(-percent * lengths // 100)
+    early = np.arange(len(term)) - at[owner] <= (lengths - least)[owner]
+    early_term, early_at = term[early], np.concatenate([[0], np.cumsum(np.bincount(owner[early], minlength=n))])
+    held_by = np.bincount(early_term, minlength=len(df))
+    first = np.concatenate([[0], np.cumsum(held_by)])
+    postings = owner[early][np.argsort(early_term, kind="stable")]
     label = np.arange(n) if known is None else np.unique(known, return_inverse=True)[1]
-    edges = []
+    classes: dict[int, list[int]] = {}
+    for k, c in enumerate(label.tolist()):
+        classes.setdefault(c, []).append(k)
+
+    def ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        return np.arange(sizes.sum()) + np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)
+
+    edges, own = [], np.zeros(len(df), bool)
     for x in range(n):
-        own = term[at[x] : at[x + 1]]
-        own = own[df[own] > 1]
-        if not len(own):
+        met = early_term[early_at[x] : early_at[x + 1]]
+        near = postings[ranges(first[met], held_by[met])]
+        near = np.unique(near[(near > x) & (label[near] != label[x])])
+        near = near[100 * np.minimum(lengths[near], lengths[x]) >= percent * np.maximum(lengths[near], lengths[x])]
+        if not len(near):
             continue
-        shared, steps = np.zeros(n, np.int64), np.cumsum(df[own])
-        a = 0
-        while a < len(own):
-            b = max(a + 1, int(np.searchsorted(steps, (steps[a - 1] if a else 0) + COUNT_AT_ONCE, "right")))
-            sizes = df[own[a:b]]
-            inside = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes) + np.repeat(first[own[a:b]], sizes)
-            shared += np.bincount(postings[inside], minlength=n)
-            a = b
-        near = np.flatnonzero((100 * shared >= percent * (lengths + lengths[x] - shared)) & (label != label[x]))
-        for y in near:
-            if label[y] != label[x]:
-                edges.append((int(nodes[x]), int(nodes[y])))
-                label[label == label[y]] = label[x]
+        own[term[at[x] : at[x + 1]]] = True
+        for a, b in slices(lengths[near].tolist(), COUNT_AT_ONCE):
+            some = near[a:b]
+            sizes = lengths[some]
+            shared = np.add.reduceat(own[term[ranges(at[some], sizes)]], np.cumsum(sizes) - sizes, dtype=np.int64)
+            for y in some[100 * shared >= percent * (sizes + lengths[x] - shared)].tolist():
+                if label[y] != label[x]:
+                    edges.append((int(nodes[x]), int(nodes[y])))
+                    small, large = sorted((int(label[x]), int(label[y])), key=lambda c: len(classes[c]))
+                    moved = classes.pop(small)
+                    label[moved] = large
+                    classes[large] += moved
+        own[term[at[x] : at[x + 1]]] = False
     return edges
 
 
@@ -154,17 +173,21 @@ def _sets(size: int):
     return kernel
 
 
+def _parts(shingles: Column, members: Column) -> Column:
+    return F.greatest(F.ceil(shingles / PART_SHINGLES), F.ceil(members / PART_MEMBERS)).cast("long")
+
+
 def verified_edges(members: DataFrame, percent: int) -> DataFrame:
     """Spanning edges of the true links inside candidate groups; members: (rep, grp, n_shingles, shingles binary).
 
-    A group is cut into parts of bounded total size. One round of tasks compares part 0 and each other part, in themselves and
+    A group is cut into parts of bounded total size and number of members. One round of tasks compares part 0 and each other part, in themselves and
     with each other, so what a task holds and the number of copies stay in proportion to the group. What is then still apart
     from its group's largest class is compared with the group's other parts in a second round; the copies are as many as such
     documents' parts times the group's parts. Nothing is left out: any two members either are in one class after the first
     round, or meet in a task of one of the rounds.
     """
     sizes = members.groupBy("grp").agg(F.sum("n_shingles").alias("total"), F.count("*").alias("of"))
-    parts = F.ceil(F.col("total") / PART_SHINGLES).cast("long")
+    parts = _parts(F.col("total"), F.col("of"))
     dealt = saved(
         members.join(sizes.where("of > 1"), "grp").withColumn("parts", parts).withColumn("part", F.pmod(F.xxhash64("rep"), "parts")),
         "dealt",
@@ -183,7 +206,7 @@ def verified_edges(members: DataFrame, percent: int) -> DataFrame:
     counts = labelled.groupBy("grp", "label").agg(F.count("*").alias("n"))
     main = counts.groupBy("grp").agg(F.max_by("label", F.struct("n", -F.col("label"))).alias("main"))
     apart = labelled.join(main, "grp").where("label <> main").drop("main")
-    cuts = apart.groupBy("grp").agg(F.ceil(F.sum("n_shingles") / PART_SHINGLES).cast("long").alias("cuts"))
+    cuts = apart.groupBy("grp").agg(_parts(F.sum("n_shingles"), F.count("*")).alias("cuts"))
     left = (
         apart.join(cuts, "grp")
         .withColumn("cut", F.pmod(F.xxhash64("rep"), "cuts"))
