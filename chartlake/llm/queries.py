@@ -74,7 +74,7 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op8_quality_rules")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repetition.quality_rules(documents(spark, sf_dir)).drop("repeats")
+    return repetition.quality_rules(documents(spark, sf_dir), spans=False)
 
 
 @query("op10_substring_dedup")

@@ -2,7 +2,8 @@
 
 The words of a document are sorted by what follows them (a suffix array by prefix doubling, for many documents at once). The
 longest common prefix of neighbours gives, for each word, the longest passage from it on that the document holds twice; from
-`least` words on, such passages are repeats. Their union and the longest of them are limited.
+`least` words on, such passages are repeats. Their union and the longest of them are limited: the union catches many short
+repeats, the longest one a single long passage that is there twice. Both limits lie well below the base rule's half of all words.
 """
 
 from __future__ import annotations
@@ -18,8 +19,8 @@ from chartlake.llm.words import word_hashes
 #: A passage of so many words that recurs in its document is a repeat.
 LEAST_WORDS = 8
 #: Limits of the verdict: the share of words in repeats, and the longest repeat as a share of all words.
-MOST_COVERED = 0.5
-MOST_LONGEST = 0.3
+MOST_COVERED = 0.3
+MOST_LONGEST = 0.125
 SYMBOLS = "#*$%&|<>"
 BLANKS = " \t\n\x0b\x0c\r"
 
@@ -101,31 +102,33 @@ MEASURES = [T.StructField(n, T.LongType()) for n in (
 SPANS = T.StructField("repeats", T.ArrayType(T.ArrayType(T.LongType())))
 
 
-def _measure(least: int):
+def _measure(least: int, spans: bool):
     def kernel(texts: list[str]) -> list[list]:
         words, at = word_hashes([x.encode() for x in texts])
         lengths = longest_repeats(words, at)
         threes = covered(np.where(lengths >= 3, 3, 0), at)
         long = np.where(lengths >= least, lengths, 0)
         longest = [int(long[a:b].max(initial=0)) for a, b in zip(at[:-1], at[1:])]
-        # A repeat is maximal if it isn't the rest of the one from the word before.
-        maximal = (long > 0) & (np.concatenate([[0], long[:-1]]) <= long)
-        spans = [[[int(k), int(long[a + k])] for k in np.flatnonzero(maximal[a:b])] for a, b in zip(at[:-1], at[1:])]
-        return [
+        out = [
             np.diff(at), [len(x) - sum(map(x.count, BLANKS)) for x in texts], [sum(map(x.count, SYMBOLS)) for x in texts],
-            [repeated_lines(x) for x in texts], threes, covered(long, at), longest, spans,
+            [repeated_lines(x) for x in texts], threes, covered(long, at), longest,
         ]
+        if spans:
+            # A repeat is maximal if it isn't the rest of the one from the word before.
+            maximal = (long > 0) & (np.concatenate([[0], long[:-1]]) <= long)
+            out.append([[[int(k), int(long[a + k])] for k in np.flatnonzero(maximal[a:b])] for a, b in zip(at[:-1], at[1:])])
+        return out
 
     return kernel
 
 
-def measured(docs: DataFrame, text: str = "text", least: int = LEAST_WORDS) -> DataFrame:
+def measured(docs: DataFrame, text: str = "text", least: int = LEAST_WORDS, spans: bool = True) -> DataFrame:
     """docs without its text, and n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_covered, longest_repeat, repeats.
 
-    repeats lists maximal repeated passages as [first word, words]. Null texts count as empty and measure 0. Columns of docs
+    repeats, left out without spans, lists maximal repeated passages as [first word, words]. Null texts count as empty and measure 0. Columns of docs
     with these names are replaced; rows are measured one by one, so repeated rows and ids don't matter.
     """
-    return by_text(docs, text, [*MEASURES, SPANS], _measure(least))
+    return by_text(docs, text, [*MEASURES, SPANS] if spans else MEASURES, _measure(least, spans))
 
 
 def base_failed() -> Column:
@@ -138,14 +141,14 @@ def passes(most_covered: float = MOST_COVERED, most_longest: float = MOST_LONGES
     return ~base_failed() & fits
 
 
-def quality_rules(docs: DataFrame, id: str = "doc_id", text: str = "text", least: int = LEAST_WORDS) -> DataFrame:
-    """(id, the measures, base_failed, kept) for every row; null and empty texts have no words and fail."""
+def quality_rules(docs: DataFrame, id: str = "doc_id", text: str = "text", least: int = LEAST_WORDS, spans: bool = True) -> DataFrame:
+    """(id, the measures, repeats if spans, base_failed, kept) for every row; null and empty texts have no words and fail."""
     rows = docs.select(F.col(f"`{id}`").alias("_id"), F.col(f"`{text}`").alias("_body"))
-    out = measured(rows, "_body", least).withColumn("base_failed", base_failed()).withColumn("kept", passes())
+    out = measured(rows, "_body", least, spans).withColumn("base_failed", base_failed()).withColumn("kept", passes())
     return out.withColumnRenamed("_id", id)
 
 
 def keep_good(docs: DataFrame, text: str = "text", least: int = LEAST_WORDS) -> DataFrame:
     """The rows of docs that pass, with docs' own columns, whatever their names."""
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(f"`{text}`").alias("_body"))
-    return measured(packed, "_body", least).where(passes()).select("_row.*")
+    return measured(packed, "_body", least, spans=False).where(passes()).select("_row.*")
