@@ -101,6 +101,38 @@ def test_large_groups_are_verified_in_parts(spark, monkeypatch):
     assert {tuple(r) for r in got.collect()} == near_groups(ROWS)
 
 
+def test_groups_of_many_members_are_verified_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(minhash_dedup, "PART_MEMBERS", 3)
+    got = minhash_dedup.near_duplicates(table(spark, ROWS))
+    assert {tuple(r) for r in got.collect()} == near_groups(ROWS)
+
+
+@pytest.mark.parametrize("percent", [50, 80, 85, 100])
+def test_links_match_all_pairs(percent, monkeypatch):
+    monkeypatch.setattr(minhash_dedup, "COUNT_AT_ONCE", 50)
+    rng = np.random.default_rng(percent)
+    for trial in range(30):
+        base = [rng.integers(0, 10**6, rng.integers(1, 60)).astype(np.uint64) for _ in range(3)]
+        sets = []
+        for _ in range(rng.integers(1, 40)):
+            x = base[rng.integers(0, 3)].copy()
+            x[rng.integers(0, len(x), len(x) // 8)] = rng.integers(0, 10**6)
+            sets.append(np.unique(x))
+        known = rng.integers(0, 10, len(sets)) if trial % 2 else None
+
+        def classes(edges):
+            label = list(range(len(sets))) if known is None else known.tolist()
+            for a, b in edges:
+                label = [label[a] if x == label[b] else x for x in label]
+            return [label.index(x) for x in label]
+
+        whole = [set(x.tolist()) for x in sets]
+        pairs = [(a, b) for a in range(len(sets)) for b in range(a) if 100 * len(whole[a] & whole[b]) >= percent * len(whole[a] | whole[b])]
+        got = minhash_dedup.linked(np.arange(len(sets)), sets, percent, known)
+        assert classes(got) == classes(pairs)
+        assert len(got) == len(set(classes([]))) - len(set(classes(pairs)))
+
+
 def test_components_of_chains(spark):
     rnd = random.Random(1)
     edges = [(k, k + 1) for k in range(0, 300) if k % 50 != 49] + [(1000, k) for k in range(1001, 1300)]
@@ -241,11 +273,27 @@ def test_quality_rules(spark):
         lines = [x for x in text.split("\n") if words(x)]
         top = max([n for n in run if n >= repetition.LEAST_WORDS], default=0)
         failed = len(w) < 50 or 100 * len(three) > 50 * len(w)
-        kept = not failed and len(far) <= 0.5 * len(w) and top <= 0.3 * len(w)
+        kept = not failed and len(far) <= 0.3 * len(w) and top <= 0.125 * len(w)
         assert tuple(r)[1:6] == (len(w), sum(map(len, w)), sum(text.count(c) for c in "#*$%&|<>"), len(lines) - len(set(lines)), len(three))
         assert (r["n_covered"], r["longest_repeat"], r["base_failed"], r["kept"]) == (len(far), top, failed, kept)
 
 
+def test_repeats_alone_reject(spark):
+    rnd = random.Random(3)
+    fresh = (f"w{k}" for k in range(10_000))
+    some = lambda n: [next(fresh) for _ in range(n)]
+    passage, short = some(30), [some(8) for _ in range(8)]
+    many = [x for p in (*short, *short) for x in (*p, *some(10))]
+    rnd.shuffle(short)
+    # One long passage that is there twice, many short ones, the same without repeats, and one short repeat in a longer text.
+    texts = [passage + some(140) + passage, many, some(200), some(100) + short[0] + some(90) + short[0]]
+    got = {r["doc_id"]: (r["base_failed"], r["kept"]) for r in repetition.quality_rules(table(spark, [(k, " ".join(x)) for k, x in enumerate(texts)])).collect()}
+    assert got == {0: (False, False), 1: (False, False), 2: (False, True), 3: (False, True)}
+    assert repetition.quality_rules(table(spark, ROWS[:3]), spans=False).columns == [
+        c for c in repetition.quality_rules(table(spark, ROWS[:3])).columns if c != "repeats"
+    ]
+
+
 def test_quality_filter_keeps_columns(spark):
     docs = table(spark, ROWS)
     got = repetition.keep_good(docs)
