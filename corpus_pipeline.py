@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from chartlake.llm.stages import STAGES
 from chartlake.llm.tables import saved
 
-#: Encoding and the searches have no SQL form; the tests compare the stages' operators with plain versions, not yet run() as a whole.
+#: Encoding and the searches have no SQL form; tests/llm/test_pipeline.py compares each stage and run() with plain versions.
 ORACLE_SQL = None
 
 
