@@ -7,7 +7,8 @@ which is uniform for random tokens and near 0 for names and prose.
 
 False discoveries are controlled within each encoding and length band over the whole corpus, as short tokens tell less. Of the
 tokens with a p-value over t, random ones are expected to be (1 - t) / (1 - HALF) times those over HALF; what exceeds that is
-counted as false. A band's threshold is the smallest t at which that excess is within the allowed rate.
+counted as false. A band's threshold is the smallest t at which that excess is within the allowed rate. A band with fewer than
+FEW tokens over HALF tells too little for that; there a token is taken from a fixed p-value on, which depends on its length.
 """
 
 from __future__ import annotations
@@ -47,12 +48,15 @@ BANDS = (20, 24, 32, 48, 64, 128)
 BINS = 200
 HALF = 0.5
 RATE = 0.05
+FEW = 20
+#: Fixed p-values of bands below and from 32 symbols on: of random tokens about 4 to 8 and 2 to 4 in a hundred are below.
+LONE_SHORT, LONE_LONG = 0.05, 0.02
 
 
 def inferred(token: str) -> str | None:
-    """The first encoding whose alphabet holds the token's letters; a token needs letters and digits to be one."""
+    """The first encoding whose alphabet holds the token's symbols; a token without letters is a number and has none."""
     body = token.rstrip("=")
-    if not any(c in digits for c in body) or not any(c.isalpha() for c in body):
+    if not any(c.isalpha() for c in body):
         return None
     return next((name for name, letters in NUMBERS.items() if all(c in letters for c in body)), None)
 
@@ -100,6 +104,10 @@ def band(length: int) -> int:
     return max(b for b in BANDS if b <= length)
 
 
+def lone(band: int) -> float:
+    return LONE_SHORT if band < 32 else LONE_LONG
+
+
 def scan(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, str, int, float]]]:
     """Base spans (start, kind, end) in order, and tested tokens outside them (start, end, encoding, band, p)."""
     base: list[tuple[int, int, int]] = []
@@ -124,9 +132,9 @@ def scan(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, st
 
 
 def thresholds(docs: DataFrame, text: str = "text", rate: float = RATE) -> dict[tuple[str, int], float]:
-    """The p-value from which on a token of an encoding and length band is taken, where there is one.
+    """The p-value from which on a token of an encoding and length band is taken, for bands of FEW tokens over HALF or more.
 
-    Gathered as counts per encoding, band and one of BINS p-value bins, so what reaches the driver is bounded.
+    2 where no threshold keeps the rate. Gathered as counts per encoding, band and one of BINS p-value bins, so what reaches the driver is bounded.
     """
 
     def kernel(texts: list[str]) -> list:
@@ -141,14 +149,15 @@ def thresholds(docs: DataFrame, text: str = "text", rate: float = RATE) -> dict[
         "random", F.sum(F.when(F.col("bin") >= HALF * BINS, F.col("n")).otherwise(0)).over(whole) / (1 - HALF)
     )
     false = F.greatest(F.col("taken") - F.col("random") * (1 - F.col("bin") / BINS), F.lit(0.0))
-    fits = taken.where((false <= rate * F.col("taken")) & (F.col("random") > 0))
-    rows = fits.groupBy("encoding", "band").agg(F.min("bin").alias("bin")).collect()
+    fits = F.when(false <= rate * F.col("taken"), F.col("bin"))
+    known = taken.where(F.col("random") * (1 - HALF) >= FEW)
+    rows = known.groupBy("encoding", "band").agg(F.coalesce(F.min(fits), F.lit(2 * BINS)).alias("bin")).collect()
     return {(r["encoding"], r["band"]): r["bin"] / BINS for r in rows}
 
 
 def _spans(text: str, limits: dict[tuple[str, int], float]) -> list[tuple[int, int, int]]:
     base, tokens = scan(text)
-    return sorted(base + [(a, 3, b) for a, b, e, k, p in tokens if p >= limits.get((e, k), 2.0)])
+    return sorted(base + [(a, 3, b) for a, b, e, k, p in tokens if p >= limits.get((e, k), lone(k))])
 
 
 SPAN = T.ArrayType(

@@ -253,6 +253,30 @@ def test_random_tokens_are_told_from_names(spark):
     assert clean.columns == table(spark, rows).columns and sum("[SECRET]" in r["text"] for r in clean.collect()) >= hits
 
 
+@pytest.mark.parametrize("name", list(secrets.ENCODINGS))
+@pytest.mark.parametrize("length, missed", [(20, 0.1), (24, 0.1), (32, 0.06), (64, 0.06)])
+def test_lone_random_tokens_are_found(name, length, missed):
+    # Without base patterns in the way, one key by itself is missed about as often as its fixed p-value says.
+    rnd = random.Random(length)
+    numbers = [[rnd.randrange(len(secrets.ENCODINGS[name])) for _ in range(length)] for _ in range(600)]
+    below = sum(secrets.battery(x, len(secrets.ENCODINGS[name])) < secrets.lone(secrets.band(length)) for x in numbers)
+    assert below <= missed * 600
+
+
+def test_lone_keys_and_long_words(spark):
+    # A few keys, one of letters alone; long words, paths, names and numbers aren't keys.
+    rnd = random.Random(6)
+    alphabets = [(secrets.ENCODINGS["alnum"][:52], 24), (secrets.ENCODINGS["alnum"], 20), (secrets.ENCODINGS["base64"], 40), (secrets.ENCODINGS["base32"], 32)]
+    keys = ["".join(rnd.choice(letters) for _ in range(n)) for letters, n in alphabets]
+    others = [
+        "internationalisierungsprozesse", "aitionaitiontiontion", "some/long/path/to/the/file/of/a/user", "get_user_name_from_settings_file",
+        "12345678901234567890123", "ABCABCABCABCABCABCABCABC", "----------------------------", "aaaaaaaaaaaaaaaaaaaaaaaaa",
+    ]
+    rows = [(k, f"see {x} here") for k, x in enumerate([*keys, *others])]
+    got = {r["doc_id"] for r in secrets.secret_scan(table(spark, rows)).collect() if any(s["kind"] == "random" for s in r["secrets"])}
+    assert got == set(range(len(keys)))
+
+
 def longest(w, i):
     best = 0
     for j in range(len(w)):
