@@ -1,13 +1,16 @@
 """Packing documents into sequences of bounded length: best fit, then local search by moves and swaps.
 
-The search takes underfull bins from the fullest on and lets each gain by what raises the sum of squared fills: a document moved
-in from another underfull bin, one exchanged for a longer one, or one exchanged for two. As the sum rises, full bins get fuller
-and the emptiest run dry; it ends when no such step is left, or after `rounds` passes.
+The search takes underfull bins in turn and lets each gain by what raises the sum of squared fills: a document moved in from
+another underfull bin, one exchanged for one, one for two, or two for one. As the sum rises, full bins get fuller and the emptiest
+run dry. All lengths, all pairs and all underfull bins are searched, and it ends when no such step is left. Bins of few documents
+come first: theirs are long, and they need the short ones before other bins have used them up.
 """
 
 from __future__ import annotations
 
 import zlib
+from collections import defaultdict
+from heapq import heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +24,6 @@ from chartlake.llm.tables import by_group, by_text, saved
 CAPACITY = 1024
 #: Pieces that one task packs together.
 GROUP_PIECES = 16_384
-ROUNDS = 4
 
 
 def best_fit(lengths: list[int], capacity: int) -> list[list[int]]:
@@ -49,96 +51,109 @@ def best_fit(lengths: list[int], capacity: int) -> list[list[int]]:
 
 
 class _Search:
-    """Underfull bins, and which of them hold a document of each length."""
+    """Underfull bins and what they can hand over: parcels, which are single documents (kind 0) or pairs (kind 1), by length.
+
+    A bin of distinct lengths summing up to the capacity has few of them, so all pairs of all bins are listed. For each kind and
+    length `least` has the smallest fill of a bin that offers it; a heap knows that bin, its outdated entries going when they surface.
+    """
 
     def __init__(self, lengths: list[int], bins: list[list[int]], capacity: int):
-        self.lengths, self.capacity = lengths, capacity
-        self.bins, self.fill = bins, [sum(lengths[i] for i in b) for b in bins]
-        self.holders: dict[int, dict[int, int]] = {}  # length -> bin -> how many
-        self.mask = 0
+        self.capacity, self.fill = capacity, [sum(lengths[i] for i in b) for b in bins]
+        self.held: list[dict[int, list[int]]] = []
+        for b in bins:
+            self.held.append(defaultdict(list))
+            for i in b:
+                self.held[-1][lengths[i]].append(i)
+        self.heaps: tuple[dict, dict] = (defaultdict(list), defaultdict(list))
+        self.least = np.full((2, capacity + 1), capacity + 1, np.int64)
+        self.parcels: list[tuple[dict, dict]] = [({}, {})] * len(bins)
+        self.version = [0] * len(bins)
+        self.steps = 0
         for b, fill in enumerate(self.fill):
             if fill < capacity:
-                for i in bins[b]:
-                    self.note(lengths[i], b, 1)
-
-    def note(self, length: int, b: int, change: int) -> None:
-        at = self.holders.setdefault(length, {})
-        at[b] = at.get(b, 0) + change
-        if not at[b]:
-            del at[b]
-        if at:
-            self.mask |= 1 << length
-        else:
-            self.mask &= ~(1 << length)
-
-    def shift(self, length: int, source: int, target: int) -> None:
-        """One document of this length from source to target."""
-        item = next(i for i in self.bins[source] if self.lengths[i] == length)
-        self.bins[source].remove(item)
-        self.bins[target].append(item)
-        self.note(length, source, -1)
-        self.note(length, target, 1)
-        self.fill[source] -= length
-        self.fill[target] += length
-
-    def donor(self, length: int, target: int, gain: int, but: int = -1) -> int:
-        """A bin other than target from which taking a net gain raises the sum of squares, the emptiest of the first few."""
-        best = -1
-        for seen, b in enumerate(self.holders.get(length, ())):
-            if b != target and b != but and self.fill[b] < self.fill[target] + gain and (best < 0 or self.fill[b] < self.fill[best]):
-                best = b
-            if seen >= 16 and best >= 0:
-                break
-        return best
-
-    def longest(self, above: int, most: int) -> list[int]:
-        """Up to four lengths that some underfull bin holds, over `above` and not over `most`, longest first."""
-        m, out = (self.mask & ((1 << (most + 1)) - 1)) >> (above + 1), []
-        while m and len(out) < 4:
-            top = m.bit_length() - 1
-            out.append(top + above + 1)
-            m &= ~(1 << top)
-        return out
+                self.offer(b)
+
+    def refresh(self, b: int) -> None:
+        for kind, own in enumerate(self.parcels[b]):
+            for size in own:
+                heap = self.heaps[kind][size]
+                while heap and heap[0][2] != self.version[heap[0][1]]:
+                    heappop(heap)
+                self.least[kind, size] = heap[0][0] if heap else self.capacity + 1
+
+    def offer(self, b: int) -> None:
+        """List the bin's parcels."""
+        own = sorted(x for x, items in self.held[b].items() if items)
+        pairs = {x + y: (x, y) for k, x in enumerate(own) for y in own[k:] if x != y or len(self.held[b][x]) > 1}
+        self.parcels[b] = ({x: (x,) for x in own}, pairs)
+        for kind, parcels in enumerate(self.parcels[b]):
+            for size in parcels:
+                heappush(self.heaps[kind][size], (self.fill[b], b, self.version[b]))
+        self.refresh(b)
+
+    def withdraw(self, b: int) -> None:
+        """Take the bin's parcels off the lists."""
+        self.version[b] += 1
+        self.refresh(b)
+
+    def shift(self, parcel: tuple, source: int, target: int) -> None:
+        for x in parcel:
+            self.held[target][x].append(self.held[source][x].pop())
+        self.fill[source] -= sum(parcel)
+        self.fill[target] += sum(parcel)
 
     def improve(self, target: int) -> bool:
-        room = self.capacity - self.fill[target]
-        steps: list[tuple[int, int]] = [(s, 0) for s in self.longest(0, room)]
-        own = sorted({self.lengths[i] for i in self.bins[target]})
-        steps += [(s - t, t) for t in own for s in self.longest(t, t + room)]
-        for gain, t in sorted(steps, reverse=True):
-            source = self.donor(t + gain, target, gain)
-            if source >= 0:
-                self.shift(t + gain, source, target)
-                if t:
-                    self.shift(t, target, source)
-                return True
-        for t in own:
-            for a in range(1, (t + room) // 2 + 1):
-                if not self.mask >> a & 1:
+        """The step of largest gain for a withdrawn bin, from the emptiest bin that can make it, if any raises the sum of squares."""
+        room, best, chosen = self.capacity - self.fill[target], 0, None
+        own = sorted(x for x, items in self.held[target].items() if items)
+        gives = [(), *((x,) for x in own)]
+        gives += [(x, y) for k, x in enumerate(own) for y in own[k:] if x != y or len(self.held[target][x]) > 1]
+        for give in gives:
+            size = sum(give)
+            for kind in (0, 1) if len(give) == 1 else (0,):
+                # Taking a net gain from a bin raises the sum of squares if that bin's fill is below the target's new one.
+                gains = np.arange(best + 1, room + 1)
+                better = np.flatnonzero(self.least[kind, size + best + 1 : size + room + 1] < self.fill[target] + gains)
+                if len(better):
+                    best = int(gains[better[-1]])
+                    chosen = give, kind, size + best
+            if best == room:
+                break
+        if chosen is None:
+            return False
+        give, kind, size = chosen
+        source = self.heaps[kind][size][0][1]
+        take = self.parcels[source][kind][size]
+        self.withdraw(source)
+        self.shift(take, source, target)
+        self.shift(give, target, source)
+        self.offer(source)
+        self.steps += 1
+        return True
+
+    def documents(self, b: int) -> int:
+        return sum(map(len, self.held[b].values()))
+
+    def run(self) -> list[list[int]]:
+        """Steps until none is left; the bins that still hold something. Each step raises the sum of squares, so it ends."""
+        moved = True
+        while moved:
+            moved = False
+            for b in sorted((b for b, f in enumerate(self.fill) if 0 < f < self.capacity), key=lambda b: (self.documents(b), -self.fill[b])):
+                if not 0 < self.fill[b] < self.capacity:
                     continue
-                for b in self.longest(max(a, t - a + 1) - 1, t + room - a)[:1]:
-                    gain = a + b - t
-                    first = self.donor(a, target, gain)
-                    # Both come from one bin, which takes the one in exchange.
-                    if gain > 0 and first >= 0 and (first in self.holders[b]) and (a != b or self.holders[a][first] > 1):
-                        self.shift(a, first, target)
-                        self.shift(b, first, target)
-                        self.shift(t, target, first)
-                        return True
-        return False
-
-
-def pack(lengths: list[int], capacity: int = CAPACITY, rounds: int = ROUNDS) -> list[list[int]]:
-    """Bins of item numbers; lengths are 1 to capacity."""
-    search = _Search(lengths, best_fit(lengths, capacity), capacity)
-    for _ in range(rounds):
-        moved = False
-        for b in sorted((b for b, f in enumerate(search.fill) if 0 < f < capacity), key=lambda b: -search.fill[b]):
-            while 0 < search.fill[b] < capacity and search.improve(b):
-                moved = True
-        if not moved:
-            break
-    return [x for x in search.bins if x]
+                self.withdraw(b)
+                while self.fill[b] < self.capacity and self.improve(b):
+                    moved = True
+                if self.fill[b] < self.capacity:
+                    self.offer(b)
+        out = [[i for items in held.values() for i in items] for held in self.held]
+        return [x for x in out if x]
+
+
+def pack(lengths: list[int], capacity: int = CAPACITY, start: list[list[int]] | None = None) -> list[list[int]]:
+    """Bins of item numbers; lengths are 1 to capacity. The search begins with the bins in start, by default with those of best fit."""
+    return _Search(lengths, best_fit(lengths, capacity) if start is None else start, capacity).run()
 
 
 def token_pieces(docs: DataFrame, tokenizer: str, end_id: int, id: str, text: str, capacity: int) -> DataFrame:
@@ -162,7 +177,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, end_id: int, id: str, text: st
     return cut.select("id", F.posexplode(F.arrays_zip("start", "length", "ids_crc32")).alias("piece", "p")).select("id", "piece", "p.*")
 
 
-def packed(pieces: DataFrame, capacity: int = CAPACITY, rounds: int = ROUNDS) -> DataFrame:
+def packed(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """pieces (with a column length, 1 to capacity) and their sequence_id and offset.
 
     Full pieces are sequences of their own. The others are dealt into groups of about GROUP_PIECES by their row, whatever their
@@ -177,7 +192,7 @@ def packed(pieces: DataFrame, capacity: int = CAPACITY, rounds: int = ROUNDS) ->
         group, row, length = (rows[c].to_pylist() for c in ("_group", "_row", "length"))
         order = sorted(range(len(row)), key=row.__getitem__)
         out: list[list[int]] = [[], [], []]
-        for k, items in enumerate(pack([length[i] for i in order], capacity, rounds)):
+        for k, items in enumerate(pack([length[i] for i in order], capacity)):
             at = 0
             for i in items:
                 i = order[i]
@@ -193,12 +208,12 @@ def packed(pieces: DataFrame, capacity: int = CAPACITY, rounds: int = ROUNDS) ->
 
 
 def pack_documents(
-    docs: DataFrame, tokenizer: str, end_id: int, id: str = "doc_id", text: str = "text", capacity: int = CAPACITY, rounds: int = ROUNDS
+    docs: DataFrame, tokenizer: str, end_id: int, id: str = "doc_id", text: str = "text", capacity: int = CAPACITY
 ) -> DataFrame:
     """(id, piece, start, length, ids_crc32, sequence_id, offset) of all documents' pieces, packed into sequences.
 
     Null and empty texts are documents of the end id alone; null ids stay null; repeated rows are packed one by one; an empty
     table gives an empty result. Other columns are ignored.
     """
-    placed = packed(token_pieces(docs, tokenizer, end_id, id, text, capacity), capacity, rounds)
+    placed = packed(token_pieces(docs, tokenizer, end_id, id, text, capacity), capacity)
     return placed.withColumnRenamed("id", id)

@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import itertools
 import random
 import re
 import zlib
@@ -206,6 +207,50 @@ def test_local_search_beats_best_fit():
         assert 40 <= len(bins) <= len(packing.best_fit(lengths, 100))
 
 
+def in_order(lengths, capacity):
+    bins, fill = [], capacity
+    for i, x in enumerate(lengths):
+        if fill + x > capacity:
+            bins.append([])
+            fill = 0
+        bins[-1].append(i)
+        fill += x
+    return bins
+
+
+@pytest.mark.parametrize("longest", [40, 300, 700, 1024])
+def test_local_search_alone_nears_the_bound(longest):
+    rnd = random.Random(longest)
+    lengths = [rnd.randrange(1, longest) for _ in range(3000)]
+    # Documents over half of a sequence each need their own.
+    bound = max(-(-sum(lengths) // 1024), sum(x > 512 for x in lengths))
+    start = in_order(lengths, 1024)
+    begun = len(start)
+    bins = packing.pack(lengths, 1024, start)
+    assert sorted(i for b in bins for i in b) == list(range(3000)) and max(sum(lengths[i] for i in b) for b in bins) <= 1024
+    assert len(bins) <= 1.01 * bound + 1 and len(bins) < begun
+
+
+def test_no_step_is_left_after_the_search():
+    rnd = random.Random(4)
+    for _ in range(30):
+        lengths = [rnd.randrange(1, 40) for _ in range(rnd.randrange(1, 60))]
+        bins = [sorted(lengths[i] for i in b) for b in packing.pack(lengths, 40, in_order(lengths, 40))]
+
+        def parcels(b, most):
+            return {c for n in range(most + 1) for c in itertools.combinations(b, n)}
+
+        for one, two in itertools.permutations([b for b in bins if sum(b) < 40], 2):
+            for give, take in itertools.product(parcels(one, 2), parcels(two, 2)):
+                gain = sum(take) - sum(give)
+                if (len(give), len(take)) in {(0, 1), (1, 1), (1, 2), (2, 1)} and 0 < gain <= 40 - sum(one):
+                    assert sum(two) >= sum(one) + gain
+
+
+def test_search_ends_at_once_without_documents():
+    assert packing.pack([]) == [] and packing.pack([1024, 3, 1021]) == [[0], [2, 1]]
+
+
 def test_encode_decode(spark):
     t = Tokenizer.from_file(WORDS)
     for r in bpe_reuse.encode_decode(table(spark, ROWS), WORDS).collect():
