@@ -29,6 +29,8 @@ SIZE = 20
 GRAM = 5
 #: Places are ordered by document, then by word, as one number: id * PLACES + word.
 PLACES = 1 << 32
+#: A piece's windows are counted in the lowest bits of one number: first window * COUNTS + windows.
+COUNTS = 1 << 16
 #: The pieces are shuffled in so many passes, by anchor, so that only a part of them is on disk twice.
 PASSES = 2
 
@@ -89,6 +91,8 @@ def copied_windows(docs: DataFrame, size: int = SIZE) -> DataFrame:
     tests: arrays [first window, windows] whose windows were looked up; firsts: the windows among them that stand nowhere
     earlier. The other looked-up windows are copies. Both lists are bounded by the document.
     """
+    if not GRAM <= size < COUNTS:
+        raise ValueError(f"windows of {GRAM} to {COUNTS - 1} words can be looked up, not of {size}")
     rows = docs.where("id is not null").select("id", "text")
     counted = rows.mapInArrow(_pieces(size, _anchor_counts), "anchor long, n long").groupBy("anchor").agg(F.sum("n").alias("n"))
     shared = saved_alone(counted.where("n > 1").select("anchor"), "anchors")
@@ -106,7 +110,7 @@ def copied_windows(docs: DataFrame, size: int = SIZE) -> DataFrame:
     word = F.pmod("place", F.lit(PLACES).cast("decimal(10,0)"))
     firsts = firsts.select(((F.col("place") - word) / F.lit(PLACES)).cast("decimal(20,0)").cast("long").alias("id"), word.cast("long").alias("first"))
     firsts = saved_alone(firsts, "firsts")
-    tests = pieces.select("id", (F.col("start").cast("long") * 256 + F.size("hashes")).alias("test"))
+    tests = pieces.select("id", (F.col("start").cast("long") * COUNTS + F.size("hashes")).alias("test"))
     nothing = F.lit(None).cast("long")
     both = tests.withColumn("first", nothing).union(firsts.select("id", nothing, "first"))
     # Repeated rows of an id bring the same places again: sets, so the lists stay as long as the texts.
@@ -116,7 +120,7 @@ def copied_windows(docs: DataFrame, size: int = SIZE) -> DataFrame:
 def removal(n: int, tests: np.ndarray, firsts: np.ndarray, size: int) -> np.ndarray:
     """Which of n words are removed."""
     copied = np.zeros(n + 1, bool)
-    starts, counts = tests >> 8, tests & 255
+    starts, counts = tests // COUNTS, tests % COUNTS
     # A text under a repeated id can be shorter than the one that brought a place.
     fits = starts + counts + size - 1 <= n
     starts, counts = starts[fits], counts[fits]

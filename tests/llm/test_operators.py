@@ -407,6 +407,21 @@ def test_substring_dedup_of_repeated_and_null_ids(spark):
     assert {(r["doc_id"], r["text"]) for r in left.collect()} == {(1, None), (2, "short  text")}
 
 
+@pytest.mark.parametrize("size", [5, 20, 300, 1000])
+def test_substring_dedup_of_other_windows(spark, size):
+    rnd = random.Random(size)
+    passage, other = ([rnd.choice("abcdefgh") + str(rnd.randrange(99)) for _ in range(1200)] for _ in range(2))
+    rows = [(k, " ".join(other[: 7 * k] + passage[k : 1200 - k] + ["end"] * k)) for k in range(6)] + [(9, " ".join(["same"] * 1500))]
+    got = lempel_ziv.substring_dedup(table(spark, rows), size=size).collect()
+    assert {r["doc_id"]: (r["n_words"], r["n_removed"], r["left"]) for r in got} == removed(rows, size)
+
+
+def test_windows_that_cannot_be_looked_up(spark):
+    for size in (4, 1 << 16):
+        with pytest.raises(ValueError):
+            lempel_ziv.substring_dedup(table(spark, [(1, "a")]), size=size)
+
+
 def test_windows_under_one_anchor_are_told_apart(spark):
     # Two windows of one anchor whose 64-bit hashes agree in the upper half.
     shared = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma tau"
