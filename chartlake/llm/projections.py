@@ -3,13 +3,15 @@
 A Gaussian distribution is 2-stable: the squared distance of two vectors' projections to DIMS random directions, divided by
 their true squared distance, is chi-squared with DIMS degrees of freedom. So if neighbours are visited in the order of
 projected distance r, and the k-th best true distance so far is d, a vector that is nearer than d and not yet visited has a
-chance of at most 1 - CHI2_DIMS(r * r / (d * d)). The search stops once that is below 1 - CONFIDENCE.
+chance of at most 1 - CHI2_DIMS(r * r / (d * d)). The search stops once that is below 1 - CONFIDENCE. The test holds for every
+single vector: in a leaf that is visited, only those within the test's reach are multiplied out.
 
 The largest inner product becomes the smallest distance by one more coordinate, sqrt(M * M - |x|**2), M the largest length.
 
 A coarse kd-tree, fitted on a bounded sample of the projections, deals all vectors to leaves; a large leaf is cut into blocks
 of bounded size. Each query is first answered in its own leaf, which bounds its k-th distance, and then goes to those leaves
-whose boxes the stopping test doesn't exclude at that bound. In a block a fine kd-tree yields the visits.
+whose boxes the stopping test doesn't exclude at that bound. In a block a fine kd-tree yields the visits, and each lowers the
+bound for the next.
 """
 
 from __future__ import annotations
@@ -24,8 +26,10 @@ from pyspark.sql import functions as F
 
 from chartlake.llm.tables import by_group, saved
 
-DIMS = 8
-CONFIDENCE = 0.99
+DIMS = 24
+CONFIDENCE = 0.95
+#: The share of the squared lengths that rounding can add to a distance: equal vectors aren't told apart by it.
+SLACK = 1e-9
 #: Rows of projections on which the coarse tree is fitted: those of smallest hash. Every row is then indexed.
 SAMPLE_ROWS = 20_000
 #: Vectors and queries that one task holds, and vectors in a leaf of its fine tree.
@@ -98,10 +102,11 @@ def leaf_of(nodes: list, points: np.ndarray) -> np.ndarray:
 class Block:
     """A fine kd-tree over vectors: answers queries by visiting leaves in the order of their boxes' projected distance."""
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray, points: np.ndarray, extra: np.ndarray):
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, points: np.ndarray):
         self.leaves = split(points, LEAF_ROWS)[1]
         rows = np.concatenate(self.leaves)
-        self.ids, self.vectors, self.extra = ids[rows], vectors[rows], extra[rows]
+        self.ids, self.vectors, self.points = ids[rows], vectors[rows], points[rows]
+        self.verified = 0
         self.at = np.concatenate([[0], np.cumsum([len(x) for x in self.leaves])])
         self.low = np.array([points[x].min(axis=0) for x in self.leaves])
         self.high = np.array([points[x].max(axis=0) for x in self.leaves])
@@ -119,7 +124,9 @@ class Block:
             chosen = order[a : a + step]
             chosen = chosen[reach[chosen] <= ratio * bound]
             rows = np.concatenate([np.arange(self.at[x], self.at[x + 1]) for x in chosen])
-            rows = rows[self.ids[rows] != own]
+            gap = self.points[rows] - point
+            rows = rows[(self.ids[rows] != own) & ((gap * gap).sum(axis=1) <= ratio * bound)]
+            self.verified += len(rows)
             new = (self.vectors[rows] * query).sum(axis=1)
             if len(ids) == k:
                 better = new >= scores[-1]
@@ -131,7 +138,7 @@ class Block:
                 best = best[np.sort(np.unique(ids[best], return_index=True)[1])]
             scores, ids = scores[best[:k]], ids[best[:k]]
             if len(ids) == k:
-                bound = min(bound, max(length2 - 2 * scores[-1], 0.0))
+                bound = min(bound, max(length2 - 2 * scores[-1], 0.0) + SLACK * length2)
             a, step = a + step, 2 * step
         return scores, ids
 
@@ -229,7 +236,7 @@ def nearest_neighbours(
             v, p = (np.stack(table[c].to_numpy()) for c in ("v", "p"))
             if asks.all():
                 return [[], [], []]
-            block = Block(ids[~asks], v[~asks], p[~asks], extra[~asks])
+            block = Block(ids[~asks], v[~asks], p[~asks])
             out: list[list] = [[], [], []]
             for q in np.flatnonzero(asks):
                 scores, found = block.nearest(ids[q], v[q], p[q], float((v[q] * v[q]).sum() + longest), k, extra[q], ratio)
@@ -248,8 +255,9 @@ def nearest_neighbours(
     no_bound = F.lit(float("inf"))
     home = saved(answered(own.select("leaf", "id", "v", "p", no_bound.alias("bound"))), "home")
     kth = best(home).where(F.col("rank") == k).select(F.col("query_id").alias("id"), F.col("score").alias("kth"))
+    reach = length2 + F.lit(longest)
     bounded = own.join(kth, "id", "left").withColumn(
-        "bound", F.coalesce(F.greatest(length2 + F.lit(longest) - 2 * F.col("kth"), F.lit(0.0)), no_bound)
+        "bound", F.coalesce(F.greatest(reach - 2 * F.col("kth"), F.lit(0.0)) + reach * F.lit(SLACK), no_bound)
     )
     # The tree has at most as many leaves as the sample has rows, which bounds what the driver and each task hold of them.
     found = boxes.orderBy("leaf").collect()

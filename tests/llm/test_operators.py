@@ -460,6 +460,50 @@ def test_neighbours(spark):
     assert set(got) == set(range(0, 1500, 20)) and hit / (75 * 20) >= 0.9
 
 
+def nearest_by_force(x, q, k):
+    s = (x * x[q]).sum(axis=1)
+    s[q] = -np.inf
+    return np.lexsort((np.arange(len(x)), -s))[:k].tolist(), s
+
+
+def test_neighbours_over_many_leaves_and_blocks(spark, monkeypatch):
+    monkeypatch.setattr(projections, "BLOCK_ROWS", 128)
+    monkeypatch.setattr(projections, "TASK_QUERIES", 16)
+    monkeypatch.setattr(projections, "SAMPLE_ROWS", 400)
+    rng = np.random.default_rng(8)
+    # Clusters of like vectors, and one vector that a third of all rows repeat: its leaf has several blocks.
+    x = (3 * rng.standard_normal((40, 1, 32)) + rng.standard_normal((40, 50, 32))).reshape(-1, 32)
+    x[1300:] = x[1300]
+    data = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id long, embedding array<double>")
+    asked = [q for q in range(0, 2000, 20) if q < 1300] + [1300, 1999]
+    queries = spark.createDataFrame([(q, x[q].tolist()) for q in asked], data.schema)
+    got = collections.defaultdict(list)
+    for r in projections.nearest_neighbours(data, queries, k=20).orderBy("query_id", "rank").collect():
+        got[r["query_id"]].append((r["vec_id"], r["score"]))
+    hit = 0
+    for q in asked:
+        best, s = nearest_by_force(x, q, 20)
+        # Copies are as near as each other.
+        hit += sum(s[k] >= s[best[-1]] - 1e-9 for k, _ in got[q])
+        assert len(got[q]) == len({k for k, _ in got[q]}) == 20 and all(abs(v - s[k]) < 1e-9 for k, v in got[q])
+    assert set(got) == set(asked) and hit / (20 * len(asked)) >= 0.9
+
+
+def test_stopping_test_spares_far_vectors():
+    rng = np.random.default_rng(9)
+    x = (3 * rng.standard_normal((40, 1, 64)) + rng.standard_normal((40, 100, 64))).reshape(-1, 64)
+    longest = float((x * x).sum(axis=1).max())
+    directions = rng.standard_normal((65, projections.DIMS))
+    extra = np.sqrt(np.maximum(longest - (x * x).sum(axis=1), 0))
+    block = projections.Block(np.arange(4000), x, x @ directions[:-1] + extra[:, None] * directions[-1])
+    ratio, hit = projections.stop_ratio(projections.CONFIDENCE), 0
+    for q in range(0, 4000, 50):
+        length2 = float((x[q] * x[q]).sum() + longest)
+        _, found = block.nearest(q, x[q], x[q] @ directions[:-1], length2, 20, float("inf"), ratio)
+        hit += len(set(found.tolist()) & set(nearest_by_force(x, q, 20)[0]))
+    assert hit >= 0.9 * 80 * 20 and block.verified < 0.6 * 80 * 4000
+
+
 def test_neighbours_of_repeated_rows(spark):
     rng = np.random.default_rng(4)
     x = rng.standard_normal((60, 24))
