@@ -106,6 +106,7 @@ class Block:
         self.leaves = split(points, LEAF_ROWS)[1]
         rows = np.concatenate(self.leaves)
         self.ids, self.vectors, self.points = ids[rows], vectors[rows], points[rows]
+        self.squares = np.einsum("ij,ij->i", self.points, self.points)
         self.verified = 0
         self.at = np.concatenate([[0], np.cumsum([len(x) for x in self.leaves])])
         self.low = np.array([points[x].min(axis=0) for x in self.leaves])
@@ -117,17 +118,21 @@ class Block:
         reach = (box * box).sum(axis=1)
         order = np.argsort(reach, kind="stable")
         scores, ids = np.zeros(0), np.zeros(0, np.int64)
+        if not len(reach) or reach.min() > ratio * bound:
+            return scores, ids
+        # Rounding is far below SLACK here.
+        gaps = self.squares + point @ point - 2 * (self.points @ point)
         a, step = 0, max(1, 4 * k // LEAF_ROWS)
         while a < len(order):
             if reach[order[a]] > ratio * bound:
                 break
             chosen = order[a : a + step]
             chosen = chosen[reach[chosen] <= ratio * bound]
-            rows = np.concatenate([np.arange(self.at[x], self.at[x + 1]) for x in chosen])
-            gap = self.points[rows] - point
-            rows = rows[(self.ids[rows] != own) & ((gap * gap).sum(axis=1) <= ratio * bound)]
+            counts = self.at[chosen + 1] - self.at[chosen]
+            rows = np.repeat(self.at[chosen] - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
+            rows = rows[(gaps[rows] <= ratio * bound) & (self.ids[rows] != own)]
             self.verified += len(rows)
-            new = (self.vectors[rows] * query).sum(axis=1)
+            new = np.einsum("ij,j->i", self.vectors[rows], query)
             if len(ids) == k:
                 better = new >= scores[-1]
                 rows, new = rows[better], new[better]
