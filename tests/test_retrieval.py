@@ -65,6 +65,48 @@ def test_too_many_queries_to_broadcast(points, monkeypatch):
         R.knn_exact(points[2], points[3], 3)
 
 
+@pytest.mark.parametrize("scoped", [False, True])
+def test_many_queries_go_to_blocks(points, monkeypatch, scoped):
+    _, _, c, q = points
+    asked = q if scoped else q.drop("scope")
+    want = by_query(R.knn_exact(c, asked, 7))
+    monkeypatch.setattr(R, "QUERY_BYTES", 10)
+    assert by_query(R.knn_exact(c, asked, 7, in_blocks=None, query_block=7, corpus_block=31)) == want
+    monkeypatch.setattr(R, "QUERY_BYTES", 20 * 6 * 8)  # the queries without a scope fit, all of them don't
+    assert by_query(R.knn_exact(c, asked, 7, in_blocks=None, query_block=7, corpus_block=31)) == want
+
+
+def test_equal_distances_from_the_product(points, monkeypatch):
+    corpus, queries, _, _ = points
+    import pandas as pd
+
+    asked = pd.DataFrame({"query_id": [f"q{i}" for i in range(len(queries))]})
+    rows = pd.DataFrame({"source_key": [f"k{i:03d}" for i in range(len(corpus))]}).iloc[::-1].reset_index(drop=True)
+    monkeypatch.setattr(R.Nearest, "PAIRS", 3)
+    found = R.Nearest(asked, queries.astype(float) / 7, ["source_key"], 7)
+    found.add(rows, corpus[::-1].astype(float) / 7)
+    got = found.result()
+    for i, v in enumerate(queries):
+        own = got[got["query_id"] == f"q{i}"]
+        assert list(zip(own["source_key"], own["distance"])) == nearest(corpus.astype(float) / 7, v.astype(float) / 7, 7)
+
+
+def test_hybrid_and_entities_with_many_queries(spark, monkeypatch):
+    texts = [("t", f"e{i % 4}|{2000 + i // 4}", f"entity e{i % 4} had {i} streams in {2000 + i // 4}") for i in range(24)]
+    chunks = spark.createDataFrame(texts, "source_table string, source_key string, chunk_text string")
+    chunks = chunks.withColumn("embedding", embed(F.col("chunk_text"), hashed_counts(16))).withColumn("scope", F.col("source_table"))
+    asked = spark.createDataFrame([(f"q{i}", f"streams of e{i % 4}", "t" if i % 2 else None) for i in range(12)], "query_id string, text string, scope string")
+    asked = asked.withColumn("embedding", embed(F.col("text"), hashed_counts(16)))
+    named = spark.createDataFrame([(f"q{i}", "t", f"e{i % 4}") for i in range(12)], "query_id string, source_table string, key string")
+
+    def both():
+        return [sorted(map(tuple, df.collect())) for df in (R.hybrid_search(chunks, asked, 3), R.retrieve_per_entity(chunks, asked, named, 2))]
+
+    want = both()
+    monkeypatch.setattr(R, "QUERY_BYTES", 10)
+    assert both() == want and all(want)
+
+
 CHUNKS = {
     "a": "Label Warner had 10 total streams",
     "b": "Track one on label Sony had many streams",
