@@ -115,3 +115,16 @@ def test_query(spark):
     sf = "/root/testdata/sf0.001"
     rows = [tuple(r) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
     assert sorted([tuple(r) for r in QUERIES["op13_token_alignment"](spark, sf).collect()], key=repr) == plain(rows)[0]
+
+
+def test_parts_are_encoded_in_runs():
+    """As each by itself, also where a part ends in blanks or does not end visibly; far fewer calls of the library than parts."""
+    own = alignment.Aligner(A, B)
+    parts = [" a", " b.", "  c", " ", "\n", " d\n ", " e", " 漢字", " f", "  ", " don't", " x<s>", " é"] + [f" w{k}" for k in range(9000)]
+    lengths = alignment.np.array([len(p.encode()) for p in parts])
+    calls, library = [], own.a._library
+    own.a._library = lambda texts: calls.append(len(texts)) or library(texts)
+    ids, sizes = own.a.encode(parts, lengths)
+    upto = alignment.np.cumsum(sizes).tolist()
+    assert [ids[x:y].tolist() for x, y in zip([0, *upto], upto)] == library(parts)
+    assert sum(calls) < 20
