@@ -89,3 +89,26 @@ def test_empty_corpus(spark, tmp_path):
     index = X.build_keyword_index(spark.createDataFrame([], CORPUS), str(tmp_path / "none"))
     q = spark.createDataFrame([("q", "a b"), ("r", "-a")], "query_id string, text string")
     assert X.search_keywords(index, q, 3).count() == 0
+
+
+def test_exclusions_look_at_few_places(spark, words, monkeypatch):
+    """Equal exclusions once, and only the places up to the k-th free one; whatever is excluded, from none to all."""
+    rows, _, index = words
+    monkeypatch.setattr(X, "PLACES", 8)
+    words_of = {k: set((t or "").split()) for _, k, t, _ in rows}
+    texts = ["-w0x", "-w1x", "-w2x", "-w3x", "-w40x", "-w59x", "-w0x -w1x -w2x", "-nosuch", "-equal", '-"w0x w1x" -w5x']
+    q = spark.createDataFrame([(f"{n}/{i}", t) for n, t in enumerate(texts) for i in range(30)], "query_id string, text string")
+    got = {}
+    for r in X.search_keywords(index, q, 20).collect():
+        got.setdefault(r["query_id"], []).append((r["rank"], r["source_key"]))
+    for n, t in enumerate(texts):
+        bad = {w.strip('-"') for w in t.split() if '"' not in w}
+        free = [k for k, own in sorted(words_of.items()) if not own & bad]
+        if '"' in t:
+            text_of = {k: f" {x or ''} " for _, k, x, _ in rows}
+            free = [k for k, own in sorted(words_of.items()) if "w5x" not in own and " w0x w1x " not in text_of[k]]
+        for i in range(30):
+            assert sorted(got.get(f"{n}/{i}", [])) == list(enumerate(free[:20]))
+    asked = spark.createDataFrame([("a", 0, p) for p in (*range(3, 40), 41, 100, *range(200, 900))] + [("b", 0, 500)] + [("c", 0, p) for p in range(96)], "query_id string, alternative int, place long")
+    last = {r[0]: r[1] for r in X._first_places(asked, 5).collect()}
+    assert last == {"a": 48, "b": 8, "c": 104}
