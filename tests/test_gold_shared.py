@@ -51,3 +51,25 @@ def test_a_repeated_credit_counts_by_each_tables_rule(spark):
     assert one(G.artist_country_dominance(chart), "artist_streams") == {"u": ("A", 400, 1, 1, 15.25), "v": ("C", 400, 1, 1, 15.25)}
     assert one(G.artist_country_dominance_deduped(chart), "artist_streams") == {"u": ("A", 300, 1, 0, 20.0), "v": ("C", 300, 1, 0, 20.0)}
     assert G.artist_country_dominance(chart).agg(F.max("country_total_streams")).first()[0] == 400
+
+
+def test_tables_by_month_and_country_need_no_shuffle_of_the_dealt_chart(spark, tmp_path):
+    chart = stored_chart(spark, tmp_path)
+    before = set(spark.catalog.listTables())
+    with G.dealt_chart(chart, str(tmp_path / "dealt"), tuple(G.GOLD_TABLES)) as dealt:
+        assert sorted(dealt.columns) == sorted(G.CHART_COLUMNS)
+        for name in ("kpi_song", "kpi_artist", "label_performance_enhanced", "artist_performance_ranked"):
+            table = G.build_table(name, chart, dealt, {})
+            assert "Exchange" not in plan(table), name
+            alone = G.GOLD_TABLES[name][0](chart)
+            assert alone.exceptAll(table.select(*alone.columns)).isEmpty() and table.count() == alone.count(), name
+        assert "Exchange" not in plan(G.place_entities(dealt)) and "Exchange" not in plan(G.artist_months(dealt, dealt=True))
+    assert set(spark.catalog.listTables()) == before
+
+
+def test_a_single_table_deals_the_chart_before_it_is_spread(spark, tmp_path):
+    chart = stored_chart(spark, tmp_path)
+    with G.dealt_chart(chart, str(tmp_path / "dealt"), ("country_performance",)) as dealt:
+        steps = plan(G.build_table("country_performance", chart, dealt, {}))
+    assert steps.rindex("Exchange hashpartitioning") > steps.rindex("Generate")  # the plan is printed from its end
+    assert not os.path.exists(tmp_path / "dealt")
