@@ -112,3 +112,12 @@ def test_exclusions_look_at_few_places(spark, words, monkeypatch):
     asked = spark.createDataFrame([("a", 0, p) for p in (*range(3, 40), 41, 100, *range(200, 900))] + [("b", 0, 500)] + [("c", 0, p) for p in range(96)], "query_id string, alternative int, place long")
     last = {r[0]: r[1] for r in X._first_places(asked, 5).collect()}
     assert last == {"a": 48, "b": 8, "c": 104}
+
+
+def test_words_are_counted_without_a_shuffle(spark):
+    rows = [(0, 7, 3, ["a", "b", "a"], " a the b a "), (1, 8, 0, [], None), (0, 9, 1, ["c"], " c ")]
+    docs = spark.createDataFrame(rows, "block long, place long, length int, terms array<string>, text string")
+    counts = X.term_counts(docs)
+    assert "Exchange" not in counts._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, counts.collect())) == [("a", 0, 7, 3, 2.0), ("b", 0, 7, 3, 1.0), ("c", 0, 9, 1, 1.0), ("the", 0, 7, 3, 0.0)]
+
